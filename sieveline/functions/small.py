@@ -1,0 +1,24 @@
+"""Joining a side that is expected, but not known, to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def join_checked(
+    df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join ``small`` by broadcast if it has at most ``limit`` rows, by a plain join otherwise.
+
+    The check reads at most ``limit + 1`` rows of ``small``; when they are all there is, they are
+    used as they are, so the small side is not computed a second time inside the join. Past the
+    limit the join is left to Spark, whose adaptive execution also splits skewed keys.
+    """
+    head = small.limit(limit + 1).collect()
+    if len(head) > limit:
+        return df.join(small, on, how)
+    local = df.sparkSession.createDataFrame(head, small.schema)
+    return df.join(F.broadcast(local), on, how)
