@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sieveline.operators.features import assemble, encode_label, fit_label_index
 from sieveline.operators.split import hash_split, three_way_split
+from sieveline.sources.scratch import written
 
 DOC_FEATURES = ["n_chars", "n_words", "n_distinct_words", "n_digits", "n_punct"]
 PLAIN_FEATURES = ["constant", "noise"]
@@ -68,9 +69,10 @@ def contrib(spark: SparkSession, sf_dir: str) -> DataFrame:
 def docfeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over the whole text of every labelled document, with its quality as target.
 
-    The counts are taken before the join, so the texts themselves are not shuffled.
+    The counts are taken before the join, so the texts themselves are not shuffled, and are stored,
+    since fitting a model reads its input many times.
     """
-    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    words = F.array_remove(F.split("text", r"\s+"), "")
     counts = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.length("text").cast("double").alias("n_chars"),
@@ -82,7 +84,7 @@ def docfeat(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod(F.xxhash64("doc_id"), F.lit(1000)) / 1000.0).alias("noise"),
     )
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("target"))
-    return counts.join(labels, "id")
+    return written(counts.join(labels, "id"), "docfeat")
 
 
 def raw_docfeat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,9 @@
 Bins are fitted and then applied. Fitting finds the few rows at the bin edges with
 :mod:`sieveline.operators.ranks`; applying compares each row with at most ``bins`` edges inside code
 generation. No row is shuffled or sorted, and a score shared by many rows is split by ``id`` exactly.
+
+Fitting reads the table several times, a few columns only. Hand in a stored table rather than one
+whose scores a model would compute again each time.
 """
 
 from __future__ import annotations
@@ -89,23 +92,28 @@ def _check(bins: int) -> None:
         raise ValueError("at least one bin")
 
 
-def _sets(df: DataFrame, by: str | None) -> list[str]:
-    """Names of the sets to bin apart: a handful of splits, checked to be so."""
-    if by is None:
-        return [ALL]
-    rows = df.select(F.col(by).cast("string").alias("s")).distinct().limit(MAX_SETS + 1).collect()
-    if len(rows) > MAX_SETS:
-        raise ValueError(f"{by} names more than {MAX_SETS} sets; bins are fitted per evaluation set")
-    return sorted(r["s"] for r in rows if r["s"] is not None)
+def _score_series(
+    df: DataFrame, score: str, by: str | None, weight: str | None = None
+) -> tuple[list[Series], dict[str, Total]]:
+    """The scores of each set with their row counts and weights, from one aggregate.
 
-
-def _score_series(df: DataFrame, score: str, by: str | None, weight: str | None = None) -> list[Series]:
+    ``by`` names a handful of evaluation sets, which is checked.
+    """
     value = F.col(score)
     w = None if weight is None else F.col(weight)
-    return [
-        Series(name, value if by is None else F.when(F.col(by).cast("string") == name, value), w)
-        for name in _sets(df, by)
-    ]
+    if by is None:
+        series = [Series(ALL, value, w)]
+        return series, series_totals(df, series)
+    seen = is_observed(value)
+    counts = df.groupBy(F.col(by).cast("string").alias("name")).agg(
+        F.count_if(seen).alias("rows"), F.sum(F.when(seen, F.lit(1) if w is None else w)).alias("weight")
+    )
+    found = counts.limit(MAX_SETS + 1).collect()
+    if len(found) > MAX_SETS:
+        raise ValueError(f"{by} names more than {MAX_SETS} sets; bins are fitted per evaluation set")
+    totals = {r["name"]: Total(r["rows"], r["weight"] or 0) for r in found if r["name"] is not None}
+    series = [Series(name, F.when(F.col(by).cast("string") == name, value), w) for name in sorted(totals)]
+    return series, totals
 
 
 def _value_bins(edges: list[float], filled: int) -> SetBins:
@@ -117,20 +125,23 @@ def fit_quantile_bins(
 ) -> FittedBins:
     """Bins between interpolated quantiles of the values, right-closed; equal edges collapse."""
     _check(bins)
-    series = _score_series(df, score, by)
-    totals = series_totals(df, series)
-    return FittedBins(score, None, by, bins, _quantile_sets(df, series, totals, bins, bracket_rows))
+    series, totals = _score_series(df, score, by)
+    found = _quantile_positions(df, series, totals, bins, bracket_rows)
+    return FittedBins(score, None, by, bins, _quantile_sets(found, totals, bins))
 
 
-def _quantile_sets(df, series, totals: dict[str, Total], bins: int, bracket_rows: int) -> dict[str, SetBins]:
+def _quantile_positions(df, series, totals: dict[str, Total], bins: int, bracket_rows: int):
     wanted = {
         s.name: [r for k in range(bins + 1) for r in quantile_ranks(totals[s.name].rows, k, bins)[:2]]
         for s in series
         if totals[s.name].rows
     }
-    found = locate(df, series, wanted, totals, bracket_rows)
+    return locate(df, series, wanted, totals, bracket_rows)
+
+
+def _quantile_sets(found: dict[str, dict[float, Position]], totals: dict[str, Total], bins: int) -> dict[str, SetBins]:
     sets = {}
-    for name in wanted:
+    for name in found:
         edges, filled = [], 0
         for k in range(bins + 1):
             low, high, share = quantile_ranks(totals[name].rows, k, bins)
@@ -181,17 +192,16 @@ def _tie_edges(
     return edges
 
 
-def _rank_sets(df, series, totals, score, id, bins, by, bracket_rows) -> dict[str, SetBins]:
-    wanted = {
-        s.name: [k * (totals[s.name].rows - 1) // bins + 1 for k in range(1, bins)]
-        for s in series
-        if totals[s.name].rows
-    }
-    found = locate(df, series, wanted, totals, bracket_rows)
-    edges = _tie_edges(df, by, score, id, None, found, bracket_rows)
-    return {
-        name: SetBins(tuple(edges[name][t] for t in ranks), closed=False) for name, ranks in wanted.items()
-    }
+def _edge_ranks(rows: int, bins: int) -> list[int]:
+    """Ranks of the last rows of all bins but the highest; the quantile positions include them."""
+    return [quantile_ranks(rows, k, bins)[0] for k in range(1, bins)]
+
+
+def _rank_sets(df, found, totals, score, id, bins, by, bracket_rows) -> dict[str, SetBins]:
+    ranks = {name: _edge_ranks(totals[name].rows, bins) for name in found}
+    at_edges = {name: {r: found[name][r] for r in ranks[name]} for name in found}
+    edges = _tie_edges(df, by, score, id, None, at_edges, bracket_rows)
+    return {name: SetBins(tuple(edges[name][r] for r in ranks[name]), closed=False) for name in found}
 
 
 def fit_rank_bins(
@@ -199,9 +209,12 @@ def fit_rank_bins(
 ) -> FittedBins:
     """Bins between quantiles of the rank by (score, id): ties are broken, so all bins fill up."""
     _check(bins)
-    series = _score_series(df, score, by)
-    totals = series_totals(df, series)
-    return FittedBins(score, id, by, bins, _rank_sets(df, series, totals, score, id, bins, by, bracket_rows))
+    series, totals = _score_series(df, score, by)
+    wanted = {s.name: _edge_ranks(totals[s.name].rows, bins) for s in series if totals[s.name].rows}
+    found = locate(df, series, wanted, totals, bracket_rows)
+    # a single bin has no edges, so nothing was looked for
+    found = {name: found.get(name, {}) for name in wanted}
+    return FittedBins(score, id, by, bins, _rank_sets(df, found, totals, score, id, bins, by, bracket_rows))
 
 
 def fit_weighted_bins(
@@ -216,8 +229,8 @@ def fit_weighted_bins(
     """Bins of equal weight along (score, id): a row's bin is its running weight in units of
     total / bins, rounded down, and at most ``bins - 1``. Weights must not be negative."""
     _check(bins)
-    series = _score_series(df, score, by, weight)
-    totals = {name: t for name, t in series_totals(df, series).items() if t.weight > 0}
+    series, totals = _score_series(df, score, by, weight)
+    totals = {name: t for name, t in totals.items() if t.weight > 0}
     series = [s for s in series if s.name in totals]
     wanted = {name: [k * t.weight / bins for k in range(1, bins)] for name, t in totals.items()}
     found = locate(df, series, wanted, totals, bracket_rows)
@@ -242,10 +255,10 @@ def fit_score_bins(
     if weight is not None:
         return fit_weighted_bins(df, score, id, weight, bins, by, bracket_rows)
     _check(bins)
-    series = _score_series(df, score, by)
-    totals = series_totals(df, series)
-    sets = _quantile_sets(df, series, totals, bins, bracket_rows)
-    tied = [s for s in series if s.name in sets and sets[s.name].filled < bins]
+    series, totals = _score_series(df, score, by)
+    found = _quantile_positions(df, series, totals, bins, bracket_rows)
+    sets = _quantile_sets(found, totals, bins)
+    tied = {name: found[name] for name, s in sets.items() if s.filled < bins}
     if tied:
         sets |= _rank_sets(df, tied, totals, score, id, bins, by, bracket_rows)
     return FittedBins(score, id, by, bins, sets)

@@ -27,12 +27,16 @@ def bin_summary(
     fitted = fit_score_bins(df, score, id, bins, weight, by, bracket_rows)
     w = F.lit(1) if weight is None else F.col(weight)
     keys = [by] if by else []
-    binned = fitted.apply(df, "_bin").where(F.col("_bin").isNotNull())
-    return binned.groupBy(*keys, reversed_bin(bins, "_bin").alias("bin")).agg(
+    binned = fitted.apply(df, "_bin")
+    summary = binned.groupBy(*keys, reversed_bin(bins, "_bin").alias("bin")).agg(
         F.sum(F.col(label) * w).alias("weighted_positives"),
         F.sum(w).alias("weight"),
         F.sum(label).alias("positives"),
+        F.count("_bin").alias("binned"),
     )
+    # rows without score are left out by their count: a filter on the bin itself would be pushed down
+    # and compute all the bins a second time
+    return summary.where(F.col("binned") > 0).drop("binned")
 
 
 def _within(by: str | None):

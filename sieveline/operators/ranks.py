@@ -68,10 +68,6 @@ class _Bracket:
         return math.nextafter(self.low, math.inf) < self.high
 
 
-def _observed(series: Series) -> Column:
-    return F.when(is_observed(series.value), series.value)
-
-
 def _weight(series: Series) -> Column:
     return F.lit(1) if series.weight is None else series.weight
 
@@ -87,24 +83,32 @@ def series_totals(df: DataFrame, series: list[Series]) -> dict[str, Total]:
     return {s.name: Total(row[f"n{i}"], row[f"w{i}"] or 0) for i, s in enumerate(series)}
 
 
-def _long_form(
-    df: DataFrame, series: list[Series], points: dict[str, list[float]], keep: dict[str, list[int]] | None
-) -> DataFrame:
-    """One row (series, bucket, value, weight) per observed value, optionally of some buckets only."""
-    types = {t for _, t in df.select(*[_observed(s).alias(f"v{i}") for i, s in enumerate(series)]).dtypes}
-    target = "long" if types <= {"tinyint", "smallint", "int", "bigint"} else "double"
-    # adding zero turns -0.0 into 0.0, which the bucket search would tell apart
-    base = df.select(
-        *[(_observed(s).cast(target) + F.lit(0).cast(target)).alias(f"v{i}") for i, s in enumerate(series)],
+def _columns(df: DataFrame, series: list[Series]) -> DataFrame:
+    """Per series i its values ``v<i>``, null for NaN, as one common type, and its weights ``w<i>``."""
+    types = {t for _, t in df.select(*[s.value.alias(f"v{i}") for i, s in enumerate(series)]).dtypes}
+    if types <= {"tinyint", "smallint", "int", "bigint"}:
+        values = [s.value.cast("long") for s in series]
+    else:
+        # adding zero turns -0.0 into 0.0, which the bucket search would tell apart
+        values = [F.nanvl(s.value.cast("double"), F.lit(None).cast("double")) + F.lit(0.0) for s in series]
+    return df.select(
+        *[v.alias(f"v{i}") for i, v in enumerate(values)],
         *[_weight(s).alias(f"w{i}") for i, s in enumerate(series)],
     )
-    base = base.withColumns({f"d{i}": F.col(f"v{i}").cast("double") for i in range(len(series))})
-    base = with_buckets(base, {f"b{i}": (f"d{i}", points[s.name]) for i, s in enumerate(series)})
+
+
+def _long_form(
+    columns: DataFrame, points: dict[int, list[float]], keep: dict[int, list[int]] | None = None
+) -> DataFrame:
+    """One row (series, bucket, value, weight) per observed value of the series in ``points``,
+    optionally of some buckets only."""
+    cut = columns.withColumns({f"d{i}": F.col(f"v{i}").cast("double") for i in points})
+    cut = with_buckets(cut, {f"b{i}": (f"d{i}", p) for i, p in points.items()})
     entries = []
-    for i, s in enumerate(series):
+    for i in points:
         value = F.col(f"v{i}")
         if keep is not None:
-            value = F.when(F.col(f"b{i}").isin(keep.get(s.name, [])), value)
+            value = F.when(F.col(f"b{i}").isin(keep[i]), value)
         entries.append(
             F.struct(
                 F.lit(i).alias("series"),
@@ -114,24 +118,24 @@ def _long_form(
             )
         )
     if len(entries) == 1:
-        rows = base.select(entries[0].alias("e")).select("e.*")
+        rows = cut.select(entries[0].alias("e")).select("e.*")
     else:
-        rows = base.select(F.inline(F.array(*entries)))
+        rows = cut.select(F.inline(F.array(*entries)))
     return rows.where(F.col("value").isNotNull())
 
 
 def _draw(
-    df: DataFrame, series: list[Series], points: dict[str, list[float]], wide: dict[str, dict[int, _Bracket]], seed: int
-) -> dict[str, set[float]]:
+    columns: DataFrame, points: dict[int, list[float]], wide: dict[int, dict[int, _Bracket]], seed: int
+) -> dict[int, set[float]]:
     """A bounded sample of the values inside the brackets that are still too wide."""
     rows = sum(b.rows for brackets in wide.values() for b in brackets.values())
     budget = SAMPLED_POINTS * sum(len(brackets) for brackets in wide.values())
-    inside = _long_form(df, series, points, {name: list(brackets) for name, brackets in wide.items()})
+    inside = _long_form(columns, {i: points[i] for i in wide}, {i: list(brackets) for i, brackets in wide.items()})
     sample = inside.select("series", F.col("value").cast("double").alias("value"))
-    drawn: dict[str, set[float]] = {s.name: set() for s in series}
+    drawn: dict[int, set[float]] = {i: set() for i in wide}
     for row in sample.sample(fraction=min(1.0, budget / rows), seed=seed).collect():
         if math.isfinite(row["value"]):
-            drawn[series[row["series"]].name].add(row["value"])
+            drawn[row["series"]].add(row["value"])
     return drawn
 
 
@@ -157,28 +161,30 @@ def locate(
     """
     series = [s for s in series if totals[s.name].rows > 0 and thresholds.get(s.name)]
     found: dict[str, dict[float, Position]] = {s.name: {} for s in series}
-    points: dict[str, list[float]] = {s.name: [] for s in series}
-    pending = {
-        s.name: {0: _Bracket(-math.inf, math.inf, totals[s.name].rows, 0.0, sorted(map(float, set(thresholds[s.name]))))}
-        for s in series
-    }
+    if not series:
+        return found
+    columns = _columns(df, series)
+    points: dict[int, list[float]] = {i: [] for i in range(len(series))}
+    pending = {}
+    for i, s in enumerate(series):
+        targets = sorted(map(float, set(thresholds[s.name])))
+        pending[i] = {0: _Bracket(-math.inf, math.inf, totals[s.name].rows, 0.0, targets)}
     while True:
         wide = {
-            name: {b: br for b, br in brackets.items() if br.rows > bracket_rows and br.splittable()}
-            for name, brackets in pending.items()
+            i: {b: br for b, br in brackets.items() if br.rows > bracket_rows and br.splittable()}
+            for i, brackets in pending.items()
         }
-        wide = {name: brackets for name, brackets in wide.items() if brackets}
+        wide = {i: brackets for i, brackets in wide.items() if brackets}
         if not wide:
             break
-        active = [s for s in series if s.name in wide]
-        drawn = _draw(df, active, points, wide, seed)
+        drawn = _draw(columns, points, wide, seed)
         seed += 1
-        for s in active:
-            edges = {e for br in pending[s.name].values() for e in (br.low, br.high) if math.isfinite(e)}
-            ends = {math.nextafter(v, math.inf) for v in drawn[s.name]}
-            points[s.name] = sorted(edges | drawn[s.name] | {e for e in ends if math.isfinite(e)})
+        for i, values in drawn.items():
+            edges = {e for br in pending[i].values() for e in (br.low, br.high)}
+            own = values | {math.nextafter(v, math.inf) for v in values}
+            points[i] = sorted(e for e in edges | own if math.isfinite(e))
         counted = (
-            _long_form(df, active, points, None)
+            _long_form(columns, {i: points[i] for i in wide})
             .groupBy("series", "bucket")
             .agg(
                 F.count(F.lit(1)).alias("rows"),
@@ -188,72 +194,64 @@ def locate(
             )
             .collect()
         )
-        for i, s in enumerate(active):
+        for i in wide:
             buckets = sorted((r for r in counted if r["series"] == i), key=lambda r: r["bucket"])
             reached = list(accumulate(float(r["weight"]) for r in buckets))
-            targets = [t for br in pending[s.name].values() for t in br.thresholds]
-            pending[s.name] = {}
+            targets = [t for br in pending[i].values() for t in br.thresholds]
+            pending[i] = {}
             for t in targets:
                 at = min(bisect_left(reached, t), len(buckets) - 1)
                 row = buckets[at]
                 offset = reached[at - 1] if at else 0.0
                 if row["low"] == row["high"]:
-                    found[s.name][t] = Position(row["low"], offset, row["weight"], row["rows"])
+                    found[series[i].name][t] = Position(row["low"], offset, row["weight"], row["rows"])
                     continue
-                low, high = _bounds(points[s.name], row["bucket"])
-                bracket = pending[s.name].setdefault(
-                    row["bucket"], _Bracket(low, high, row["rows"], offset)
-                )
-                bracket.thresholds.append(t)
-    _finish(df, [s for s in series if pending[s.name]], points, pending, found)
+                low, high = _bounds(points[i], row["bucket"])
+                bracket = _Bracket(low, high, row["rows"], offset)
+                pending[i].setdefault(row["bucket"], bracket).thresholds.append(t)
+    for i, t, position in _finish(columns, points, {i: b for i, b in pending.items() if b}):
+        found[series[i].name][t] = position
     return found
 
 
-def _finish(df, series, points, pending, found) -> None:
+def _finish(columns: DataFrame, points: dict[int, list[float]], pending: dict[int, dict[int, _Bracket]]):
     """Order the rows of the remaining small brackets and read the answers off."""
-    if not series:
+    if not pending:
         return
-    wanted = [
-        (i, bucket, br.offset, sorted(br.thresholds))
-        for i, s in enumerate(series)
-        for bucket, br in pending[s.name].items()
-    ]
-    targets = df.sparkSession.createDataFrame(
-        wanted, "series int, bucket int, offset double, thresholds array<double>"
-    )
-    inside = _long_form(df, series, points, {s.name: list(pending[s.name]) for s in series})
+    lookup = {(i, bucket): br for i, brackets in pending.items() for bucket, br in brackets.items()}
+    number = F.lit(None).cast("int")
+    for k, (i, bucket) in enumerate(lookup):
+        number = F.when((F.col("series") == i) & (F.col("bucket") == bucket), F.lit(k)).otherwise(number)
+    inside = _long_form(columns, {i: points[i] for i in pending}, {i: list(b) for i, b in pending.items()})
     values = inside.groupBy("series", "bucket", "value").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")
     )
     within = Window.partitionBy("series", "bucket").orderBy("value")
     running = F.sum("weight").over(within.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
+    before = running - F.col("weight")
     ranked = values.select(
         "series",
         "bucket",
         "value",
         "rows",
         "weight",
-        (running - F.col("weight")).alias("before"),
+        before.alias("before"),
         # the ends of a bracket are open, so that rounding of fractional weights loses no target
-        F.when(F.row_number().over(within) == 1, F.lit(-math.inf))
-        .otherwise(running - F.col("weight"))
-        .alias("after"),
+        F.when(F.row_number().over(within) == 1, F.lit(-math.inf)).otherwise(before).alias("after"),
         F.when(F.lead("value").over(within).isNull(), F.lit(math.inf)).otherwise(running).alias("until"),
     )
-    # one row per bracket, so the broadcast side is as small as the list of thresholds
-    hits = ranked.join(F.broadcast(targets), ["series", "bucket"]).withColumn(
-        "threshold",
-        F.explode(
-            F.filter(
-                "thresholds",
-                lambda t: (t - F.col("offset") > F.col("after")) & (t - F.col("offset") <= F.col("until")),
-            )
-        ),
-    )
+    # thresholds counted from the start of their bracket: as many literals as were asked for
+    targets = F.array(*[F.array(*[F.lit(t - br.offset) for t in br.thresholds]) for br in lookup.values()])
+    hits = ranked.withColumn(
+        "reached",
+        F.filter(targets[number], lambda t: (t > F.col("after")) & (t <= F.col("until"))),
+    ).where(F.size("reached") > 0)
     for row in hits.collect():
-        found[series[row["series"]].name][row["threshold"]] = Position(
-            row["value"], row["offset"] + row["before"], row["weight"], row["rows"]
-        )
+        bracket = lookup[row["series"], row["bucket"]]
+        position = Position(row["value"], bracket.offset + row["before"], row["weight"], row["rows"])
+        for t in bracket.thresholds:
+            if t - bracket.offset in row["reached"]:
+                yield row["series"], t, position
 
 
 def interpolate(low: float, high: float, share: float) -> float:

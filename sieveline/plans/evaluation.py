@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from sieveline.operators.lift import bin_summary, gain_table, lift_gain_table, lift_table
 from sieveline.operators.metrics import recall, roc_auc, roc_curve
+from sieveline.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -32,8 +33,11 @@ def evaluate_sets(
 ) -> Evaluation:
     """All diagnostics with ``split`` as an extra group key: each is one plan for all sets.
 
-    ``score`` may be a probability or a hard 0/1 prediction.
+    ``score`` may be a probability or a hard 0/1 prediction. The columns needed are stored first, so
+    that the model behind them scores each row once.
     """
+    columns = dict.fromkeys([id, split, label, score, prediction, *([weight] if weight else [])])
+    scored = written(scored.select(*columns), "scored")
     summary = bin_summary(scored, label, score, id, bins, weight, split)
     return Evaluation(
         recall=recall(scored, label, prediction, by=split),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="sieveline-")
     return f"{shared.rstrip('/')}/sieveline/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows read back from a table on shared storage.
+
+    For a derived table that is read many times: it is computed once, later reads prune columns, and
+    a lost executor costs a file read instead of the whole lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

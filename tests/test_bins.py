@@ -138,6 +138,17 @@ def test_reversed_bin(spark):
     assert [r[0] for r in df.select(reversed_bin(10)).collect()] == [10, 1]
 
 
+def test_a_single_bin(spark):
+    df = frame(spark, sample(20, 1, True))
+    for fitted in (
+        fit_quantile_bins(df, "score", 1),
+        fit_rank_bins(df, "score", "id", 1),
+        fit_score_bins(df, "score", "id", 1),
+        fit_weighted_bins(df, "score", "id", "w", 1),
+    ):
+        assert set(bins_of(fitted, df)) == {0}
+
+
 def test_bad_arguments(spark):
     df = spark.range(200).selectExpr("id", "double(id) as score", "id as split")
     with pytest.raises(ValueError):
