@@ -6,6 +6,9 @@ points: each piece runs its own window, and the totals of the pieces before it a
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +47,9 @@ def running_totals(
     """Add ``cum_<v>`` (inclusive running sum along ``order`` within ``by``) and ``total_<v>``.
 
     ``order`` must be unique within ``by``: aggregate ties first, which also removes their skew. The
-    offsets join uses the partitioning of the window, so rows are shuffled once.
+    offsets are joined by the keys of the window, so that the rows already lie where they are needed.
+    Null-safe keys keep a set without name, and keep Spark from adding null filters to one side only,
+    after which the two sides could no longer share the shuffle of ``df``.
     """
     pieces = with_buckets(
         df.withColumn("_axis", F.col(order).cast("double") + F.lit(0.0)), {"_piece": ("_axis", points)}
@@ -54,9 +59,9 @@ def running_totals(
     # one row per piece and group: small enough to order in one task
     before = Window.partitionBy(*by).orderBy(direction("_piece")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by)
+    keys = [*by, "_piece"]
     offsets = sums.select(
-        *by,
-        "_piece",
+        *[F.col(k).alias(f"_at_{k}") for k in keys],
         *[F.coalesce(F.sum(f"_sum_{v}").over(before), F.lit(0)).alias(f"_offset_{v}") for v in values],
         *[F.sum(f"_sum_{v}").over(everything).alias(f"total_{v}") for v in values],
     )
@@ -64,7 +69,7 @@ def running_totals(
         Window.partitionBy(*by, "_piece").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     )
     local = pieces.withColumns({f"_local_{v}": F.sum(v).over(inside) for v in values})
-    joined = local.join(offsets, [*by, "_piece"])
+    joined = local.join(offsets, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]))
     return joined.select(
         *df.columns,
         *[(F.col(f"_offset_{v}") + F.col(f"_local_{v}")).alias(f"cum_{v}") for v in values],

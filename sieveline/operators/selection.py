@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from math import comb
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.expressions import hash_bucket
+from sieveline.functions.expressions import HASH_SPACE, hash_bucket
 from sieveline.operators.explain import attribute, fit_explainer, mean_abs_contribution
 from sieveline.operators.features import FEATURES, LABEL, assemble
 from sieveline.operators.models import random_forest
@@ -87,6 +88,39 @@ def verdict(hits: int, trials: int, tests: int, p_value: float) -> tuple[str, fl
     return decision, accept, reject
 
 
+def _trial_importance(
+    vectors: DataFrame,
+    active: list[int],
+    key: str,
+    label: str,
+    rows: int,
+    seed: int,
+    forest: RandomForestClassifier,
+    importance: str,
+    held_out: float,
+) -> list[float]:
+    """Importance of the active features, then of their shadows, in one trial."""
+    sliced = VectorSlicer(inputCol="_all", outputCol="_real", indices=active).transform(vectors)
+    paired = with_shadows(sliced.select(key, label, "_real"), key, "_real", seed, rows)
+    both = VectorAssembler(inputCols=["_real", "shadow"], outputCol=FEATURES).transform(paired)
+    is_test = hash_bucket([key], seed) < round(held_out * HASH_SPACE)
+    both = both.select(label, F.col(FEATURES).alias(forest.getFeaturesCol()), is_test.alias("_test")).persist()
+    try:
+        model = forest.copy({forest.seed: seed}).fit(both.where(~F.col("_test")))
+        if importance == "impurity":
+            return list(model.featureImportances.toArray())
+        test = both.where("_test").select(forest.getFeaturesCol())
+        total = [0.0] * (2 * len(active))
+        # with two classes the attributions of one are those of the other with the sign turned
+        for c in range(model.numClasses) if model.numClasses > 2 else [model.numClasses - 1]:
+            explained = attribute(test, fit_explainer(vectors.sparkSession, model, c), forest.getFeaturesCol())
+            for row in mean_abs_contribution(explained, k=None).collect():
+                total[int(row["feature"])] += row["mean_abs"]
+        return total
+    finally:
+        both.unpersist()
+
+
 def shadow_selection(
     df: DataFrame,
     features: list[str],
@@ -98,13 +132,15 @@ def shadow_selection(
     estimator: RandomForestClassifier | None = None,
     importance: str = "attribution",
     held_out: float = 0.3,
+    parallelism: int = 4,
 ) -> DataFrame:
     """(feature, hits, trials, accept_p, reject_p, decision) of a shadow-feature selection.
 
     In each trial a forest is fitted on the features and their shadows; a feature scores a hit if it
     matters more than every shadow. ``attribution`` measures that by the mean absolute attribution on
-    held-out rows, ``impurity`` by the impurity decrease in training. Rejected features leave the
-    following trials, and the trials end early once every feature is decided.
+    held-out rows, ``impurity`` by the impurity decrease in training. ``parallelism`` trials run at a
+    time; after each such round rejected features leave, and the trials end early once every feature
+    is decided. ``key`` must identify a row.
     """
     if importance not in ("attribution", "impurity"):
         raise ValueError("importance must be attribution or impurity")
@@ -115,31 +151,25 @@ def shadow_selection(
     hits = [0] * len(features)
     result: dict[int, tuple[int, str, float, float]] = {}
     active = list(range(len(features)))
-    test_cut = round(held_out * 10_000)
     try:
         rows = vectors.count()
-        for trial in range(1, trials + 1):
-            sliced = VectorSlicer(inputCol="_all", outputCol="_real", indices=active).transform(vectors)
-            paired = with_shadows(sliced.select(key, label, "_real"), key, "_real", seed + trial, rows)
-            both = VectorAssembler(inputCols=["_real", "shadow"], outputCol=FEATURES).transform(paired)
-            both = both.select(
-                label, FEATURES, (hash_bucket([key], seed + trial) < test_cut).alias("_test")
-            ).persist()
-            try:
-                model = forest.copy({forest.seed: seed + trial}).fit(both.where(~F.col("_test")))
-                if importance == "impurity":
-                    values = list(model.featureImportances.toArray())
-                else:
-                    explained = attribute(both.where("_test").select(FEATURES), fit_explainer(df.sparkSession, model))
-                    found = {r["feature"]: r["mean_abs"] for r in mean_abs_contribution(explained, k=None).collect()}
-                    values = [found.get(str(i), 0.0) for i in range(2 * len(active))]
-            finally:
-                both.unpersist()
-            bar = max(values[len(active) :])
-            for position, i in enumerate(active):
-                hits[i] += int(values[position] > bar)
-                decision, accept, reject = verdict(hits[i], trial, len(features), p_value)
-                result[i] = (trial, decision, accept, reject)
+        done = 0
+        while done < trials and active:
+            batch = range(done + 1, min(done + parallelism, trials) + 1)
+
+            def run(trial: int) -> list[float]:
+                return _trial_importance(
+                    vectors, active, key, label, rows, seed + trial, forest, importance, held_out
+                )
+
+            with ThreadPool(len(batch)) as pool:
+                for values in pool.map(run, batch, chunksize=1):
+                    bar = max(values[len(active) :])
+                    for position, i in enumerate(active):
+                        hits[i] += int(values[position] > bar)
+            done = batch[-1]
+            for i in active:
+                result[i] = (done, *verdict(hits[i], done, len(features), p_value))
             active = [i for i in active if result[i][1] != "rejected"]
             if not any(result[i][1] == "tentative" for i in active):
                 break

@@ -73,6 +73,20 @@ def test_rows_are_ordered_piece_by_piece(spark, plan_of):
     assert windows and all("_piece" in line for line in windows)
 
 
+def test_both_sides_share_the_shuffled_counts(spark, sf_dir, plan_of):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    df = orders.selectExpr("o_totalprice as score", "int(o_orderstatus = 'F') as label", "o_orderpriority as s")
+    result = metrics.roc_auc(df, by="s", piece_rows=100)
+    assert len(result.collect()) == 5
+    assert "ReusedExchange" in plan_of(result)
+
+
+def test_a_set_without_name_is_kept(spark):
+    rows = [(1, 0.9, None), (0, 0.1, None), (1, 0.2, "a"), (0, 0.7, "a")]
+    df = spark.createDataFrame(rows, "label int, score double, s string")
+    assert {r["s"]: r["auc"] for r in metrics.roc_auc(df, by="s").collect()} == {None: 1.0, "a": 0.0}
+
+
 def classified(spark):
     rng = random.Random(4)
     rows = [(float(rng.randrange(4)), float(rng.choice([0, 1, 1, 2, 5]))) for _ in range(300)]
