@@ -138,6 +138,7 @@ select id, round(coalesce(f1, (select median(f1) from numbers)), 6) as f1,
     "impute_median_disc": f"""with {CLEANED}
 select id, coalesce(f1, (select quantile_disc(f1, 0.5) from cleaned)) as f1,
   coalesce(f3, (select quantile_disc(f3, 0.5) from cleaned)) as f3, target from cleaned""",
+    "median_within_error": f"with {CLEANED} select count(f1) > 0 as f1, count(f3) > 0 as f3 from cleaned",
     "binarize_label": """select o_orderkey as id, case when o_orderstatus = 'F' then 0 else 1 end as target
 from orders""",
     "project_features": "select o_custkey, o_totalprice, o_orderstatus from orders",
@@ -201,6 +202,9 @@ select round(t, 6) as train_recall, round(v, 6) as validation_recall, round(v -
     "roc_curve": f"""with {roc()}
 select threshold, round(cn / tn, 6) as fpr, round(cp / tp, 6) as tpr from cum
 union all select null, 0.0, 0.0""",
+    "roc_by_split": f"""with {roc(by='split')}
+select split, threshold, round(cn / tn, 6) as fpr, round(cp / tp, 6) as tpr from cum
+union all select distinct split, null, 0.0, 0.0 from cum""",
     "roc_auc": f"with {roc()} select round(sum(neg * (cp - pos / 2)) / (max(tp) * max(tn)), 6) as auc from cum",
     "auc_by_split": f"""with {roc(by='split')}
 select split, round(sum(neg * (cp - pos / 2)) / (max(tp) * max(tn)), 6) as auc from cum group by split""",

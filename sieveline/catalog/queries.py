@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from sieveline.catalog import views
 from sieveline.catalog.views import DOC_FEATURES, PLAIN_FEATURES, SEED, table
 from sieveline.operators import bins, clean, explain, features, lift, metrics, models, search, selection, split
+from sieveline.operators.search import BOOSTED_SPACE
+from sieveline.plans.boosting import train_boosted
 from sieveline.plans.training import clean_table, train_classifier
 from sieveline.sources import artifacts
 from sieveline.sources.scratch import scratch_path
@@ -82,6 +84,21 @@ def impute_median_disc(spark, sf_dir):
     return clean.handle_missing(_cleaned(spark, sf_dir), DIRTY_COLUMNS, method="approx", error=0.0)
 
 
+@query
+def median_within_error(spark, sf_dir):
+    """Whether approximate medians are observed values within the rank error they promise."""
+    df = _cleaned(spark, sf_dir)
+    found = clean.median_values(df, ["f1", "f3"], "approx", 0.01)
+
+    def close(c: str) -> Column:
+        value, half = F.lit(found[c]), F.count(c) / 2
+        slack = F.count(c) * 0.01 + 1
+        below, upto = F.count_if(F.col(c) < value), F.count_if(F.col(c) <= value)
+        return ((upto > below) & (below <= half + slack) & (upto >= half - slack)).alias(c)
+
+    return df.agg(close("f1"), close("f3"))
+
+
 @query
 def binarize_label(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("target"))
@@ -105,6 +122,12 @@ def hash_split(spark, sf_dir):
     return split.hash_split(_order_ids(spark, sf_dir), "id", seed=SEED)
 
 
+@query
+def random_split(spark, sf_dir):
+    train, test = split.random_split(_order_ids(spark, sf_dir), [0.8, 0.2], SEED)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
 @query
 def three_way_split(spark, sf_dir):
     return split.three_way_split(_order_ids(spark, sf_dir), "id")
@@ -219,6 +242,11 @@ def roc_curve(spark, sf_dir):
     return rounded(metrics.roc_curve(views.scored(spark, sf_dir)), "fpr", "tpr")
 
 
+@query
+def roc_by_split(spark, sf_dir):
+    return rounded(metrics.roc_curve(views.scored_sets(spark, sf_dir), by="split"), "fpr", "tpr")
+
+
 @query
 def roc_auc(spark, sf_dir):
     return rounded(metrics.roc_auc(views.scored(spark, sf_dir)), "auc")
@@ -410,7 +438,7 @@ def grid_search(spark, sf_dir):
 @query
 def random_search(spark, sf_dir):
     train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
-    space = search.BOOSTED_SPACE | {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6), "min_data_in_leaf": ("int", 4, 20)}
+    space = BOOSTED_SPACE | {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6), "min_data_in_leaf": ("int", 4, 20)}
     settings = search.draw_settings(space, 4, SEED)
     return search.random_search(train, test, settings, SEED, "penalized").trials
 
@@ -447,6 +475,30 @@ def training_job(spark, sf_dir):
     return result.confusion
 
 
+@query
+def boosted_job(spark, sf_dir):
+    """AUC of train, validation and test after search, shadow selection and refit on documents."""
+    small = {
+        "n_estimators": ("int", 3, 6),
+        "max_depth": ("int", 3, 5),
+        "min_data_in_leaf": ("int", 4, 20),
+        "min_gain_to_split": ("int", 0, 0),
+        "class_weight": ("choice", None),
+    }
+    result = train_boosted(
+        views.docfeat(spark, sf_dir),
+        "target",
+        "id",
+        DOC_FEATURES + PLAIN_FEATURES,
+        negative_value=0,
+        space=BOOSTED_SPACE | small,
+        first_trials=2,
+        second_trials=2,
+        shadow_trials=4,
+    )
+    return result.evaluation.auc
+
+
 @query
 def document_quality(spark, sf_dir):
     """Which quality labels does a forest get wrong? Cleaning, split, fit and confusion matrix."""

@@ -17,9 +17,9 @@ def with_buckets(df: DataFrame, splits: dict[str, tuple[str, list[float]]]) -> D
     the first run. Null stays null.
     """
     cut = {out: spec for out, spec in splits.items() if spec[1]}
-    for out in splits.keys() - cut.keys():
-        source = splits[out][0]
-        df = df.withColumn(out, F.when(F.col(source).isNotNull(), F.lit(0)))
+    whole = {out: F.when(F.col(splits[out][0]).isNotNull(), F.lit(0)) for out in splits if out not in cut}
+    if whole:
+        df = df.withColumns(whole)
     if not cut:
         return df
     return Bucketizer(

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from sieveline.functions.expressions import is_observed
 from sieveline.operators.ranks import (
@@ -31,9 +32,15 @@ MAX_SETS = 64
 ALL = "all"
 
 
+def _tie_key(df: DataFrame, id: str) -> Column:
+    """What orders rows of equal score: a numeric id itself, a hash of any other id."""
+    numeric = isinstance(df.schema[id].dataType, NumericType)
+    return F.col(id) if numeric else F.xxhash64(F.col(id))
+
+
 @dataclass(frozen=True)
 class Edge:
-    """A row that starts a new bin: its score and, where others share that score, its id."""
+    """A row that starts a new bin: its score and, where others share that score, its tie key."""
 
     score: float
     id: float | None = None
@@ -57,17 +64,18 @@ class FittedBins:
     bins: int
     sets: dict[str, SetBins]
 
-    def _passed(self, edge: Edge, closed: bool) -> Column:
+    def _passed(self, df: DataFrame, edge: Edge, closed: bool) -> Column:
         score = F.col(self.score)
         if edge.id is None:
             return score >= F.lit(edge.score) if closed else score > F.lit(edge.score)
-        tie = F.col(self.id) >= F.lit(edge.id) if closed else F.col(self.id) > F.lit(edge.id)
+        key = _tie_key(df, self.id)
+        tie = key >= F.lit(edge.id) if closed else key > F.lit(edge.id)
         return (score > F.lit(edge.score)) | ((score == F.lit(edge.score)) & tie)
 
-    def _bin(self, fitted: SetBins) -> Column:
+    def _bin(self, df: DataFrame, fitted: SetBins) -> Column:
         if not fitted.edges:
             return F.lit(0)
-        passed = [self._passed(e, fitted.closed).cast("int") for e in fitted.edges]
+        passed = [self._passed(df, e, fitted.closed).cast("int") for e in fitted.edges]
         total = passed[0]
         for p in passed[1:]:
             total = total + p
@@ -78,9 +86,9 @@ class FittedBins:
         if not self.sets:
             return df.withColumn(output, F.lit(None).cast("int"))
         if self.by is None:
-            chosen = self._bin(self.sets[ALL])
+            chosen = self._bin(df, self.sets[ALL])
         else:
-            cases = [(F.col(self.by).cast("string") == name, self._bin(s)) for name, s in self.sets.items()]
+            cases = [(F.col(self.by).cast("string") == name, self._bin(df, s)) for name, s in self.sets.items()]
             chosen = F.when(*cases[0])
             for condition, value in cases[1:]:
                 chosen = chosen.when(condition, value)
@@ -181,7 +189,7 @@ def _tie_edges(
         here = F.col(score) == F.lit(value)
         if by is not None:
             here = here & (F.col(by).cast("string") == name)
-        series.append(Series(str(i), F.when(here, F.col(id)), None if weight is None else F.col(weight)))
+        series.append(Series(str(i), F.when(here, _tie_key(df, id)), None if weight is None else F.col(weight)))
         thresholds[str(i)] = [rest for _, rest in targets]
         at = found[name][targets[0][0]]
         totals[str(i)] = Total(at.rows, at.at)

@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.buckets import with_buckets
-from sieveline.functions.expressions import is_observed
 
 BRACKET_ROWS = 250_000
-SAMPLED_POINTS = 1_000
+SAMPLED_POINTS = 4_000
+MAX_POINTS = 400_000
 
 
 @dataclass(frozen=True)
@@ -68,60 +68,61 @@ class _Bracket:
         return math.nextafter(self.low, math.inf) < self.high
 
 
-def _weight(series: Series) -> Column:
-    return F.lit(1) if series.weight is None else series.weight
-
-
-def series_totals(df: DataFrame, series: list[Series]) -> dict[str, Total]:
-    """Row count and weight of every series in one aggregate."""
-    aggregates = []
-    for i, s in enumerate(series):
-        seen = is_observed(s.value)
-        aggregates.append(F.count_if(seen).alias(f"n{i}"))
-        aggregates.append(F.sum(F.when(seen, _weight(s))).alias(f"w{i}"))
-    row = df.agg(*aggregates).first()
-    return {s.name: Total(row[f"n{i}"], row[f"w{i}"] or 0) for i, s in enumerate(series)}
-
-
 def _columns(df: DataFrame, series: list[Series]) -> DataFrame:
-    """Per series i its values ``v<i>``, null for NaN, as one common type, and its weights ``w<i>``."""
-    types = {t for _, t in df.select(*[s.value.alias(f"v{i}") for i, s in enumerate(series)]).dtypes}
+    """Per series i its values ``v<i>``, null for NaN, as one common type, and its weights ``w<i>``.
+
+    From here on the expressions are SQL text: with hundreds of series, composing them call by call
+    would take longer than running them.
+    """
+    raw = df.select(
+        *[s.value.alias(f"v{i}") for i, s in enumerate(series)],
+        *[s.weight.alias(f"w{i}") for i, s in enumerate(series) if s.weight is not None],
+    )
+    types = {t for name, t in raw.dtypes if name.startswith("v")}
     if types <= {"tinyint", "smallint", "int", "bigint"}:
-        values = [s.value.cast("long") for s in series]
+        values = [f"cast(v{i} as bigint) as v{i}" for i in range(len(series))]
     else:
         # adding zero turns -0.0 into 0.0, which the bucket search would tell apart
-        values = [F.nanvl(s.value.cast("double"), F.lit(None).cast("double")) + F.lit(0.0) for s in series]
-    return df.select(
-        *[v.alias(f"v{i}") for i, v in enumerate(values)],
-        *[_weight(s).alias(f"w{i}") for i, s in enumerate(series)],
-    )
+        values = [f"nanvl(cast(v{i} as double), cast(null as double)) + 0.0D as v{i}" for i in range(len(series))]
+    weights = [f"1 as w{i}" if s.weight is None else f"w{i}" for i, s in enumerate(series)]
+    return raw.selectExpr(*values, *weights)
+
+
+def series_totals(df: DataFrame, series: list[Series]) -> dict[str, Total]:
+    """Row count and weight of every series in one aggregate."""
+    counts = [f"count(v{i}) as n{i}" for i in range(len(series))]
+    weighted = [i for i, s in enumerate(series) if s.weight is not None]
+    weights = [f"sum(if(v{i} is null, null, w{i})) as w{i}" for i in weighted]
+    row = _columns(df, series).selectExpr(*counts, *weights).first()
+    return {
+        s.name: Total(row[f"n{i}"], (row[f"w{i}"] or 0) if i in weighted else row[f"n{i}"])
+        for i, s in enumerate(series)
+    }
 
 
 def _long_form(
-    columns: DataFrame, points: dict[int, list[float]], keep: dict[int, list[int]] | None = None
+    columns: DataFrame, points: dict[int, list[float]], slots: dict[int, dict[int, int]] | None = None
 ) -> DataFrame:
-    """One row (series, bucket, value, weight) per observed value of the series in ``points``,
-    optionally of some buckets only."""
-    cut = columns.withColumns({f"d{i}": F.col(f"v{i}").cast("double") for i in points})
-    cut = with_buckets(cut, {f"b{i}": (f"d{i}", p) for i, p in points.items()})
+    """One row (series, slot, value, weight) per observed value of the series in ``points``.
+
+    The slot is the bucket between the points, or what ``slots`` makes of it per series; rows of
+    buckets not named there are left out.
+    """
+    searched = {i: p for i, p in points.items() if p}
+    cut = columns.selectExpr("*", *[f"cast(v{i} as double) as d{i}" for i in searched])
+    cut = with_buckets(cut, {f"b{i}": (f"d{i}", p) for i, p in searched.items()})
     entries = []
     for i in points:
-        value = F.col(f"v{i}")
-        if keep is not None:
-            value = F.when(F.col(f"b{i}").isin(keep[i]), value)
-        entries.append(
-            F.struct(
-                F.lit(i).alias("series"),
-                F.col(f"b{i}").cast("int").alias("bucket"),
-                value.alias("value"),
-                F.col(f"w{i}").alias("weight"),
-            )
-        )
+        slot = f"cast(b{i} as int)" if i in searched else "0"
+        if slots is not None:
+            cases = " ".join(f"when {b} then {k}" for b, k in slots[i].items())
+            slot = f"case {slot} {cases} end"
+        entries.append(f"named_struct('series', {i}, 'slot', {slot}, 'value', v{i}, 'weight', w{i})")
     if len(entries) == 1:
-        rows = cut.select(entries[0].alias("e")).select("e.*")
+        rows = cut.selectExpr(f"{entries[0]} as e").select("e.*")
     else:
-        rows = cut.select(F.inline(F.array(*entries)))
-    return rows.where(F.col("value").isNotNull())
+        rows = cut.selectExpr(f"inline(array({', '.join(entries)}))")
+    return rows.where("value is not null and slot is not null")
 
 
 def _draw(
@@ -129,8 +130,8 @@ def _draw(
 ) -> dict[int, set[float]]:
     """A bounded sample of the values inside the brackets that are still too wide."""
     rows = sum(b.rows for brackets in wide.values() for b in brackets.values())
-    budget = SAMPLED_POINTS * sum(len(brackets) for brackets in wide.values())
-    inside = _long_form(columns, {i: points[i] for i in wide}, {i: list(brackets) for i, brackets in wide.items()})
+    budget = min(MAX_POINTS, SAMPLED_POINTS * sum(len(brackets) for brackets in wide.values()))
+    inside = _long_form(columns, {i: points[i] for i in wide}, {i: dict.fromkeys(b, 0) for i, b in wide.items()})
     sample = inside.select("series", F.col("value").cast("double").alias("value"))
     drawn: dict[int, set[float]] = {i: set() for i in wide}
     for row in sample.sample(fraction=min(1.0, budget / rows), seed=seed).collect():
@@ -156,8 +157,9 @@ def locate(
     """For each series and threshold ``t``, the first value whose cumulative weight reaches ``t``.
 
     Without weights a threshold is a 1-based rank. ``totals`` come from :func:`series_totals`.
-    The driver holds only sampled points and counts between them, both bounded by constants times
-    the number of thresholds; the rows stay where they are.
+    The driver holds only sampled points and counts between them, whose number is bounded; the rows
+    stay where they are. Each round shrinks a bracket about as many times as it has points, so 10^12
+    rows take two rounds, each two scans of the columns involved.
     """
     series = [s for s in series if totals[s.name].rows > 0 and thresholds.get(s.name)]
     found: dict[str, dict[float, Position]] = {s.name: {} for s in series}
@@ -185,7 +187,7 @@ def locate(
             points[i] = sorted(e for e in edges | own if math.isfinite(e))
         counted = (
             _long_form(columns, {i: points[i] for i in wide})
-            .groupBy("series", "bucket")
+            .groupBy("series", "slot")
             .agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.sum("weight").alias("weight"),
@@ -195,7 +197,7 @@ def locate(
             .collect()
         )
         for i in wide:
-            buckets = sorted((r for r in counted if r["series"] == i), key=lambda r: r["bucket"])
+            buckets = sorted((r for r in counted if r["series"] == i), key=lambda r: r["slot"])
             reached = list(accumulate(float(r["weight"]) for r in buckets))
             targets = [t for br in pending[i].values() for t in br.thresholds]
             pending[i] = {}
@@ -206,9 +208,9 @@ def locate(
                 if row["low"] == row["high"]:
                     found[series[i].name][t] = Position(row["low"], offset, row["weight"], row["rows"])
                     continue
-                low, high = _bounds(points[i], row["bucket"])
+                low, high = _bounds(points[i], row["slot"])
                 bracket = _Bracket(low, high, row["rows"], offset)
-                pending[i].setdefault(row["bucket"], bracket).thresholds.append(t)
+                pending[i].setdefault(row["slot"], bracket).thresholds.append(t)
     for i, t, position in _finish(columns, points, {i: b for i, b in pending.items() if b}):
         found[series[i].name][t] = position
     return found
@@ -218,20 +220,17 @@ def _finish(columns: DataFrame, points: dict[int, list[float]], pending: dict[in
     """Order the rows of the remaining small brackets and read the answers off."""
     if not pending:
         return
-    lookup = {(i, bucket): br for i, brackets in pending.items() for bucket, br in brackets.items()}
-    number = F.lit(None).cast("int")
-    for k, (i, bucket) in enumerate(lookup):
-        number = F.when((F.col("series") == i) & (F.col("bucket") == bucket), F.lit(k)).otherwise(number)
-    inside = _long_form(columns, {i: points[i] for i in pending}, {i: list(b) for i, b in pending.items()})
-    values = inside.groupBy("series", "bucket", "value").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")
-    )
-    within = Window.partitionBy("series", "bucket").orderBy("value")
+    brackets = [(i, bucket, br) for i, by_bucket in pending.items() for bucket, br in by_bucket.items()]
+    slots: dict[int, dict[int, int]] = {i: {} for i in pending}
+    for slot, (i, bucket, _) in enumerate(brackets):
+        slots[i][bucket] = slot
+    inside = _long_form(columns, {i: points[i] for i in pending}, slots)
+    values = inside.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight"))
+    within = Window.partitionBy("slot").orderBy("value")
     running = F.sum("weight").over(within.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
     before = running - F.col("weight")
     ranked = values.select(
-        "series",
-        "bucket",
+        "slot",
         "value",
         "rows",
         "weight",
@@ -241,17 +240,17 @@ def _finish(columns: DataFrame, points: dict[int, list[float]], pending: dict[in
         F.when(F.lead("value").over(within).isNull(), F.lit(math.inf)).otherwise(running).alias("until"),
     )
     # thresholds counted from the start of their bracket: as many literals as were asked for
-    targets = F.array(*[F.array(*[F.lit(t - br.offset) for t in br.thresholds]) for br in lookup.values()])
+    targets = F.lit([[t - br.offset for t in br.thresholds] for _, _, br in brackets])
     hits = ranked.withColumn(
         "reached",
-        F.filter(targets[number], lambda t: (t > F.col("after")) & (t <= F.col("until"))),
+        F.filter(targets[F.col("slot")], lambda t: (t > F.col("after")) & (t <= F.col("until"))),
     ).where(F.size("reached") > 0)
     for row in hits.collect():
-        bracket = lookup[row["series"], row["bucket"]]
+        i, _, bracket = brackets[row["slot"]]
         position = Position(row["value"], bracket.offset + row["before"], row["weight"], row["rows"])
         for t in bracket.thresholds:
             if t - bracket.offset in row["reached"]:
-                yield row["series"], t, position
+                yield i, t, position
 
 
 def interpolate(low: float, high: float, share: float) -> float:

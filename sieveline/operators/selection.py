@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import comb
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import Classifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,7 +95,7 @@ def _trial_importance(
     label: str,
     rows: int,
     seed: int,
-    forest: RandomForestClassifier,
+    estimator: Classifier,
     importance: str,
     held_out: float,
 ) -> list[float]:
@@ -104,16 +104,16 @@ def _trial_importance(
     paired = with_shadows(sliced.select(key, label, "_real"), key, "_real", seed, rows)
     both = VectorAssembler(inputCols=["_real", "shadow"], outputCol=FEATURES).transform(paired)
     is_test = hash_bucket([key], seed) < round(held_out * HASH_SPACE)
-    both = both.select(label, F.col(FEATURES).alias(forest.getFeaturesCol()), is_test.alias("_test")).persist()
+    both = both.select(label, F.col(FEATURES).alias(estimator.getFeaturesCol()), is_test.alias("_test")).persist()
     try:
-        model = forest.copy({forest.seed: seed}).fit(both.where(~F.col("_test")))
+        model = estimator.copy({estimator.seed: seed}).fit(both.where(~F.col("_test")))
         if importance == "impurity":
             return list(model.featureImportances.toArray())
-        test = both.where("_test").select(forest.getFeaturesCol())
+        test = both.where("_test").select(estimator.getFeaturesCol())
         total = [0.0] * (2 * len(active))
         # with two classes the attributions of one are those of the other with the sign turned
         for c in range(model.numClasses) if model.numClasses > 2 else [model.numClasses - 1]:
-            explained = attribute(test, fit_explainer(vectors.sparkSession, model, c), forest.getFeaturesCol())
+            explained = attribute(test, fit_explainer(vectors.sparkSession, model, c), estimator.getFeaturesCol())
             for row in mean_abs_contribution(explained, k=None).collect():
                 total[int(row["feature"])] += row["mean_abs"]
         return total
@@ -129,14 +129,14 @@ def shadow_selection(
     label: str = LABEL,
     trials: int = 100,
     p_value: float = 0.1,
-    estimator: RandomForestClassifier | None = None,
+    estimator: Classifier | None = None,
     importance: str = "attribution",
     held_out: float = 0.3,
     parallelism: int = 4,
 ) -> DataFrame:
     """(feature, hits, trials, accept_p, reject_p, decision) of a shadow-feature selection.
 
-    In each trial a forest is fitted on the features and their shadows; a feature scores a hit if it
+    In each trial a tree ensemble, a forest by default, is fitted on the features and their shadows; a feature scores a hit if it
     matters more than every shadow. ``attribution`` measures that by the mean absolute attribution on
     held-out rows, ``impurity`` by the impurity decrease in training. ``parallelism`` trials run at a
     time; after each such round rejected features leave, and the trials end early once every feature
@@ -144,7 +144,7 @@ def shadow_selection(
     """
     if importance not in ("attribution", "impurity"):
         raise ValueError("importance must be attribution or impurity")
-    forest = estimator or random_forest(seed, label)
+    estimator = estimator or random_forest(seed, label)
     vectors = (
         assemble(df.select(key, label, *features), list(features), "_all").select(key, label, "_all").persist()
     )
@@ -159,7 +159,7 @@ def shadow_selection(
 
             def run(trial: int) -> list[float]:
                 return _trial_importance(
-                    vectors, active, key, label, rows, seed + trial, forest, importance, held_out
+                    vectors, active, key, label, rows, seed + trial, estimator, importance, held_out
                 )
 
             with ThreadPool(len(batch)) as pool:

@@ -109,6 +109,14 @@ def test_filled_bins_are_counted_right(spark):
             assert fitted.sets["all"].filled == plain.nunique()
 
 
+def test_text_ids_break_ties_too(spark):
+    pdf = pd.DataFrame({"id": [f"row-{i}" for i in range(60)], "score": [float(i % 2) for i in range(60)]})
+    df = frame(spark, pdf)
+    found = fit_rank_bins(df, "score", "id", 10).apply(df).toPandas()
+    assert np.bincount(found["bin"]).tolist() == [6] * 10
+    assert set(found[found["score"] == 0.0]["bin"]) == set(range(5))
+
+
 def test_all_scores_tied(spark):
     pdf = pd.DataFrame({"id": range(40), "score": [0.5] * 40})
     df = frame(spark, pdf)
