@@ -11,7 +11,7 @@ did. The integrand is a polynomial of degree d - 1, so Gauss-Legendre quadrature
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,7 @@ from sieveline.sources.scratch import scratch_path
 OTHERS = "others"
 
 
-@dataclass(frozen=True)
-class Leaf:
+class Leaf(NamedTuple):
     """What is left of a path: per feature the interval it allows and the share of weight passing."""
 
     value: float
@@ -37,20 +36,8 @@ class Leaf:
     high: np.ndarray
     share: np.ndarray
 
-    def effects(self, rows: np.ndarray) -> np.ndarray:
-        """(rows, features of the path) contributions of this leaf."""
-        x = rows[:, self.features]
-        passed = ((x > self.low) & (x <= self.high)).astype(np.float64)
-        nodes, weights = np.polynomial.legendre.leggauss(len(self.features) // 2 + 1)
-        integral = np.zeros_like(passed)
-        for at, weight in zip((nodes + 1) / 2, weights / 2):
-            terms = self.share * (1 - at) + passed * at
-            integral += weight * terms.prod(axis=1, keepdims=True) / terms
-        return self.value * (passed - self.share) * integral
 
-
-@dataclass(frozen=True)
-class Explainer:
+class Explainer(NamedTuple):
     """The leaves of an ensemble and the output it gives before any feature is known."""
 
     leaves: list[Leaf]
@@ -119,12 +106,29 @@ def fit_explainer(spark: SparkSession, model, class_index: int = 1) -> Explainer
     return Explainer(leaves, float(base), model.numFeatures)
 
 
-def row_attributions(rows: np.ndarray, explainer: Explainer) -> np.ndarray:
-    """(rows, features) attributions of a block of feature rows."""
-    out = np.zeros((rows.shape[0], explainer.width))
-    for leaf in explainer.leaves:
-        out[:, leaf.features] += leaf.effects(rows)
-    return out
+def attribution_function(shared):
+    """The function that runs in the tasks, from one Arrow column of feature rows to another.
+
+    It refers to NumPy, Arrow and plain tuples only, so that workers need not have this package.
+    """
+
+    def contributions(column: pa.Array) -> pa.Array:
+        leaves, width = shared.value
+        rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+        out = np.zeros(rows.shape)
+        for value, features, low, high, share in leaves:
+            x = rows[:, features]
+            passed = ((x > low) & (x <= high)).astype(np.float64)
+            nodes, weights = np.polynomial.legendre.leggauss(len(features) // 2 + 1)
+            integral = np.zeros_like(passed)
+            for at, weight in zip((nodes + 1) / 2, weights / 2):
+                terms = share * (1 - at) + passed * at
+                integral += weight * terms.prod(axis=1, keepdims=True) / terms
+            out[:, features] += value * (passed - share) * integral
+        ends = pa.array(np.arange(len(column) + 1, dtype=np.int32) * width)
+        return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
+
+    return contributions
 
 
 def attribute(
@@ -135,15 +139,9 @@ def attribute(
     Only the feature column goes to Python, in Arrow batches without a copy per row; all other
     columns stay in the JVM.
     """
-    shared = df.sparkSession.sparkContext.broadcast(explainer)
-
-    @F.arrow_udf("array<double>")
-    def contributions(column: pa.Array) -> pa.Array:
-        rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-        values = row_attributions(rows, shared.value)
-        ends = pa.array(np.arange(len(column) + 1, dtype=np.int32) * values.shape[1])
-        return pa.ListArray.from_arrays(ends, pa.array(values.ravel()))
-
+    leaves = [tuple(leaf) for leaf in explainer.leaves]
+    shared = df.sparkSession.sparkContext.broadcast((leaves, explainer.width))
+    contributions = F.arrow_udf(attribution_function(shared), "array<double>")
     return df.withColumns(
         {output: contributions(vector_to_array(features)), "base_value": F.lit(explainer.base)}
     )

@@ -1,16 +1,21 @@
 """Attributions against brute-force Shapley values on the trees' own conditional expectations."""
 
+import subprocess
+import sys
 from itertools import combinations
 from math import factorial
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sieveline.operators.explain import (
     attribute,
+    attribution_function,
     fit_explainer,
     mean_abs_contribution,
     top_contributions,
@@ -112,6 +117,19 @@ def test_a_tree_without_splits(spark, data):
     assert all(r["contributions"] == [0.0] * 4 for r in explained)
 
 
+def test_workers_need_not_have_the_package(spark, data, tmp_path):
+    model = RandomForestClassifier(numTrees=2, maxDepth=2, seed=1).fit(data)
+    explainer = fit_explainer(spark, model)
+    shared = SimpleNamespace(value=([tuple(leaf) for leaf in explainer.leaves], explainer.width))
+    (tmp_path / "f.pickle").write_bytes(cloudpickle.dumps(attribution_function(shared)))
+    code = (
+        "import pickle, pyarrow as pa, sys; f = pickle.load(open('f.pickle', 'rb'));"
+        "print(len(f(pa.array([[1.0, 2.0, 3.0, 1.0]]))), 'sieveline' in sys.modules)"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.split() == ["1", "False"], done.stderr
+
+
 def test_only_the_feature_column_goes_to_python(spark, data, plan_of):
     model = RandomForestClassifier(numTrees=2, maxDepth=2, seed=1).fit(data)
     text = plan_of(attribute(data, fit_explainer(spark, model)))
