@@ -105,7 +105,8 @@ def _score_series(
 ) -> tuple[list[Series], dict[str, Total]]:
     """The scores of each set with their row counts and weights, from one aggregate.
 
-    ``by`` names a handful of evaluation sets, which is checked.
+    ``by`` names a handful of evaluation sets, which is checked; rows whose set has no name belong to
+    none and get no bin.
     """
     value = F.col(score)
     w = None if weight is None else F.col(weight)

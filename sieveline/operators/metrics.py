@@ -94,6 +94,13 @@ def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "pred
     return grid.unionByName(counts).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
+def _class_name(value) -> str:
+    """Text of a class that can stand in a column name: ``0`` for 0.0, no dots."""
+    if isinstance(value, float) and value.is_integer():
+        value = int(value)
+    return str(value).replace(".", "_")
+
+
 def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction", classes: list | None = None
 ) -> DataFrame:
@@ -102,7 +109,7 @@ def confusion_matrix(
     if classes is None:
         classes = sorted(r[0] for r in pairs.select("label").distinct().collect())
     wide = [
-        F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n")).otherwise(0)).alias(f"predicted_{c}")
+        F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n")).otherwise(0)).alias(f"predicted_{_class_name(c)}")
         for c in classes
     ]
     return pairs.groupBy("label").agg(*wide)

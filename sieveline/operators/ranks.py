@@ -17,6 +17,7 @@ steers the search; counts decide, so the result is exact whatever was drawn.
 from __future__ import annotations
 
 import math
+import sys
 from bisect import bisect_left
 from dataclasses import dataclass, field
 from itertools import accumulate
@@ -135,8 +136,7 @@ def _draw(
     sample = inside.select("series", F.col("value").cast("double").alias("value"))
     drawn: dict[int, set[float]] = {i: set() for i in wide}
     for row in sample.sample(fraction=min(1.0, budget / rows), seed=seed).collect():
-        if math.isfinite(row["value"]):
-            drawn[row["series"]].add(row["value"])
+        drawn[row["series"]].add(row["value"])
     return drawn
 
 
@@ -183,7 +183,10 @@ def locate(
         seed += 1
         for i, values in drawn.items():
             edges = {e for br in pending[i].values() for e in (br.low, br.high)}
+            # each drawn value gets a bucket of its own, infinite ones the buckets at the ends
             own = values | {math.nextafter(v, math.inf) for v in values}
+            if math.inf in values:
+                own.add(sys.float_info.max)
             points[i] = sorted(e for e in edges | own if math.isfinite(e))
         counted = (
             _long_form(columns, {i: points[i] for i in wide})

@@ -50,10 +50,11 @@ class SearchResult:
 
 
 def even_steps(start: Column, stop: Column, num: Column) -> Column:
-    """``num`` evenly spaced values from start to stop, each rounded half to even, as an array."""
+    """``num`` evenly spaced values from start to stop, each rounded half to even, as an array; null
+    if ``num`` is below 1."""
     step = F.try_divide((stop - start).cast("double"), (num - 1).cast("double"))
     value = lambda i: F.bround(start.cast("double") + F.coalesce(i * step, F.lit(0.0))).cast("int")
-    return F.transform(F.sequence(F.lit(0), num - 1), value)
+    return F.when(num >= 1, F.transform(F.sequence(F.lit(0), num - 1), value))
 
 
 def search_space(ranges: DataFrame, keep: list[str]) -> DataFrame:

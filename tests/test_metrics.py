@@ -108,7 +108,7 @@ def test_confusion_matrix_has_all_classes_of_both_sides(spark):
     assert set(wide) == {0.0, 1.0, 2.0, 3.0, 5.0}
     for label in wide:
         for prediction in wide:
-            assert wide[label][f"predicted_{prediction}"] == rows.count((label, prediction))
+            assert wide[label][f"predicted_{int(prediction)}"] == rows.count((label, prediction))
     assert metrics.confusion_pairs(df).count() == 25
 
 

@@ -10,6 +10,7 @@ from sieveline.functions.small import join_checked
 from sieveline.operators import features, models, search, selection
 from sieveline.operators.split import assign_folds, hash_split
 from sieveline.plans import training
+from sieveline.plans.boosting import train_boosted
 from sieveline.plans.evaluation import evaluate_sets
 from sieveline.sources import artifacts
 from sieveline.sources.scratch import scratch_path
@@ -191,6 +192,11 @@ def test_ranges_round_half_to_even():
         search.range_values({"num": 0})
 
 
+def test_an_empty_range_has_no_values(spark):
+    ranges = spark.createDataFrame([("x", 1, 5, 0)], "p string, start int, stop int, num int")
+    assert search.search_space(ranges, ["p"]).count() == 0
+
+
 def test_search_space_table_agrees(spark):
     ranges = spark.createDataFrame([("x", 3, 50, 5), ("y", 7, 9, 1), ("z", -5, 4, 4)], "p string, start int, stop int, num int")
     rows = search.search_space(ranges, ["p"]).orderBy("p", "step").collect()
@@ -314,6 +320,34 @@ def test_training_on_all_features_with_train_medians(spark, data):
         training.clean_table(raw(data), "target", fit_on="test")
 
 
+def test_boosted_study(spark, data):
+    space = {
+        "n_estimators": ("int", 3, 6),
+        "max_depth": ("int", 3, 5),
+        "learning_rate": ("float", 0.1, 0.3),
+        "class_weight": ("choice", None, "balanced"),
+    }
+    result = train_boosted(
+        data.drop("label"),
+        "target",
+        "id",
+        ALL,
+        negative_value="no",
+        space=space,
+        first_trials=2,
+        second_trials=2,
+        shadow_trials=4,
+        objective="penalized",
+    )
+    assert set(SIGNAL) <= set(result.features) and result.model.numFeatures == len(result.features)
+    auc = {r["split"]: r["auc"] for r in result.evaluation.auc.collect()}
+    assert set(auc) == {"train", "val", "test"} and min(auc.values()) > 0.8
+    sizes = {r["split"]: r["count"] for r in result.scored.groupBy("split").count().collect()}
+    assert sum(sizes.values()) == 600
+    assert result.attributions.where(F.size("contributions") == len(result.features)).count() == sizes["test"]
+    assert result.search.trials.count() == 2 and result.selection.count() == 4
+
+
 def test_evaluation_of_all_sets(spark):
     rows = [(i, i % 2, float(i % 2) if i % 5 else 0.5, ("train", "val", "test")[i % 3]) for i in range(90)]
     df = spark.createDataFrame(rows, "id int, label int, score double, split string")

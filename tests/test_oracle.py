@@ -42,4 +42,4 @@ def test_every_sql_text_has_a_query():
 def test_entry_has_rows(spark):
     rows = entry(spark).collect()
     assert sorted(r["label"] for r in rows) == [0.0, 1.0]
-    assert sum(r["predicted_0.0"] + r["predicted_1.0"] for r in rows) > 0
+    assert sum(r["predicted_0"] + r["predicted_1"] for r in rows) > 0

@@ -73,6 +73,17 @@ def test_zero_signs_infinities_and_missing_values(spark, monkeypatch):
     assert found[14.0].rows == 40
 
 
+@pytest.mark.parametrize("hot", [math.inf, -math.inf])
+def test_many_infinite_values(spark, monkeypatch, hot):
+    monkeypatch.setattr(ranks, "SAMPLED_POINTS", 5)
+    values = [hot if i % 3 == 0 else float(i) for i in range(600)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    series = [Series("v", F.col("v"))]
+    wanted = [1.0, 100.0, 201.0, 400.0, 401.0, 600.0]
+    found = locate(df, series, {"v": wanted}, series_totals(df, series), bracket_rows=20)["v"]
+    assert [found[t].value for t in wanted] == [sorted(values)[int(t) - 1] for t in wanted]
+
+
 def test_fractional_weights_always_find_a_row(spark, monkeypatch):
     monkeypatch.setattr(ranks, "SAMPLED_POINTS", 5)
     rng = random.Random(3)
