@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.llm.sharding import running_totals
 from sieveline.llm.texts import text_of, word_count
 from sieveline.sources.scratch import written
 
@@ -31,8 +32,6 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
     until none is above. This is a common level times the weight for the sources below their stop. It is
     found by passes over the table, each of which stops at least one more source; only sums reach the driver.
     """
-    from sieveline.llm.sharding import running_totals
-
     ranked = running_totals(
         sources.withColumns({"_null": F.col("source").isNull(), "_one": F.lit(1).cast("long")}), ["_null", "source"], "_one"
     )
@@ -66,10 +65,128 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
 
 def uniform(key: Column, seed: int) -> Column:
     """A number strictly between 0 and 1 from 52 bits of an MD5 digest of key and seed."""
-    digits = F.substring(F.md5(F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary")), 1, 13)
+    digits = F.substring(F.md5(F.concat_ws("|", key, F.lit(str(seed))).cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("long").cast("double") + 0.5) / float(GRAIN)
 
 
+def drawn(docs: DataFrame, id: str, text: str, source: str, seed: int) -> DataFrame:
+    """Add ``_source, _size, _key, _u``: what the decision about a document depends on. No shuffle."""
+    content = text_of(text)
+    key = F.coalesce(F.col(id).cast("string"), F.md5(content.cast("binary")))
+    return docs.withColumns(
+        {"_source": F.col(source).cast("string"), "_size": word_count(content), "_key": key, "_u": uniform(key, seed)}
+    )
+
+
+def ranked_by_odds(rows: DataFrame, plan: DataFrame, tilt: float) -> DataFrame:
+    """Join the sources' facts and add ``_whole`` copies, ``_odds`` and ``_bin``; the last two are null without a chance.
+
+    The facts are one narrow row per source; Spark broadcasts them if they are small and splits a hot source if not.
+    """
+    own, total, stop = F.col("_size"), F.col("source_size"), float(MOST_COPIES)
+    ratio = F.col("target") / total
+    centred = (favour(own) * total - F.col("favoured")).cast("double") / (1000.0 * total)
+    expected = ratio + tilt * F.least(ratio, stop - ratio) * centred
+    bounded = F.when(total > 0, F.least(F.lit(stop), F.greatest(F.lit(0.0), expected))).otherwise(F.lit(0.0))
+    odds = F.col("_u") / (1 - F.col("_u")) / (F.col("_chance") / (1 - F.col("_chance")))
+    return (
+        rows.join(plan, F.col("_source").eqNullSafe(F.col("plan_source")), "left")
+        .withColumn("_expected", bounded)
+        .withColumn("_whole", F.floor("_expected").cast("long"))
+        .withColumn("_chance", F.col("_expected") - F.col("_whole"))
+        .withColumn("_odds", F.when(F.col("_chance") > 0, odds))
+        # monotone in the odds, so bins follow the ranking
+        .withColumn("_bin", F.floor(F.col("_odds") / (1 + F.col("_odds")) * BINS).cast("int"))
+        .drop("_expected", "_chance")
+    )
+
+
+def favour(size: Column) -> Column:
+    """The preference for long documents in whole words per mille, so that its sums are exact in any order."""
+    return F.floor(size * 1000 / (size + HALF_SIZE)).cast("long")
+
+
+def cuts_of(ranked: DataFrame) -> DataFrame:
+    """Per source the words ``left`` after the whole copies, the bin ``cut`` in which they are met, and the last
+    document of that bin (``last``: odds, key, size) that is taken.
+
+    Bins are summed before anything is ordered; only the rows of one bin per source are.
+    """
+    bins = ranked.groupBy("_source", "_bin", "target").agg(
+        F.sum(F.when(F.col("_bin").isNotNull(), F.col("_size")).otherwise(0)).alias("_words"),
+        F.sum(F.col("_whole") * F.col("_size")).alias("_certain"),
+    )
+    own = Window.partitionBy("_source")
+    earlier = own.orderBy(F.col("_bin").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    run = bins.withColumns(
+        {
+            "left": F.col("target") - F.sum("_certain").over(own),
+            "_before": F.coalesce(F.sum("_words").over(earlier), F.lit(0)),
+        }
+    )
+    met = F.col("_bin").isNotNull() & (F.col("left") > F.col("_before")) & (F.col("left") <= F.col("_before") + F.col("_words"))
+    cuts = run.groupBy(F.col("_source").alias("cut_source")).agg(
+        F.max("left").alias("left"),
+        F.max(F.when(met, F.col("_bin"))).alias("cut"),
+        F.max(F.when(met, F.col("left") - F.col("_before"))).alias("_open"),
+    )
+    at_cut = ranked.select("_source", "_bin", "_odds", "_key", "_size").join(
+        cuts, F.col("_source").eqNullSafe(F.col("cut_source")) & (F.col("_bin") == F.col("cut"))
+    )
+    order = Window.partitionBy("_source").orderBy("_odds", "_key", "_size")
+    peers = F.sum("_size").over(Window.partitionBy("_source", "_odds", "_key", "_size"))
+    through = F.sum("_size").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    # equal documents go together; they are in if their middle lies before the cut: the nearest total
+    inside = at_cut.withColumns({"_through": through, "_peers": peers}).where(
+        2 * F.col("_through") - F.col("_peers") <= 2 * F.col("_open")
+    )
+    last = inside.groupBy(F.col("_source").alias("last_source")).agg(
+        F.max(F.struct(F.col("_odds").alias("odds"), F.col("_key").alias("key"), F.col("_size").alias("size"))).alias("last")
+    )
+    return cuts.drop("_open").join(last, F.col("cut_source").eqNullSafe(F.col("last_source")), "left").drop("last_source")
+
+
+def mix_plan(
+    docs: DataFrame, id: str, text: str, source: str, weights: tuple[int, ...], tilt: float, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """(plan, sizes): the stored facts of each source, and the stored narrow row of each document."""
+    sized = written(
+        drawn(docs.select(id, text, source), id, text, source, seed).select(F.col(id).alias("doc_id"), "_source", "_size", "_key", "_u"),
+        "sizes",
+    )
+    sources = written(
+        sized.groupBy("_source").agg(F.sum("_size").alias("source_size"), F.sum(favour(F.col("_size")) * F.col("_size")).alias("favoured")),
+        "sources",
+    )
+    targets = source_targets(sources.select(F.col("_source").alias("source"), "source_size"), weights)
+    facts = sources.select(F.col("_source").alias("plan_source"), "source_size", "favoured").join(
+        targets.select("source", "target"), F.col("plan_source").eqNullSafe(F.col("source"))
+    ).drop("source")
+    facts = written(facts, "facts")
+    cuts = cuts_of(ranked_by_odds(sized, facts, tilt))
+    plan = facts.join(cuts, F.col("plan_source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    return written(plan, "plan"), sized
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, tilt: float) -> DataFrame:
+    """Add ``source_size, target, copies`` to rows made by :func:`drawn`: a projection, given the plan."""
+    ranked = ranked_by_odds(rows, plan, tilt)
+    last = F.col("last")
+    before = (F.col("_odds") < last["odds"]) | (
+        (F.col("_odds") == last["odds"])
+        & ((F.col("_key") < last["key"]) | ((F.col("_key") == last["key"]) & (F.col("_size") <= last["size"])))
+    )
+    extra = (
+        F.when(F.col("_bin").isNull(), F.lit(False))
+        .when(F.col("cut").isNull(), F.col("left") > 0)
+        .when(F.col("_bin") == F.col("cut"), F.coalesce(before, F.lit(False)))
+        .otherwise(F.col("_bin") < F.col("cut"))
+    )
+    return ranked.withColumn("copies", F.col("_whole") + extra.cast("long")).drop(
+        "_whole", "_odds", "_bin", "plan_source", "favoured", "left", "cut", "last"
+    )
+
+
 def mix(
     docs: DataFrame,
     id: str = "doc_id",
@@ -89,82 +206,39 @@ def mix(
     sample is fixed in words: the ranking is cut where its words come nearest to what the whole copies leave
     open, so a source misses its target by at most half a document. ``taken`` is ``copies * size``.
 
-    Random numbers are digests of id and seed, so reruns agree. Ties go by id, then size; documents with the same
-    id draw the same number; null ids share one. Null is a source of its own. Columns of ``docs`` other than the
-    three named are not read.
+    Random numbers are digests of the id (of the text where the id is null) and the seed, so reruns agree. Rows
+    that tie in odds, id and size are taken alike. A null source is a source of its own. An
+    empty table gives no rows. Columns of ``docs`` other than the three named are not read.
     """
     if not 0 <= tilt <= 1:
         raise ValueError("tilt must be between 0 and 1")
-    content = text_of(text)
-    sized = written(
-        docs.select(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(content).alias("size")),
-        "sizes",
-    )
-    # words per mille of the preference, so that sums are exact and in any order the same
-    favour = F.floor(F.col("size") * 1000 / (F.col("size") + HALF_SIZE)).cast("long")
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(favour * F.col("size")).alias("_favoured"))
-    targets = source_targets(sources.select("source", "source_size"), weights).select(
-        F.col("source").alias("_source"), "target"
-    )
-    facts = written(
-        sources.join(targets, F.col("source").eqNullSafe(F.col("_source"))).select("_source", "source_size", "_favoured", "target"),
-        "targets",
-    )
-    ratio = F.col("target") / F.col("source_size")
-    centred = (favour * F.col("source_size") - F.col("_favoured")).cast("double") / (1000.0 * F.col("source_size"))
-    expected = F.when(
-        F.col("source_size") > 0, F.least(F.lit(float(MOST_COPIES)), F.greatest(F.lit(0.0), ratio + tilt * F.least(ratio, MOST_COPIES - ratio) * centred))
-    ).otherwise(F.lit(0.0))
-    ready = (
-        sized.join(facts, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_expected", expected)
-        .withColumn("_whole", F.floor("_expected").cast("long"))
-        .withColumn("_chance", F.col("_expected") - F.col("_whole"))
-        .withColumn("_u", uniform(F.col("doc_id"), seed))
-        .withColumn("_odds", F.col("_u") / (1 - F.col("_u")) / (F.col("_chance") / (1 - F.col("_chance"))))
-        # monotone in the odds, so bins follow the ranking
-        .withColumn("_bin", F.when(F.col("_chance") > 0, F.floor(F.col("_odds") / (1 + F.col("_odds")) * BINS).cast("int")))
-        .select("doc_id", "source", "size", "source_size", "target", "_whole", "_odds", "_bin")
+    plan, sized = mix_plan(docs, id, text, source, weights, tilt, seed)
+    return with_copies(sized, plan, tilt).select(
+        "doc_id",
+        F.col("_source").alias("source"),
+        F.col("_size").alias("size"),
+        "source_size",
+        "target",
+        "copies",
+        (F.col("copies") * F.col("_size")).alias("taken"),
     )
-    ranked = written(ready, "ranked")
-    cuts = cut_bins(ranked, facts)
-    return taken(ranked, cuts)
 
 
-def cut_bins(ranked: DataFrame, facts: DataFrame) -> DataFrame:
-    """Per source the bin of the ranking in which its target is met, and the words still open there."""
-    bins = ranked.groupBy("source", "_bin").agg(
-        F.sum(F.when(F.col("_bin").isNotNull(), F.col("size")).otherwise(0)).alias("_words"),
-        F.sum(F.col("_whole") * F.col("size")).alias("_certain"),
-    )
-    own = Window.partitionBy("source")
-    run = bins.withColumns(
-        {
-            "_certain": F.sum("_certain").over(own),
-            "_before": F.coalesce(
-                F.sum("_words").over(own.orderBy(F.col("_bin").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        }
-    )
-    opened = run.join(facts.select("_source", F.col("target").alias("_target")), F.col("source").eqNullSafe(F.col("_source")))
-    left = F.col("_target") - F.col("_certain")
-    return opened.where(F.col("_bin").isNotNull() & (left > F.col("_before")) & (left <= F.col("_before") + F.col("_words"))).select(
-        F.col("source").alias("_cut_source"), F.col("_bin").alias("_cut"), (left - F.col("_before")).alias("_open")
-    )
-
+def mixed_documents(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    tilt: float = 0.5,
+    seed: int = 2023,
+) -> DataFrame:
+    """The rows of ``docs`` themselves, each as often as :func:`mix` takes it. Texts are not shuffled.
 
-def taken(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Whole copies, plus one for all rows in bins before the cut and, in its bin, the first ones by rank."""
-    # the cut of a source: without one, all rows with a chance are taken or, with no words open, none
-    placed = ranked.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left")
-    order = Window.partitionBy("source", "_bin").orderBy("_odds", F.col("doc_id").asc_nulls_first(), "size")
-    at_cut = placed.where(F.col("_bin") == F.col("_cut"))
-    run = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # a row is in if its middle lies before the cut: the nearest total
-    inside = at_cut.withColumn("_extra", (2 * run + F.col("size") <= 2 * F.col("_open")).cast("long"))
-    rest = placed.where(F.col("_bin").isNull() | F.col("_cut").isNull() | (F.col("_bin") != F.col("_cut")))
-    outside = rest.withColumn("_extra", F.coalesce((F.col("_bin") < F.col("_cut")).cast("long"), F.lit(0).cast("long")))
-    copies = F.col("_whole") + F.col("_extra")
-    return inside.unionByName(outside).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
-    )
+    Columns of ``docs`` keep their names and values, also where the plan uses the same names.
+    """
+    plan, _ = mix_plan(docs, id, text, source, weights, tilt, seed)
+    row = docs.select(F.struct(*docs.columns).alias("_row"), *[F.col(c).alias(f"_in{k}") for k, c in enumerate((id, text, source))])
+    made = with_copies(drawn(row, "_in0", "_in1", "_in2", seed), plan, tilt)
+    repeated = made.where(F.col("copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select("_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, mixing, quality_rules, sharding
+from sieveline.llm import decontamination, langid, mixing, pii, quality_rules, secrets, sharding
 from sieveline.llm.texts import spans_digest
 
 
@@ -22,6 +22,22 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan_secrets(docs).drop("text")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -45,6 +61,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op3_byte_shards": op3_byte_shards,
+    "op4_secrets": op4_secrets,
+    "op5_language": op5_language,
+    "op6_personal_data": op6_personal_data,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }

@@ -25,9 +25,7 @@ def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def by_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    copies = mixing.mix(docs).where(F.col("copies") > 0).select(F.col("doc_id").alias("_id"), "copies")
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
