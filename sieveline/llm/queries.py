@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, langid, mixing, pii, quality_rules, rule_ensemble, secrets, sharding, warc
+from sieveline.llm import decontamination, langid, mixing, partenum, pii, quality_rules, rule_ensemble, secrets, sharding, warc
 from sieveline.llm.texts import spans_digest
 from sieveline.sources.scratch import scratch_path
 
@@ -45,6 +45,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op6_personal_data": op6_personal_data,
+    "op7_jaccard": op7_jaccard,
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
