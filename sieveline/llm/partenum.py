@@ -338,6 +338,17 @@ def links(docs: DataFrame, table: DataFrame, id: str, text: str, words: int, per
     return grouped.mapInArrow(compared, "a binary, b binary")
 
 
+def classified(docs: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
+    """(doc_id, body, n, root, component_id) per document with words; ``root`` is the key of its component."""
+    table = written(set_table(docs, id, text, words), "sets")
+    roots = connected(links(docs, table, id, text, words, percent))
+    sets = table.where(F.col("n") > 0).groupBy("key").agg(F.min("doc_id").alias("smallest"))
+    rooted = sets.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    components = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    of_set = rooted.select("key", "root").join(components, "root").select("key", "root", "component_id")
+    return table.join(of_set, "key", "left").select("doc_id", "body", "n", "root", "component_id")
+
+
 def similarity_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
@@ -346,12 +357,34 @@ def similarity_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     words and null texts have an empty set, link with nothing and are their own component, repeated or not. Null
     ids are passed over where there is another, so a component of null ids alone has a null id. Other columns are not read.
     """
-    table = written(set_table(docs, id, text, words), "sets")
-    roots = connected(links(docs, table, id, text, words, percent))
-    sets = table.where(F.col("n") > 0).groupBy("key").agg(F.min("doc_id").alias("smallest"))
-    rooted = sets.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    components = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    of_set = rooted.select("key", "root").join(components, "root").select("key", "component_id")
-    named = table.where(F.col("n") > 0).join(of_set, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = table.where(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return named.unionByName(empty)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    rows = classified(docs, id, text, words, percent)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def without_similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with one of each component left: that of the smallest id, or hash of the text if ids are null.
+
+    Of rows repeated in id and text one stays. Documents without words stay all. Columns keep their names and values.
+    Only ids and hashes of what goes, or is repeated, are joined to the texts.
+    """
+    rows = classified(docs, id, text, words, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col("body").alias("body"))
+    full = written(rows.where(F.col("n") > 0).select("root", place.alias("place")), "placed")
+    first = full.groupBy("root").agg(F.min("place").alias("first"))
+    marks = (
+        full.join(first, "root")
+        .groupBy("place")
+        .agg(F.max(F.col("place") == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("times"))
+        .where(~F.col("stays") | (F.col("times") > 1))
+        .select(F.col("place.id").alias("_id"), F.col("place.body").alias("_body"), "stays")
+    )
+    stored = written(marks, "marks")
+    few = stored.count() <= SMALL_ROWS
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id).alias("_own"), F.xxhash64(text).alias("_hash"))
+    marked = row.join(
+        F.broadcast(stored) if few else stored, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_body")), "left"
+    )
+    once = marked.where(F.col("stays").isNull()).select("_row.*")
+    repeated = marked.where(F.col("stays")).dropDuplicates(["_own", "_hash"]).select("_row.*")
+    return once.unionByName(repeated)

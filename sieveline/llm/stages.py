@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, mixing, sharding
+from sieveline.llm import decontamination, langid, mixing, partenum, sharding
+
+
+#: A text is rejected if no language reaches this posterior probability.
+LEAST_SCORE = 0.5
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that are in one of the languages learned from the open, labelled ones."""
+    found = langid.identify(docs, langid.fit(docs))
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """One document of each group of near duplicates."""
+    return partenum.without_similar(docs)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
