@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.texts import BLANKS, bind, count_of, text_of, words_of
+from sieveline.llm.texts import BLANK_RUN, BLANKS, bind, count_of, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -99,7 +99,7 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         F.filter(F.split("_text", "\n"), lambda line: F.length(F.translate(line, BLANKS, "")) > 0).alias("_lines"),
     )
     words, lines, body = F.col("_words"), F.col("_lines"), F.col("_text")
-    known = F.filter(words, lambda w: F.lower(F.translate(w, ".,;:!?", "")).isin(STOP_WORDS))
+    known = F.filter(F.split(F.lower(F.translate(body, ".,;:!?", "")), BLANK_RUN), lambda w: w.isin(STOP_WORDS))
     counts = split.select(
         "doc_id",
         F.size(words).cast("long").alias("n_words"),
@@ -109,7 +109,7 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         repeated_words(words).alias("n_repeat_words"),
         F.size(lines).alias("n_lines"),
         F.size(known).alias("n_stop_words"),
-        F.size(F.filter(words, lambda w: w.rlike("\\p{L}"))).alias("n_letter_words"),
+        F.regexp_count(body, F.lit("\\p{L}[^\\x20\\x09-\\x0D]*")).alias("n_letter_words"),
         F.size(F.filter(lines, lambda s: s.rlike("(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$"))).alias("n_ellipsis_lines"),
         F.size(F.filter(lines, lambda s: s.rlike("^[\\x20\\x09-\\x0D]*[-*•‣]"))).alias("n_bullet_lines"),
         F.regexp_count(body, F.lit("\\p{Lu}")).alias("n_upper"),
