@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,11 @@ SLICE_BYTES, GROUP_SHINGLES = 6 << 20, 1_500_000
 #: Candidate rows (of ids and hashes) up to which they are broadcast instead of shuffling the texts they point to.
 SMALL_ROWS = 1_000_000
 
+#: Words whose hashes a Python worker keeps.
+MEMORY = 500_000
+
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
 U = np.uint64
 _P = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
 
@@ -51,18 +57,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class WordHashes(dict):
+    """64-bit hash per word, computed when first asked for; forgets all beyond a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= MEMORY:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+KNOWN = WordHashes()
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash per word, number of words per text) of lower-cased texts; null has no words."""
-    import xxhash
-
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    words = lists.flatten()
-    owner = pc.list_parent_indices(lists).to_numpy()
-    full = pc.greater(pc.binary_length(words), 0)
-    coded = words.filter(full).dictionary_encode()
-    owner = owner[full.to_numpy(zero_copy_only=False)]
-    forms = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), U, len(coded.dictionary))
-    return forms[coded.indices.to_numpy()] if len(forms) else np.empty(0, U), np.bincount(owner, minlength=len(texts))
+    split = [t.encode().translate(_LOWER).split() if t else [] for t in texts.to_pylist()]
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    return np.fromiter(map(KNOWN.__getitem__, chain.from_iterable(split)), U, int(counts.sum())), counts
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
