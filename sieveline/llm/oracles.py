@@ -1,5 +1,209 @@
-"""DuckDB SQL that gives the rows of the registered queries on the same tables."""
+"""DuckDB SQL that gives the rows of the registered queries on the same tables.
+
+Not in SQL: spans of the entropy scan (op4) and of the added kinds of personal data (op6), the fitted models (op5, op8) and
+the pipeline that begins with one. The tests compare those with brute force or by held-out accuracy.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
+
+_MIX = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({_WORDS}) AS size,
+         ((('0x' || substr(md5(doc_id::VARCHAR || '|2023'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM documents
+), favoured AS (
+  SELECT *, floor(size * 1000 / (size + 500))::BIGINT AS favour FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, sum(favour * size)::BIGINT AS all_favour FROM favoured GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM sources
+), ordered AS (
+  SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source) AS k,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS open_size,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight
+  FROM weighed
+  WINDOW before AS (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT min(k) AS k, arg_min(open_size, k) AS open_size, arg_min(open_weight, k) AS open_weight
+  FROM ordered WHERE weight * open_size <= 3 * source_size * open_weight
+), targets AS (
+  SELECT o.source, o.source_size, o.all_favour,
+         CASE WHEN o.k < l.k THEN (3 * o.source_size)::DOUBLE
+              ELSE (o.weight * l.open_size)::DOUBLE / l.open_weight::DOUBLE END AS target
+  FROM ordered o, level l
+), expected AS (
+  SELECT d.*, t.source_size, t.target,
+         least(3.0, greatest(0.0, t.target / t.source_size + 0.5 * least(t.target / t.source_size, 3.0 - t.target / t.source_size)
+           * ((d.favour * t.source_size - t.all_favour)::DOUBLE / (1000.0 * t.source_size)))) AS e
+  FROM favoured d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), drawn AS (
+  SELECT *, floor(e)::BIGINT AS whole, e - floor(e) AS chance FROM expected
+), ranked AS (
+  SELECT *, u / (1 - u) / (chance / (1 - chance)) AS odds,
+         target - sum(whole * size) OVER (PARTITION BY source) AS words_left
+  FROM drawn
+), cut AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, chance > 0 ORDER BY odds, doc_id::VARCHAR, size) AS through FROM ranked
+)
+SELECT doc_id, size, source_size, target,
+       whole + (chance > 0 AND 2 * through - size <= 2 * words_left)::BIGINT AS copies,
+       (whole + (chance > 0 AND 2 * through - size <= 2 * words_left)::BIGINT) * size AS taken
+FROM cut
+"""
+
+_WARC = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), facts AS (
+  SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM payloads
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM facts
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+FROM kept
+"""
+
+# the table of the checksum, made by its rule: eight shifts of each byte with the reversed polynomial
+_SHARDS = """
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8
+), bytes AS (
+  SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+  FROM documents
+), sized AS (
+  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS text_crc32
+  FROM bytes, crc
+), run AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32) - size AS start, sum(size) OVER () AS total FROM sized
+), placed AS (
+  SELECT *, ((2 * start + size) * 16 // (2 * total))::INT AS shard FROM run
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32) - 1 AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
+
+_SETS = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+                        ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END)) AS s
+  FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT r.a AS doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.a
+GROUP BY r.a
+"""
+
+
+def _quality() -> str:
+    from sieveline.llm.quality_rules import RULES, STOP_WORDS
+
+    sides = []
+    for rule in RULES:
+        sides += [f"{rule.metric} >= {rule.least}"] * (rule.least is not None) + [f"{rule.metric} <= {rule.most}"] * (rule.most is not None)
+    stops = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    return rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS body, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) AS five FROM split
+), marked AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS times FROM windows
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + d) AS n FROM marked, range(5) r(d) WHERE times > 1 GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, len(w) AS n_words, len(lines) AS n_lines,
+         length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(regexp_replace(body, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words,
+         len(list_filter(regexp_split_to_array(lower(regexp_replace(body, '[.,;:!?]', '', 'g')), '[\x20\x09-\x0D]+'), lambda x: x IN ({stops}))) AS n_stop,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣]'))) AS n_bullet,
+         len(regexp_extract_all(body, '\p{{Lu}}')) AS n_upper
+  FROM split LEFT JOIN covered c USING (doc_id)
+), measured AS (
+  SELECT *,
+         CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS mean_word_chars,
+         CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END AS symbols_per_word,
+         CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0.0 END AS upper_ratio,
+         CASE WHEN n_words > 0 THEN n_letter / n_words ELSE 0.0 END AS letter_word_ratio,
+         CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0.0 END AS stop_word_ratio,
+         CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS dup_line_ratio,
+         CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS repeat_word_ratio,
+         CASE WHEN n_lines > 0 THEN n_ellipsis / n_lines ELSE 0.0 END AS ellipsis_line_ratio,
+         CASE WHEN n_lines > 0 THEN n_bullet / n_lines ELSE 0.0 END AS bullet_line_ratio,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM counted
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(sides)} AS kept
+FROM measured
+"""
+
+
+_BENCHMARK = r"""
+WITH cut AS (
+  SELECT item_id AS id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark
+), windows AS (
+  SELECT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS x
+  FROM cut
+), items AS (
+  SELECT x, len(x) AS width, list(DISTINCT id::VARCHAR) AS ids FROM windows GROUP BY x
+), split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS i, unnest(list_transform(range(1, len(w) - width + 2), lambda i: w[i:i + width - 1])) AS x
+  FROM split, (SELECT DISTINCT width FROM items)
+), hits AS (
+  SELECT doc_id, i, p.width, ids FROM places p JOIN items USING (x)
+), words AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + width)) AS k FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, unnest(ids) AS id FROM hits) GROUP BY doc_id
+)
+SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(found.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM split s LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_pareto_mix": _MIX,
+    "op2_warc": _WARC,
+    "op3_byte_shards": _SHARDS,
+    "op7_jaccard": _SETS,
+    "op9_quality_rules": _quality(),
+    "op10_decontamination": _BENCHMARK,
+}
