@@ -58,12 +58,12 @@ def entropy_peaks(candidate: str, width: int = WINDOW) -> Iterator[tuple[int, fl
     ``sum(c * log2(c))`` over the counts changes in two terms when the window moves by one character.
     """
     width = min(width, len(candidate))
-    weight = [0.0, *(c * math.log2(c) for c in range(1, width + 1))]
+    weight = [0.0, *(c * math.log2(c) for c in range(1, width + 2))]  # a new character comes before the old one goes
     counts: dict[str, int] = {}
     total = 0.0
     for at, new in enumerate(candidate):
         before = counts.get(new, 0)
-        total += weight[before + 1] - weight[before] if before < width else 0.0
+        total += weight[before + 1] - weight[before]
         counts[new] = before + 1
         if at >= width:
             old = candidate[at - width]

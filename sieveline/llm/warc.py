@@ -227,7 +227,9 @@ class WarcReader(DataSourceReader):
         with store.open_input_stream(f"{base}/{MANIFEST}", compression=None) as file:
             return [InputPartition(f["name"]) for f in json.loads(file.read())["files"]]
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: InputPartition | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an archive without files
+            return
         store, base = filesystem(self.path)
         schema = READ_ARROW.append(pa.field("payload", pa.binary())) if self.payload else READ_ARROW
         with store.open_input_stream(f"{base}/{partition.value}", compression=None) as file, gzip.open(file) as stream:
