@@ -42,6 +42,12 @@ CLASSIFIED = """classified as (
     case when o_totalprice > 250000 then 'F' when o_totalprice > 50000 then 'O' else 'P' end as prediction
   from orders)"""
 
+CLASSIFIED_NULLS = """nulled as (
+  select case when o_orderkey % 7 <> 0 then o_orderstatus end as label,
+    case when o_orderkey % 11 <> 0 then
+      case when o_totalprice > 250000 then 'F' when o_totalprice > 50000 then 'O' else 'P' end end as prediction
+  from orders)"""
+
 PAIRS = f"""{CLASSIFIED}, classes as (
   select label as c from classified union select prediction from classified), pairs as (
   select a.c as label, b.c as prediction,
@@ -135,6 +141,11 @@ union all select 'target', count(*) filter (where target is null), count(*) from
   select id, try_cast(f1 as double) as f1, try_cast(f3 as double) as f3, target from nulled)
 select id, round(coalesce(f1, (select median(f1) from numbers)), 6) as f1,
   round(coalesce(f3, (select median(f3) from numbers)), 6) as f3, target from numbers""",
+    "impute_nan": """with numbers as (
+  select o_orderkey as id, case when o_orderkey % 3 <> 0 then o_totalprice end as f1 from orders)
+select id, round(coalesce(f1, (select quantile_cont(f1, 0.5) from numbers)), 6) as f1 from numbers""",
+    "medians_wide": """select i::integer as position, round(quantile_cont(e::double, 0.5), 6) as median
+from (select unnest(range(64)) as i, unnest(embedding[1:64]) as e from embeddings) group by i""",
     "impute_median_disc": f"""with {CLEANED}
 select id, coalesce(f1, (select quantile_disc(f1, 0.5) from cleaned)) as f1,
   coalesce(f3, (select quantile_disc(f3, 0.5) from cleaned)) as f3, target from cleaned""",
@@ -188,6 +199,30 @@ select label, sum(n) filter (where prediction = 'F')::bigint as "predicted_F",
   sum(n) filter (where prediction = 'P')::bigint as "predicted_P"
 from pairs group by label""",
     "confusion_pairs": f"with {PAIRS} select label, prediction, n from pairs",
+    "confusion_nulls": f"""with {CLASSIFIED_NULLS}, labels as (
+  select label as c from nulled union select prediction from nulled)
+select c as label, count(*) filter (where prediction = 'F') as "predicted_F",
+  count(*) filter (where prediction = 'O') as "predicted_O", count(*) filter (where prediction = 'P') as "predicted_P",
+  count(*) filter (where prediction is null and hit) as predicted_null
+from labels left join (select *, true as hit from nulled) on label is not distinct from c group by c""",
+    "confusion_other": f"""with {CLASSIFIED_NULLS}, labels as (
+  select label as c from nulled union select prediction from nulled)
+select c as label, count(*) filter (where prediction = 'F') as "predicted_F",
+  count(*) filter (where hit and prediction is distinct from 'F') as predicted_other
+from labels left join (select *, true as hit from nulled) on label is not distinct from c group by c""",
+    "metrics_nulls": f"""with {CLASSIFIED_NULLS}, classified as (
+  select coalesce(label, '-') as label, coalesce(prediction, '-') as prediction from nulled), classes as (
+  select label as c from classified union select prediction from classified), stats as (
+  select c, count(*) filter (where label = c and prediction = c)::double as tp,
+    count(*) filter (where label <> c and prediction = c)::double as fp,
+    count(*) filter (where label = c and prediction <> c)::double as fn,
+    count(*) filter (where label = c)::double as support
+  from classes cross join classified group by c)
+select round(sum(tp) / sum(support), 6) as accuracy,
+  round(sum(support * case when tp + fp > 0 then tp / (tp + fp) else 0 end) / sum(support), 6) as weighted_precision,
+  round(sum(support * case when tp + fn > 0 then tp / (tp + fn) else 0 end) / sum(support), 6) as weighted_recall,
+  round(sum(support * case when tp > 0 then 2 * tp / (2 * tp + fp + fn) else 0 end) / sum(support), 6) as weighted_f1
+from stats""",
     "recall_by_split": f"""with {SCORED}
 select split, round(count(*) filter (where label = 1 and pred = 1)::double
   / count(*) filter (where label = 1), 6) as recall
@@ -210,6 +245,15 @@ union all select distinct split, null, 0.0, 0.0 from cum""",
 select split, round(sum(neg * (cp - pos / 2)) / (max(tp) * max(tn)), 6) as auc from cum group by split""",
     "hard_auc_by_split": f"""with {roc('pred', 'split')}
 select split, round(sum(neg * (cp - pos / 2)) / (max(tp) * max(tn)), 6) as auc from cum group by split""",
+    "roc_pieces": f"""with {roc()}
+select threshold, round(cn / tn, 6) as fpr, round(cp / tp, 6) as tpr from cum
+union all select null, 0.0, 0.0""",
+    "auc_pieces_by_split": f"""with {roc(by='split')}
+select split, round(sum(neg * (cp - pos / 2)) / (max(tp) * max(tn)), 6) as auc from cum group by split""",
+    "bins_narrowed": f"with {SCORED}, {value_bins()} select id, bin from binned",
+    "tied_bins_narrowed": f"with {SCORED}, {rank_bins('tied_score')} select id, bin from binned",
+    "weighted_bins_narrowed": f"with {SCORED}, {weighted_bins('tied_score')} select id, bin from binned",
+    "decimal_id_bins": f"with {SCORED}, {rank_bins('tied_score')} select id, bin from binned",
     "quantile_bins": f"with {SCORED}, {value_bins()} select id, bin from binned",
     "rank_bins": f"with {SCORED}, {rank_bins()} select id, bin from binned",
     "tied_score_bins": f"with {SCORED}, {rank_bins('tied_score')} select id, bin from binned",
@@ -221,6 +265,10 @@ select bin, round(baseline, 6) as baseline_percentage, round(lift, 6) as lift_pe
     "gain_table": f"with {SCORED}, {value_bins()}, {summary()} select bin, positives, round(gain, 6) as gain from lifted",
     "lift_gain_table": f"with {SCORED}, {value_bins()}, {summary()}, {padded()}",
     "lift_by_split": f"with {SCORED}, {rank_bins('pred', by='split')}, {summary(by='split')}, {padded('split')}",
+    "lift_null_set": f"""with {SCORED.replace(three_way('o_orderkey'), f"nullif({three_way('o_orderkey')}, 'test')")},
+{rank_bins('pred', by='split')}, {summary(by='split')}
+select split, bin, round(baseline, 6) as baseline_percentage, round(lift, 6) as lift_percentage,
+  round(lift_index, 6) as lift_index from lifted""",
     "top_scored_row": f"with {SCORED} select id, label, score from scored order by score desc, id limit 1",
     "top_contributions": """with c as (
   select vec_id as id, unnest(range(0, len(embedding))) as i, unnest(embedding)::double as c from embeddings), r as (
@@ -242,6 +290,12 @@ from shares where n <= 0.5 * total""",
     greatest(3, floor(avg(o_totalprice) / 10000))::bigint as b from orders)
 select 'numTrees' as param, t::varchar as value from v
 union all select 'maxDepth', d::varchar from v union all select 'maxBins', b::varchar from v""",
+    "forest_probabilities": f"select id, 1.0::double as total, true as likely from ({TEST_DOCUMENTS})",
+    "importance_of_constant": "select 7::bigint as features, 1.0::double as total, 0.0::double as constant from labels limit 1",
+    "training_totals": f"""with d as (
+  select doc_id, quality from documents join labels using (doc_id)), idx as (
+  select quality, (row_number() over (order by count(*) desc, quality) - 1)::double as label from d group by quality)
+select label, count(*)::bigint as n from d join idx using (quality) where {two_way('doc_id')} = 'test' group by label""",
     "model_roundtrip": f"select id, true as unchanged from ({TEST_DOCUMENTS})",
     "attribution_adds_up": f"select id, true as adds_up from ({TEST_DOCUMENTS})",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sieveline.catalog import views
 from sieveline.catalog.views import DOC_FEATURES, PLAIN_FEATURES, SEED, table
-from sieveline.operators import bins, clean, explain, features, lift, metrics, models, search, selection, split
+from sieveline.operators import bins, clean, explain, features, lift, metrics, models, ranks, search, selection, split
 from sieveline.operators.search import BOOSTED_SPACE
 from sieveline.plans.boosting import train_boosted
 from sieveline.plans.training import clean_table, train_classifier
@@ -79,6 +79,28 @@ def impute_median(spark, sf_dir):
     return rounded(clean.handle_missing(numbers, DIRTY_COLUMNS, method="exact"), "f1", "f3")
 
 
+@query
+def impute_nan(spark, sf_dir):
+    """NaN counts as missing: a column of mostly NaN goes, the other is filled with its median."""
+    id, price, nan = F.col("o_orderkey"), F.col("o_totalprice").cast("double"), F.lit(float("nan"))
+    numbers = table(spark, sf_dir, "orders").select(
+        id.alias("id"),
+        F.when(id % 3 == 0, nan).otherwise(price).alias("f1"),
+        F.when(id % 3 == 0, price).otherwise(nan).alias("f2"),
+    )
+    return rounded(clean.handle_missing(numbers, ["f1", "f2"], method="exact", nan_as_null=True), "f1")
+
+
+@query
+def medians_wide(spark, sf_dir):
+    """Exact medians of many columns at once, with intervals small enough to take several rounds."""
+    size = 64
+    vectors = table(spark, sf_dir, "embeddings").select(*[F.col("embedding")[i].alias(f"e{i}") for i in range(size)])
+    found = ranks.exact_medians(vectors, vectors.columns, bracket_rows=100)
+    rows = spark.createDataFrame([(i, found[f"e{i}"]) for i in range(size)], "position int, median double")
+    return rounded(rows, "median")
+
+
 @query
 def impute_median_disc(spark, sf_dir):
     return clean.handle_missing(_cleaned(spark, sf_dir), DIRTY_COLUMNS, method="approx", error=0.0)
@@ -226,6 +248,31 @@ def confusion_pairs(spark, sf_dir):
     return metrics.confusion_pairs(views.classified(spark, sf_dir))
 
 
+def _classified_nulls(spark, sf_dir) -> DataFrame:
+    df = views.classified(spark, sf_dir)
+    return df.select(
+        F.when(F.col("id") % 7 != 0, F.col("label")).alias("label"),
+        F.when(F.col("id") % 11 != 0, F.col("prediction")).alias("prediction"),
+    )
+
+
+@query
+def confusion_nulls(spark, sf_dir):
+    return metrics.confusion_matrix(_classified_nulls(spark, sf_dir))
+
+
+@query
+def confusion_other(spark, sf_dir):
+    """With the columns given, the predictions of other classes are counted too."""
+    return metrics.confusion_matrix(_classified_nulls(spark, sf_dir), classes=["F"])
+
+
+@query
+def metrics_nulls(spark, sf_dir):
+    result = metrics.multiclass_metrics(_classified_nulls(spark, sf_dir))
+    return rounded(result, "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")
+
+
 @query
 def recall_by_split(spark, sf_dir):
     return rounded(metrics.recall(views.scored_sets(spark, sf_dir), "label", "pred", by="split"), "recall")
@@ -262,6 +309,46 @@ def hard_auc_by_split(spark, sf_dir):
     return rounded(metrics.roc_auc(views.scored_sets(spark, sf_dir), score="pred", by="split"), "auc")
 
 
+# The same curves and bins in many pieces and rounds, as on large tables: pieces and brackets hold few rows.
+PIECE, BRACKET = 1_000, 500
+
+
+@query
+def roc_pieces(spark, sf_dir):
+    return rounded(metrics.roc_curve(views.scored(spark, sf_dir), piece_rows=PIECE), "fpr", "tpr")
+
+
+@query
+def auc_pieces_by_split(spark, sf_dir):
+    return rounded(metrics.roc_auc(views.scored_sets(spark, sf_dir), by="split", piece_rows=PIECE), "auc")
+
+
+@query
+def bins_narrowed(spark, sf_dir):
+    df = views.scored(spark, sf_dir)
+    return bins.fit_quantile_bins(df, "score", bracket_rows=BRACKET).apply(df).select("id", "bin")
+
+
+@query
+def tied_bins_narrowed(spark, sf_dir):
+    df = views.scored(spark, sf_dir)
+    return bins.fit_score_bins(df, "tied_score", "id", bracket_rows=BRACKET).apply(df).select("id", "bin")
+
+
+@query
+def weighted_bins_narrowed(spark, sf_dir):
+    df = views.scored(spark, sf_dir)
+    return bins.fit_weighted_bins(df, "tied_score", "id", "w", bracket_rows=BRACKET).apply(df).select("id", "bin")
+
+
+@query
+def decimal_id_bins(spark, sf_dir):
+    """Ties are split by decimal ids that differ only beyond the precision of a double."""
+    large = F.lit(1 << 59).cast("decimal(18,0)")
+    df = views.scored(spark, sf_dir).withColumn("key", (F.col("id") + large).cast("decimal(18,0)"))
+    return bins.fit_rank_bins(df, "tied_score", "key").apply(df).select("id", "bin")
+
+
 # --- bins, lift and gain ----------------------------------------------------------------------
 
 
@@ -322,6 +409,14 @@ def lift_by_split(spark, sf_dir):
     return rounded(lift.lift_gain_table(summary, "split"), *LIFT, "gain")
 
 
+@query
+def lift_null_set(spark, sf_dir):
+    """Rows without a set name are a set of their own."""
+    df = views.scored_sets(spark, sf_dir).withColumn("split", F.when(F.col("split") != "test", F.col("split")))
+    summary = lift.bin_summary(df, "label", "pred", "id", by="split")
+    return rounded(lift.lift_table(summary, "split"), *LIFT)
+
+
 @query
 def top_scored_row(spark, sf_dir):
     return models.top_scored(views.scored(spark, sf_dir)).select("id", "label", "score")
@@ -389,6 +484,15 @@ def random_forest_score(spark, sf_dir):
     return models.class_probability(scored).select("id", "label", "prediction", "score")
 
 
+@query
+def forest_probabilities(spark, sf_dir):
+    """Per test document, the sum of the class probabilities and whether the most likely class is predicted."""
+    train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
+    scored = models.score(models.random_forest(SEED).fit(train), test).withColumn("p", vector_to_array("probability"))
+    likely = F.col("p")[F.col("prediction").cast("int")] == F.array_max("p")
+    return scored.select("id", F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), likely.alias("likely"))
+
+
 @query
 def boosted_score(spark, sf_dir):
     train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
@@ -405,6 +509,18 @@ def feature_importance(spark, sf_dir):
     return features.importance_table(spark, models.random_forest(SEED).fit(train), names)
 
 
+@query
+def importance_of_constant(spark, sf_dir):
+    """Importances add up to one and leave nothing to a constant feature."""
+    names = DOC_FEATURES + PLAIN_FEATURES
+    train, _, _ = views.document_vectors(spark, sf_dir, names)
+    importances = features.importance_table(spark, models.random_forest(SEED).fit(train), names)
+    constant = F.sum(F.when(F.col("feature") == "constant", F.col("importance")))
+    return importances.agg(
+        F.count("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"), constant.alias("constant")
+    )
+
+
 def _indexed_documents(spark, sf_dir) -> DataFrame:
     docs = views.docfeat(spark, sf_dir)
     return features.encode_label(docs, features.fit_label_index(docs, "target"))
@@ -475,6 +591,24 @@ def training_job(spark, sf_dir):
     return result.confusion
 
 
+@query
+def training_totals(spark, sf_dir):
+    """Row totals of a training job's confusion matrix per actual class, the test documents of that class."""
+    result = train_classifier(
+        views.raw_docfeat(spark, sf_dir),
+        scratch_path(spark, "training"),
+        key="id",
+        ignore=("id",),
+        min_features=3,
+        ranges={"numTrees": {"start": 5, "stop": 5, "num": 1}},
+        median="exact",
+        nan_as_null=True,
+        unseen="keep",
+    )
+    predicted = [F.col(c) for c in result.confusion.columns if c.startswith("predicted_")]
+    return result.confusion.select("label", sum(predicted, F.lit(0)).alias("n"))
+
+
 @query
 def boosted_job(spark, sf_dir):
     """AUC of train, validation and test after search, shadow selection and refit on documents."""
@@ -494,7 +628,7 @@ def boosted_job(spark, sf_dir):
         space=BOOSTED_SPACE | small,
         first_trials=2,
         second_trials=2,
-        shadow_trials=4,
+        shadow_trials=8,
     )
     return result.evaluation.auc
 

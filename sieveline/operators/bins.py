@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, NumericType
 
 from sieveline.functions.expressions import is_observed
 from sieveline.operators.ranks import (
@@ -28,14 +28,28 @@ from sieveline.operators.ranks import (
     series_totals,
 )
 
-MAX_SETS = 64
+#: Sets that one call fits side by side, unless told otherwise: each adds its edges to the plan.
+MAX_SETS = 1_000
 ALL = "all"
 
 
 def _tie_key(df: DataFrame, id: str) -> Column:
-    """What orders rows of equal score: a numeric id itself, a hash of any other id."""
-    numeric = isinstance(df.schema[id].dataType, NumericType)
-    return F.col(id) if numeric else F.xxhash64(F.col(id))
+    """What orders rows of equal score: a numeric id itself, a 64-bit hash of any other id.
+
+    Decimals of up to 18 digits are ordered exactly as their unscaled integers; wider ones, like text, by the hash, where
+    ids that collide share a place and are not split.
+    """
+    kind = df.schema[id].dataType
+    if isinstance(kind, DecimalType):
+        if kind.precision > 18:
+            return F.xxhash64(F.col(id))
+        return (F.col(id) * F.lit(10**kind.scale)).cast("bigint") if kind.scale else F.col(id).cast("bigint")
+    return F.col(id) if isinstance(kind, NumericType) else F.xxhash64(F.col(id))
+
+
+def _in_set(by: str, name: str | None) -> Column:
+    """The row belongs to the set; rows without a set name are a set of their own."""
+    return F.col(by).cast("string").eqNullSafe(F.lit(name))
 
 
 @dataclass(frozen=True)
@@ -62,7 +76,7 @@ class FittedBins:
     id: str | None
     by: str | None
     bins: int
-    sets: dict[str, SetBins]
+    sets: dict[str | None, SetBins]
 
     def _passed(self, df: DataFrame, edge: Edge, closed: bool) -> Column:
         score = F.col(self.score)
@@ -88,7 +102,7 @@ class FittedBins:
         if self.by is None:
             chosen = self._bin(df, self.sets[ALL])
         else:
-            cases = [(F.col(self.by).cast("string") == name, self._bin(df, s)) for name, s in self.sets.items()]
+            cases = [(_in_set(self.by, name), self._bin(df, s)) for name, s in self.sets.items()]
             chosen = F.when(*cases[0])
             for condition, value in cases[1:]:
                 chosen = chosen.when(condition, value)
@@ -105,8 +119,8 @@ def _score_series(
 ) -> tuple[list[Series], dict[str, Total]]:
     """The scores of each set with their row counts and weights, from one aggregate.
 
-    ``by`` names a handful of evaluation sets, which is checked; rows whose set has no name belong to
-    none and get no bin.
+    ``by`` names evaluation sets, at most :data:`MAX_SETS`, which is checked: every set adds its edges to the
+    expression that assigns the bins. Rows whose set has no name are a set of their own.
     """
     value = F.col(score)
     w = None if weight is None else F.col(weight)
@@ -120,8 +134,9 @@ def _score_series(
     found = counts.limit(MAX_SETS + 1).collect()
     if len(found) > MAX_SETS:
         raise ValueError(f"{by} names more than {MAX_SETS} sets; bins are fitted per evaluation set")
-    totals = {r["name"]: Total(r["rows"], r["weight"] or 0) for r in found if r["name"] is not None}
-    series = [Series(name, F.when(F.col(by).cast("string") == name, value), w) for name in sorted(totals)]
+    totals = {r["name"]: Total(r["rows"], r["weight"] or 0) for r in found}
+    ordered = sorted(totals, key=lambda name: (name is None, name or ""))
+    series = [Series(name, F.when(_in_set(by, name), value), w) for name in ordered]
     return series, totals
 
 
@@ -189,7 +204,7 @@ def _tie_edges(
     for i, ((name, value), targets) in enumerate(shared.items()):
         here = F.col(score) == F.lit(value)
         if by is not None:
-            here = here & (F.col(by).cast("string") == name)
+            here = here & _in_set(by, name)
         series.append(Series(str(i), F.when(here, _tie_key(df, id)), None if weight is None else F.col(weight)))
         thresholds[str(i)] = [rest for _, rest in targets]
         at = found[name][targets[0][0]]

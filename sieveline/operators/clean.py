@@ -113,10 +113,14 @@ def handle_missing(
     method: str = "approx",
     error: float = 0.01,
     fit_on: DataFrame | None = None,
+    nan_as_null: bool = False,
 ) -> DataFrame:
-    """Drop the sparse ones of the listed columns and fill the others: two jobs for any number."""
+    """Drop the sparse ones of the listed columns and fill the others: two jobs for any number.
+
+    Filling always reaches NaN too; with ``nan_as_null`` it also counts as missing when a column is judged.
+    """
     base = df if fit_on is None else fit_on
-    sparse = set(_sparse(null_profile(base, columns), threshold))
+    sparse = set(_sparse(null_profile(base, columns, nan_as_null), threshold))
     kept = [c for c in columns if c not in sparse]
     return impute_median(df.drop(*sparse), kept, method, error, base)
 

@@ -6,7 +6,6 @@ from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssemble
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.small import join_checked
 from sieveline.operators.clean import project_features
 
 LABEL = "label"
@@ -73,4 +72,5 @@ def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def balanced_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Add ``class_weight`` so that every class carries the same total weight."""
-    return join_checked(df, class_weights(df, label), [label], how="left")
+    # one row per class; Spark sees the size and broadcasts it if it is small
+    return df.join(class_weights(df, label), label, "left")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.functions.expressions import ratio
+from sieveline.functions.expressions import any_of, ratio
 from sieveline.operators.prefix import PIECE_ROWS, running_totals, split_points
 
 
@@ -28,7 +28,8 @@ def class_counts(
 ) -> DataFrame:
     """(class, tp, fp, fn, support) for every class seen as label or as prediction."""
     keys = _names(by)
-    hit = F.col("label") == F.col("prediction")
+    # null is a class like any other: a missing prediction is a miss of its label
+    hit = F.col("label").eqNullSafe(F.col("prediction"))
     zero = F.lit(0).cast("long")
     sides = F.array(
         F.struct(
@@ -87,31 +88,47 @@ def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "pred
     """
     counts = outcome_counts(df, label, prediction)
     classes = counts.select(F.explode(F.array("label", "prediction")).alias("class")).distinct()
-    every = classes.agg(F.sort_array(F.collect_set("class")).alias("classes"))
-    grid = every.select(F.explode("classes").alias("label"), "classes").select(
-        "label", F.explode("classes").alias("prediction"), F.lit(0).cast("long").alias("n")
+    # wrapped, since collecting passes over nulls
+    every = classes.agg(F.collect_set(F.struct("class")).alias("classes"))
+    grid = every.select(F.explode("classes.class").alias("label"), "classes").select(
+        "label", F.explode("classes.class").alias("prediction"), F.lit(0).cast("long").alias("n")
     )
     return grid.unionByName(counts).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
-def _class_name(value) -> str:
-    """Text of a class that can stand in a column name: ``0`` for 0.0, no dots."""
-    if isinstance(value, float) and value.is_integer():
-        value = int(value)
-    return str(value).replace(".", "_")
+def _class_names(values: list) -> list[str]:
+    """Texts of classes that can stand in column names: ``0`` for 0.0, ``null`` for None, no dots, each once."""
+    names: list[str] = []
+    for value in values:
+        if isinstance(value, float) and value.is_integer():
+            value = int(value)
+        name = "null" if value is None else str(value).replace(".", "_")
+        taken = {*names}
+        names.append(next(n for n in (name, *(f"{name}_{k}" for k in range(2, len(values) + 2))) if n not in taken))
+    return names
 
 
 def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction", classes: list | None = None
 ) -> DataFrame:
-    """Rows are actual classes, ``predicted_<class>`` columns count the predictions."""
+    """Rows are actual classes, ``predicted_<class>`` columns count the predictions.
+
+    A missing class is a class too, named ``null`` and put last. If ``classes`` names the columns, predictions of any
+    other class are counted in ``predicted_other``, so that the counts always add up to the rows.
+    """
     pairs = confusion_pairs(df, label, prediction)
-    if classes is None:
-        classes = sorted(r[0] for r in pairs.select("label").distinct().collect())
+    named = classes is not None
+    if not named:
+        found = [r[0] for r in pairs.select("label").distinct().collect()]
+        classes = sorted(c for c in found if c is not None) + [None] * (None in found)
+    of_class = [F.col("prediction").eqNullSafe(F.lit(c)) for c in classes]
+    n = F.col("n")
     wide = [
-        F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n")).otherwise(0)).alias(f"predicted_{_class_name(c)}")
-        for c in classes
+        F.sum(F.when(is_it, n).otherwise(0)).alias(f"predicted_{name}")
+        for is_it, name in zip(of_class, _class_names(classes), strict=True)
     ]
+    if named:
+        wide.append(F.sum(F.when(any_of(of_class), 0).otherwise(n)).alias("predicted_other"))
     return pairs.groupBy("label").agg(*wide)
 
 
@@ -155,7 +172,8 @@ def penalized_recall(
 def _cumulative(df, label, score, by, positive, piece_rows) -> DataFrame:
     """Per distinct score, positives and negatives at it and at or above it."""
     keys = _names(by)
-    rows = df.where(F.col(score).isNotNull())
+    # a row without label is neither positive nor negative, and a score of such rows alone is no point of the curve
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     points = split_points(rows, score, piece_rows)
     hit = F.col(label) == F.lit(positive)
     counts = rows.groupBy(*keys, F.col(score).alias("threshold")).agg(

@@ -257,6 +257,8 @@ def _finish(columns: DataFrame, points: dict[int, list[float]], pending: dict[in
 
 
 def interpolate(low: float, high: float, share: float) -> float:
+    if low == high:  # also if both are infinite
+        return low
     return low + (high - low) * share if share < 0.5 else high - (high - low) * (1.0 - share)
 
 
@@ -266,19 +268,109 @@ def quantile_ranks(rows: int, k: int, n: int) -> tuple[int, int, float]:
     return whole + 1, whole + (2 if rest else 1), rest / n
 
 
+@dataclass
+class _Middle:
+    """What is known of the middle ranks of one column: the open interval that holds those not found yet."""
+
+    ranks: list[int]
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    rows: int = 0
+    found: dict[int, float] = field(default_factory=dict)
+
+    def inside(self, v: str) -> str:
+        """SQL of whether a value may still be one of those looked for."""
+        sides = [f"{v} > {_literal(self.low)}"] * (self.low > -math.inf) + [f"{v} < {_literal(self.high)}"] * (self.high < math.inf)
+        return " and ".join([f"{v} is not null", *sides])
+
+    def narrow(self, low: float, high: float, counts: tuple[int, int, int, int]) -> None:
+        """Take in the numbers of values below and up to ``low``, below and up to ``high``."""
+        under_low, to_low, under_high, to_high = counts
+        left = []
+        for r in self.ranks:
+            if under_low < r <= to_low:
+                self.found[r] = low
+            elif under_high < r <= to_high:
+                self.found[r] = high
+            else:
+                left.append(r)
+        self.ranks = left
+        if left:
+            # the bracket of the sketch is only a proposal: the counts say on which side of it the rank is
+            ends = [(self.low, low, self.below, under_low), (low, high, to_low, under_high), (high, self.high, to_high, self.below + self.rows)]
+            self.low, self.high, self.below, until = next(e for e in ends if e[2] < left[0] <= e[3])
+            outside = [r for r in left if r > until]
+            if outside:  # two middle ranks on both sides of a gap: look again over the wider interval
+                self.high, until = ends[2][1], ends[2][3]
+            self.rows = until - self.below
+
+
+def _literal(x: float) -> str:
+    return f"cast('{x!r}' as double)"
+
+
 def exact_medians(
-    df: DataFrame, columns: list[str], interpolated: bool = True, bracket_rows: int = BRACKET_ROWS
+    df: DataFrame, columns: list[str], interpolated: bool = True, bracket_rows: int = BRACKET_ROWS, error: float = 0.002
 ) -> dict[str, float | None]:
-    """Median of every column; the lower middle value if not ``interpolated``. None if all null."""
-    series = [Series(c, F.col(c)) for c in columns]
-    if not series:
+    """Median of every column; the lower middle value if not ``interpolated``. None if all null.
+
+    Made for wide tables. Each round takes one sketch job, which proposes an interval around the middle of each column, and
+    one aggregate with four counters per column, which decides; no row is multiplied. A round leaves about ``2 * error`` of
+    the rows of a column inside its interval. Once those are at most ``bracket_rows``, they alone are laid out
+    and counted per value. Values are compared as doubles.
+    """
+    if not columns:
         return {}
-    totals = series_totals(df, series)
-    ranks = {c: quantile_ranks(totals[c].rows, 1, 2) for c in columns if totals[c].rows}
-    wanted = {c: [low, high] if interpolated else [low] for c, (low, high, _) in ranks.items()}
-    found = locate(df, series, wanted, totals, bracket_rows)
-    medians: dict[str, float | None] = {c: None for c in columns}
-    for c, (low, high, share) in ranks.items():
-        value = found[c][low].value
-        medians[c] = interpolate(value, found[c][high].value, share) if interpolated else value
+    table = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).selectExpr(
+        *[f"nanvl(c{i}, cast(null as double)) + 0.0D as v{i}" for i in range(len(columns))]
+    )
+    totals = table.selectExpr(*[f"count(v{i}) as n{i}" for i in range(len(columns))]).first()
+    ranks = {i: quantile_ranks(totals[f"n{i}"], 1, 2) for i in range(len(columns)) if totals[f"n{i}"]}
+    middles = {
+        i: _Middle(sorted({low, high} if interpolated else {low}), rows=totals[f"n{i}"]) for i, (low, high, _) in ranks.items()
+    }
+    while wide := [i for i, m in middles.items() if m.ranks and m.rows > bracket_rows]:
+        names = [f"v{i}" for i in wide]
+        inside = table.selectExpr(*[f"if({middles[i].inside(f'v{i}')}, v{i}, null) as v{i}" for i in wide])
+        at = {i: (middles[i].ranks[0] - middles[i].below) / middles[i].rows for i in wide}
+        # columns whose target lies at about the same share of their interval are sketched together
+        shares = sorted({round(p, 3) for p in at.values()})
+        probes = sorted({min(1.0, max(0.0, p + d)) for p in shares for d in (-error, error)})
+        sketch = inside.approxQuantile(names, probes, error / 2)
+        proposed = {}
+        for i, quantiles in zip(wide, sketch, strict=True):
+            p = round(at[i], 3)
+            pick = [quantiles[probes.index(min(1.0, max(0.0, p + d)))] for d in (-error, error)]
+            proposed[i] = (pick[0], pick[1])
+        counters = []
+        for i, (low, high) in proposed.items():
+            for name, test in (("a", f"v{i} < {_literal(low)}"), ("b", f"v{i} <= {_literal(low)}"), ("c", f"v{i} < {_literal(high)}"), ("d", f"v{i} <= {_literal(high)}")):
+                counters.append(f"count_if({test}) as {name}{i}")
+        counted = table.selectExpr(*counters).first()
+        for i, (low, high) in proposed.items():
+            middles[i].narrow(low, high, tuple(counted[f"{k}{i}"] for k in "abcd"))
+    _read_off(table, {i: m for i, m in middles.items() if m.ranks})
+    medians: dict[str, float | None] = dict.fromkeys(columns)
+    for i, (low, high, share) in ranks.items():
+        value = middles[i].found[low]
+        medians[columns[i]] = interpolate(value, middles[i].found[high], share) if interpolated else value
     return medians
+
+
+def _read_off(table: DataFrame, middles: dict[int, _Middle]) -> None:
+    """Lay out the values inside the small intervals, one row each, and find the ranks among them."""
+    if not middles:
+        return
+    cells = ", ".join(f"if({m.inside(f'v{i}')}, named_struct('series', {i}, 'value', v{i}), null)" for i, m in middles.items())
+    rows = table.selectExpr(f"inline(filter(array({cells}), x -> x is not null))")
+    values = rows.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n"))
+    within = Window.partitionBy("series").orderBy("value")
+    until = F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.create_map(*[x for i, m in middles.items() for x in (F.lit(i), F.array(*[F.lit(r - m.below) for r in m.ranks]))])
+    ranked = values.select("series", "value", until.alias("until"), (until - F.col("n")).alias("before"))
+    hits = ranked.withColumn("hit", F.filter(wanted[F.col("series")], lambda r: (r > F.col("before")) & (r <= F.col("until"))))
+    for row in hits.where(F.size("hit") > 0).collect():
+        m = middles[row["series"]]
+        for r in row["hit"]:
+            m.found[r + m.below] = row["value"]

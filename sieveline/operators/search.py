@@ -190,6 +190,8 @@ def random_search(
     ``objective`` is ``recall`` or ``penalized``, which also looks at the training recall. Of equal
     scores the earlier trial wins.
     """
+    if not settings:
+        raise ValueError("settings must name at least one setting")
     if objective not in ("recall", "penalized"):
         raise ValueError("objective must be recall or penalized")
     spark = train.sparkSession

@@ -16,6 +16,8 @@ from sieveline.operators.features import FEATURES, LABEL, assemble
 from sieveline.operators.models import random_forest
 
 PAIRING_ROWS = 10_000
+#: Trials between two decisions about the features.
+DECIDE_EVERY = 10
 
 
 def recursive_elimination(
@@ -133,53 +135,58 @@ def shadow_selection(
     importance: str = "attribution",
     held_out: float = 0.3,
     parallelism: int = 4,
+    decide_every: int = DECIDE_EVERY,
 ) -> DataFrame:
-    """(feature, hits, trials, accept_p, reject_p, decision) of a shadow-feature selection.
+    """(feature, hits, trials, accept_p, reject_p, decision, importance) of a shadow-feature selection.
 
     In each trial a tree ensemble, a forest by default, is fitted on the features and their shadows; a feature scores a hit if it
     matters more than every shadow. ``attribution`` measures that by the mean absolute attribution on
-    held-out rows, ``impurity`` by the impurity decrease in training. ``parallelism`` trials run at a
-    time; after each such round rejected features leave, and the trials end early once every feature
-    is decided. ``key`` must identify a row.
+    held-out rows, ``impurity`` by the impurity decrease in training. After every ``decide_every`` trials rejected
+    features leave; the trials end early only if none is left. ``parallelism`` trials run at a time, which changes
+    nothing about the result. ``importance`` is the mean over a feature's trials of its share in all
+    importance, shadows included. ``key`` must identify a row.
     """
     if importance not in ("attribution", "impurity"):
         raise ValueError("importance must be attribution or impurity")
+    if min(trials, parallelism, decide_every) < 1:
+        raise ValueError("trials, parallelism and decide_every must be at least 1")
     estimator = estimator or random_forest(seed, label)
     vectors = (
         assemble(df.select(key, label, *features), list(features), "_all").select(key, label, "_all").persist()
     )
     hits = [0] * len(features)
+    shares = [0.0] * len(features)
     result: dict[int, tuple[int, str, float, float]] = {}
     active = list(range(len(features)))
     try:
         rows = vectors.count()
         done = 0
         while done < trials and active:
-            batch = range(done + 1, min(done + parallelism, trials) + 1)
+            batch = range(done + 1, min(done + decide_every, trials) + 1)
 
             def run(trial: int) -> list[float]:
                 return _trial_importance(
                     vectors, active, key, label, rows, seed + trial, estimator, importance, held_out
                 )
 
-            with ThreadPool(len(batch)) as pool:
+            with ThreadPool(min(parallelism, len(batch))) as pool:
                 for values in pool.map(run, batch, chunksize=1):
-                    bar = max(values[len(active) :])
+                    bar, whole = max(values[len(active) :]), sum(values)
                     for position, i in enumerate(active):
                         hits[i] += int(values[position] > bar)
+                        shares[i] += values[position] / whole if whole else 0.0
             done = batch[-1]
             for i in active:
                 result[i] = (done, *verdict(hits[i], done, len(features), p_value))
             active = [i for i in active if result[i][1] != "rejected"]
-            if not any(result[i][1] == "tentative" for i in active):
-                break
     finally:
         vectors.unpersist()
     table = [
-        (f, hits[i], result[i][0], result[i][2], result[i][3], result[i][1]) for i, f in enumerate(features)
+        (f, hits[i], result[i][0], result[i][2], result[i][3], result[i][1], shares[i] / result[i][0])
+        for i, f in enumerate(features)
     ]
     return df.sparkSession.createDataFrame(
-        table, "feature string, hits int, trials int, accept_p double, reject_p double, decision string"
+        table, "feature string, hits int, trials int, accept_p double, reject_p double, decision string, importance double"
     )
 
 

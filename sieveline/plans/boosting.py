@@ -89,5 +89,5 @@ def train_boosted(
     scored = written(predicted.withColumn(LABEL, F.col(LABEL).cast("int")).withColumnRenamed(key, "id"), "scored")
     explained = attribute(scored.where(F.col("split") == "test"), fit_explainer(table.sparkSession, found.best_model))
     return BoostedResult(
-        found.best_model, kept, selection, found, scored, explained, evaluate_sets(scored, bins=bins)
+        found.best_model, kept, selection, found, scored, explained, evaluate_sets(scored, bins=bins, stored=True)
     )

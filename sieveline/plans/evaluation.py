@@ -30,14 +30,17 @@ def evaluate_sets(
     split: str = "split",
     bins: int = 10,
     weight: str | None = None,
+    stored: bool = False,
 ) -> Evaluation:
     """All diagnostics with ``split`` as an extra group key: each is one plan for all sets.
 
     ``score`` may be a probability or a hard 0/1 prediction. The columns needed are stored first, so
-    that the model behind them scores each row once.
+    that the model behind them scores each row once; ``stored`` says that ``scored`` is a table already.
     """
     columns = dict.fromkeys([id, split, label, score, prediction, *([weight] if weight else [])])
-    scored = written(scored.select(*columns), "scored")
+    scored = scored.select(*columns)
+    if not stored:
+        scored = written(scored, "scored")
     summary = bin_summary(scored, label, score, id, bins, weight, split)
     return Evaluation(
         recall=recall(scored, label, prediction, by=split),

@@ -61,6 +61,8 @@ def clean_table(
     seed: int = SEED,
     fit_on: str = "all",
     median: str = "approx",
+    median_error: float = 0.01,
+    nan_as_null: bool = False,
 ) -> DataFrame:
     """Sentinels to null, text columns to INT, sparse columns out, medians in; with split and fold.
 
@@ -74,7 +76,7 @@ def clean_table(
     text = [c for c in columns_of_type(table, "string") if c not in (target, SPLIT)]
     table = cast_to_int(sentinel_to_null(table, columns=text), text)
     base = table.where(F.col(SPLIT) == "train") if fit_on == "train" else None
-    return handle_missing(table, text, null_threshold, median, fit_on=base)
+    return handle_missing(table, text, null_threshold, median, median_error, base, nan_as_null)
 
 
 def train_classifier(
@@ -90,22 +92,28 @@ def train_classifier(
     fit_on: str = "all",
     select: bool = True,
     parallelism: int = 4,
+    median: str = "approx",
+    median_error: float = 0.01,
+    nan_as_null: bool = False,
+    unseen: str = "error",
 ) -> TrainingResult:
     """Clean, split, select features, tune a forest by cross-validation, evaluate and store it.
 
     Selected features and hyperparameters already stored below ``work_dir`` are used instead of being
     searched again, so a job that was stopped, or a new run on more data, goes on from there.
-    ``select=False`` trains on all features. Columns in ``ignore``, such as a row id, are no features.
+    ``select=False`` trains on all features. ``unseen`` says what becomes of test rows whose class the label
+    index has not met, which takes ``fit_on="train"``: ``error``, ``skip`` or ``keep`` as a class of its own. Columns in ``ignore``, such as a row id, are no features.
     """
     if not work_dir.strip() or not target.strip():
         raise ValueError("work_dir and target must not be empty")
     spark = table.sparkSession
     cleaned_path = artifact_path(work_dir, CLEANED)
-    clean_table(table, target, key, null_threshold, seed, fit_on).write.mode("overwrite").parquet(cleaned_path)
+    cleaned_rows = clean_table(table, target, key, null_threshold, seed, fit_on, median, median_error, nan_as_null)
+    cleaned_rows.write.mode("overwrite").parquet(cleaned_path)
     cleaned = spark.read.parquet(cleaned_path)
     train, test = (cleaned.where(F.col(SPLIT) == s) for s in ("train", "test"))
     features = [c for c in cleaned.columns if c not in (target, SPLIT, FOLD, *ignore)]
-    index = fit_label_index(train if fit_on == "train" else cleaned, target)
+    index = fit_label_index(train if fit_on == "train" else cleaned, target, handle_invalid=unseen)
 
     if select:
         features_path = artifact_path(work_dir, FEATURES)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,9 +18,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="sieveline-")
+    elif shared.startswith("file:") and spark.sparkContext.master.startswith(("yarn", "k8s", "spark:", "mesos")):
+        warnings.warn(f"spark.checkpoint.dir is {shared}: every machine must mount that folder", stacklevel=2)
     return f"{shared.rstrip('/')}/sieveline/{name}-{uuid.uuid4().hex}"
 
 

@@ -21,9 +21,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
     )
+    if SparkSession.getActiveSession() is None and "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -6,7 +6,6 @@ import pytest
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
-from sieveline.functions.small import join_checked
 from sieveline.operators import features, models, search, selection
 from sieveline.operators.split import assign_folds, hash_split
 from sieveline.plans import training
@@ -74,15 +73,6 @@ def test_balanced_weights(spark):
     assert len(rows) == 9
 
 
-def test_checked_join_takes_both_ways(spark, plan_of):
-    df = spark.range(100).selectExpr("id % 10 as k", "id as v")
-    small = spark.range(10).selectExpr("id as k", "id * 2 as w")
-    expected = sorted(map(tuple, df.join(small, "k").collect()))
-    for limit in (5, 1000):
-        assert sorted(map(tuple, join_checked(df, small, ["k"], limit=limit).collect())) == expected
-    assert "BroadcastHashJoin" in plan_of(join_checked(df, small, ["k"]))
-
-
 # --- models -----------------------------------------------------------------------------------
 
 
