@@ -72,9 +72,14 @@ def _paths(nodes: dict, root: int = 0):
 
 
 def fit_explainer(spark: SparkSession, model, class_index: int = 1) -> Explainer:
-    """Read the node table of a saved ensemble.
+    """The explainer of one class; see :func:`fit_explainers`."""
+    return fit_explainers(spark, model, [class_index])[0]
 
-    A forest is explained on the probability of ``class_index``, boosted trees on the margin of the
+
+def fit_explainers(spark: SparkSession, model, classes: list[int]) -> list[Explainer]:
+    """Read the node table of a saved ensemble, once for any number of classes.
+
+    A forest is explained on the probability of each class, boosted trees on the margin of the
     positive class. Only the model, never the data, comes to the driver.
     """
     if not isinstance(model, (GBTClassificationModel, RandomForestClassificationModel)):
@@ -85,7 +90,8 @@ def fit_explainer(spark: SparkSession, model, class_index: int = 1) -> Explainer
     for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").collect():
         trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
     boosted = isinstance(model, GBTClassificationModel)
-    leaves, base = [], 0.0
+    leaves: list[list[Leaf]] = [[] for _ in classes]
+    bases = [0.0] * len(classes)
     for tree, nodes in sorted(trees.items()):
         scale = model.treeWeights[tree] if boosted else 1.0 / len(trees)
         for leaf, path_taken in _paths(nodes):
@@ -98,33 +104,56 @@ def fit_explainer(spark: SparkSession, model, class_index: int = 1) -> Explainer
                 else:
                     test[0] = max(test[0], threshold)
                 test[2] *= _cover(model, child) / _cover(model, parent)
-            value = scale * _leaf_value(model, leaf, class_index)
             columns = np.array(list(tests.values()), dtype=np.float64).reshape(-1, 3)
-            base += value * columns[:, 2].prod()
-            if tests:
-                leaves.append(Leaf(value, np.array(list(tests)), columns[:, 0], columns[:, 1], columns[:, 2]))
-    return Explainer(leaves, float(base), model.numFeatures)
+            for k, class_index in enumerate(classes):
+                value = scale * _leaf_value(model, leaf, class_index)
+                bases[k] += value * columns[:, 2].prod()
+                if tests:
+                    leaves[k].append(Leaf(value, np.array(list(tests)), columns[:, 0], columns[:, 1], columns[:, 2]))
+    return [Explainer(own, float(base), model.numFeatures) for own, base in zip(leaves, bases, strict=True)]
+
+
+def _grouped(leaves: list[Leaf]) -> list[tuple]:
+    """Leaves with paths over equally many features, stacked: (values, features, low, high, share)."""
+    by_length: dict[int, list[Leaf]] = {}
+    for leaf in leaves:
+        by_length.setdefault(len(leaf.features), []).append(leaf)
+    return [
+        (np.array([x.value for x in group]), *(np.stack([getattr(x, c) for x in group]) for c in ("features", "low", "high", "share")))
+        for _, group in sorted(by_length.items())
+    ]
 
 
 def attribution_function(shared):
     """The function that runs in the tasks, from one Arrow column of feature rows to another.
 
-    It refers to NumPy, Arrow and plain tuples only, so that workers need not have this package.
+    It refers to NumPy, Arrow and plain tuples only, so that workers need not have this package. Leaves of equal path
+    length are worked on together, in parts of about a million cells, which bounds the memory of a task.
     """
+    cells = 1 << 20
 
     def contributions(column: pa.Array) -> pa.Array:
-        leaves, width = shared.value
+        groups, width = shared.value
         rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
         out = np.zeros(rows.shape)
-        for value, features, low, high, share in leaves:
-            x = rows[:, features]
-            passed = ((x > low) & (x <= high)).astype(np.float64)
-            nodes, weights = np.polynomial.legendre.leggauss(len(features) // 2 + 1)
-            integral = np.zeros_like(passed)
-            for at, weight in zip((nodes + 1) / 2, weights / 2):
-                terms = share * (1 - at) + passed * at
-                integral += weight * terms.prod(axis=1, keepdims=True) / terms
-            out[:, features] += value * (passed - share) * integral
+        for values, features, low, high, share in groups:
+            depth = features.shape[1]
+            nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
+            step = max(1, cells // max(1, depth * len(rows)))
+            for k in range(0, len(values), step):
+                part = slice(k, k + step)
+                x = rows[:, features[part]]
+                passed = ((x > low[part]) & (x <= high[part])).astype(np.float64)
+                integral = np.zeros_like(passed)
+                for at, weight in zip((nodes + 1) / 2, weights / 2):
+                    terms = share[part] * (1 - at) + passed * at
+                    integral += weight * terms.prod(axis=2, keepdims=True) / terms
+                gained = values[part][:, None] * (passed - share[part]) * integral
+                # features repeat among the leaves of a part: a product with their indicator adds them up
+                names, place = np.unique(features[part], return_inverse=True)
+                indicator = np.zeros((place.size, len(names)))
+                indicator[np.arange(place.size), place.ravel()] = 1.0
+                out[:, names] += gained.reshape(len(rows), -1) @ indicator
         ends = pa.array(np.arange(len(column) + 1, dtype=np.int32) * width)
         return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
 
@@ -139,8 +168,8 @@ def attribute(
     Only the feature column goes to Python, in Arrow batches without a copy per row; all other
     columns stay in the JVM.
     """
-    leaves = [tuple(leaf) for leaf in explainer.leaves]
-    shared = df.sparkSession.sparkContext.broadcast((leaves, explainer.width))
+    # its size is that of the model: leaves times path length
+    shared = df.sparkSession.sparkContext.broadcast((_grouped(explainer.leaves), explainer.width))
     contributions = F.arrow_udf(attribution_function(shared), "array<double>")
     return df.withColumns(
         {output: contributions(vector_to_array(features)), "base_value": F.lit(explainer.base)}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.expressions import HASH_SPACE, hash_bucket
-from sieveline.operators.explain import attribute, fit_explainer, mean_abs_contribution
+from sieveline.operators.explain import attribute, fit_explainers, mean_abs_contribution
 from sieveline.operators.features import FEATURES, LABEL, assemble
 from sieveline.operators.models import random_forest
 
@@ -114,8 +114,9 @@ def _trial_importance(
         test = both.where("_test").select(estimator.getFeaturesCol())
         total = [0.0] * (2 * len(active))
         # with two classes the attributions of one are those of the other with the sign turned
-        for c in range(model.numClasses) if model.numClasses > 2 else [model.numClasses - 1]:
-            explained = attribute(test, fit_explainer(vectors.sparkSession, model, c), estimator.getFeaturesCol())
+        classes = list(range(model.numClasses)) if model.numClasses > 2 else [model.numClasses - 1]
+        for explainer in fit_explainers(vectors.sparkSession, model, classes):
+            explained = attribute(test, explainer, estimator.getFeaturesCol())
             for row in mean_abs_contribution(explained, k=None).collect():
                 total[int(row["feature"])] += row["mean_abs"]
         return total
@@ -182,7 +183,7 @@ def shadow_selection(
     finally:
         vectors.unpersist()
     table = [
-        (f, hits[i], result[i][0], result[i][2], result[i][3], result[i][1], shares[i] / result[i][0])
+        (f, hits[i], result[i][0], result[i][2], result[i][3], result[i][1], float(shares[i] / result[i][0]))
         for i, f in enumerate(features)
     ]
     return df.sparkSession.createDataFrame(

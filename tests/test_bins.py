@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sieveline.operators import ranks
+from sieveline.operators import bins, ranks
 from sieveline.operators.bins import (
     fit_quantile_bins,
     fit_rank_bins,
@@ -157,7 +157,23 @@ def test_a_single_bin(spark):
         assert set(bins_of(fitted, df)) == {0}
 
 
-def test_bad_arguments(spark):
+def test_rows_without_set_name_are_a_set(spark):
+    df = spark.range(60).selectExpr("id", "double(id) as score", "if(id % 3 = 0, null, string(id % 3)) as split")
+    for fit in (lambda: fit_quantile_bins(df, "score", 4, by="split"), lambda: fit_rank_bins(df, "score", "id", 4, by="split")):
+        rows = fit().apply(df).groupBy("split", "bin").count().collect()
+        assert {(r["split"], r["bin"]) for r in rows} == {(s, b) for s in (None, "1", "2") for b in range(4)}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(18,0)", "decimal(18,2)", "decimal(38,0)"])
+def test_large_ids_split_ties(spark, kind):
+    start = 10**15 if kind == "decimal(18,2)" else 2**59
+    df = spark.range(100).selectExpr(f"cast(id + {start} as {kind}) as id", "1.0D as score")
+    counts = fit_rank_bins(df, "score", "id", 4).apply(df).groupBy("bin").count().collect()
+    assert sorted((r["bin"], r["count"]) for r in counts) == [(b, 25) for b in range(4)]
+
+
+def test_bad_arguments(spark, monkeypatch):
+    monkeypatch.setattr(bins, "MAX_SETS", 64)
     df = spark.range(200).selectExpr("id", "double(id) as score", "id as split")
     with pytest.raises(ValueError):
         fit_quantile_bins(df, "score", 0)

@@ -14,9 +14,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sieveline.operators.explain import (
+    _grouped,
     attribute,
     attribution_function,
     fit_explainer,
+    fit_explainers,
     mean_abs_contribution,
     top_contributions,
 )
@@ -120,7 +122,7 @@ def test_a_tree_without_splits(spark, data):
 def test_workers_need_not_have_the_package(spark, data, tmp_path):
     model = RandomForestClassifier(numTrees=2, maxDepth=2, seed=1).fit(data)
     explainer = fit_explainer(spark, model)
-    shared = SimpleNamespace(value=([tuple(leaf) for leaf in explainer.leaves], explainer.width))
+    shared = SimpleNamespace(value=(_grouped(explainer.leaves), explainer.width))
     (tmp_path / "f.pickle").write_bytes(cloudpickle.dumps(attribution_function(shared)))
     code = (
         "import pickle, pyarrow as pa, sys; f = pickle.load(open('f.pickle', 'rb'));"
@@ -136,6 +138,17 @@ def test_only_the_feature_column_goes_to_python(spark, data, plan_of):
     assert "ArrowEvalPython" in text and "Exchange" not in text
 
 
+def test_all_classes_from_one_saved_model(spark, data):
+    model = RandomForestClassifier(numTrees=3, maxDepth=3, seed=1).fit(data)
+    together = fit_explainers(spark, model, [0, 1])
+    for k, explainer in enumerate(together):
+        alone = fit_explainer(spark, model, k)
+        assert explainer.base == pytest.approx(alone.base) and len(explainer.leaves) == len(alone.leaves)
+    rows = [attribute(data, e).select("contributions").collect() for e in together]
+    for a, b in zip(*rows, strict=True):
+        assert a[0] == pytest.approx([-x for x in b[0]])
+
+
 def test_other_models_are_refused(spark, data):
     with pytest.raises(TypeError):
         fit_explainer(spark, LogisticRegression(maxIter=1).fit(data))

@@ -119,3 +119,21 @@ def test_recall_and_penalty(spark):
     assert by == {"train": 1.0, "val": 0.5, "test": None}
     row = metrics.penalized_recall(df).first()
     assert (row["train_recall"], row["validation_recall"], row["objective"]) == (1.0, 0.5, 0.0)
+
+
+def test_nothing_is_dropped_from_the_confusion_matrix(spark):
+    rows = [("a", "a"), ("a", None), ("b", "b"), (None, "a"), ("a.b", "a_b"), (None, None)]
+    df = spark.createDataFrame(rows, "label string, prediction string")
+    found = metrics.confusion_matrix(df)
+    assert found.columns == ["label", "predicted_a", "predicted_a_b", "predicted_a_b_2", "predicted_b", "predicted_null"]
+    assert sum(sum(tuple(r)[1:]) for r in found.collect()) == len(rows)
+    named = metrics.confusion_matrix(df, classes=["a"])
+    assert named.columns == ["label", "predicted_a", "predicted_other"]
+    assert sum(sum(tuple(r)[1:]) for r in named.collect()) == len(rows)
+    scores = metrics.multiclass_metrics(df.limit(3).where("label is not null")).first()
+    assert scores["accuracy"] == pytest.approx(2 / 3) and scores["weighted_recall"] == pytest.approx(2 / 3)
+
+
+def test_one_origin_where_the_highest_score_has_no_label(spark):
+    df = spark.createDataFrame([(None, 0.9), (1, 0.8), (0, 0.1)], "label int, score double")
+    assert sum(r["threshold"] is None for r in metrics.roc_curve(df).collect()) == 1

@@ -155,6 +155,18 @@ def test_verdict():
     assert selection.verdict(8, 8, 30, 0.1)[0] == "tentative"
 
 
+def test_shadow_selection_does_not_depend_on_the_pool(spark, data):
+    forest = models.random_forest(3, numTrees=4, maxDepth=3)
+    found = [
+        selection.shadow_selection(
+            data, ALL, "id", 3, trials=8, estimator=forest, importance="impurity", parallelism=pool, decide_every=4
+        ).collect()
+        for pool in (1, 3, 4)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert all(0 <= r["importance"] <= 1 for r in found[0])
+
+
 @pytest.mark.parametrize("importance", ["attribution", "impurity"])
 def test_shadow_selection_finds_the_signal(spark, data, importance):
     forest = models.random_forest(1, numTrees=8, maxDepth=4)
