@@ -110,6 +110,8 @@ MORE_KINDS = (
 )
 #: Characters before a match in which context words are looked for, and what a word adds to the score.
 REACH, RAISE = 60, 0.2
+#: Matches whose offsets are added up together.
+BLOCK = 256
 
 SPAN = "array<struct<kind: int, start: long, end: long, score: double>>"
 
@@ -117,20 +119,37 @@ SPAN = "array<struct<kind: int, start: long, end: long, score: double>>"
 def spans_of(text: Column, kind: Kind, number: int) -> Column:
     """The confirmed matches of one kind, in order, with offsets in code points."""
 
-    def placed(pair: Column) -> Column:
-        gaps, hits = pair["gaps"], pair["hits"]
-        steps = F.transform(hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(h).cast("long").alias("size"), h.alias("hit")))
-        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start: long, hit: string>>").alias("found"))
+    def running(steps: Column, at: Column, width: Callable[[Column], Column], made: Callable[[Column, Column], Column], kind: str) -> Column:
+        """``made(position, step)`` of each step, the position being ``at`` and the widths of the steps before."""
+        zero = F.struct(at.alias("at"), F.array().cast(f"array<{kind}>").alias("found"))
         return F.aggregate(
             steps,
             zero,
-            lambda a, s: F.struct(
-                (a["at"] + s["gap"] + s["size"]).alias("at"),
-                F.concat(a["found"], F.array(F.struct((a["at"] + s["gap"]).alias("start"), s["hit"].alias("hit")))).alias("found"),
-            ),
+            lambda a, s: F.struct((a["at"] + width(s)).alias("at"), F.concat(a["found"], F.array(made(a["at"], s))).alias("found")),
             lambda a: a["found"],
         )
 
+    def starts(steps: Column) -> Column:
+        # in blocks, since every step copies what its aggregate has found so far
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")), lambda b: F.slice(steps, b * BLOCK + 1, F.lit(BLOCK)))
+        whole = lambda s: s["gap"] + s["size"]
+        based = running(
+            blocks,
+            F.lit(0).cast("long"),
+            lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda n, s: n + whole(s)),
+            lambda at, b: F.struct(at.alias("at"), b.alias("block")),
+            "struct<at: long, block: array<struct<gap: long, size: long, hit: string>>>",
+        )
+        one = lambda at, s: F.struct((at + s["gap"]).alias("start"), s["hit"].alias("hit"))
+        return F.flatten(F.transform(based, lambda b: running(b["block"], b["at"], whole, one, "struct<start: long, hit: string>")))
+
+    def placed(pair: Column) -> Column:
+        gaps, hits = pair["gaps"], pair["hits"]
+        steps = F.transform(
+            hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(h).cast("long").alias("size"), h.alias("hit"))
+        )
+        return F.when(F.size(hits) > 0, bind(steps, starts)).otherwise(F.array().cast("array<struct<start: long, hit: string>>"))
+
     def scored(s: Column) -> Column:
         ahead = F.lower(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)).cast("int") + 1, F.least(s["start"], F.lit(REACH)).cast("int")))
         near = ahead.rlike(rf"(?<![\p{{L}}])(?:{'|'.join(kind.context)})")

@@ -129,7 +129,7 @@ class WarcWriter(DataSourceArrowWriter):
         attempt = uuid.uuid4().hex
         files, rolling, shard, key, copy, mark = [], None, None, None, 0, None
         for batch in iterator:
-            for row in batch.to_pylist():
+            for row in (r for k in range(0, batch.num_rows, 64) for r in batch.slice(k, 64).to_pylist()):
                 if rolling is None or row["shard"] != shard:
                     if rolling:
                         rolling.close()

@@ -39,6 +39,7 @@ AWKWARD = [
     row(13, "same line\nsame line\n\n \nother line\nsame line " + "a b c d e f " * 5, "en", "a"),
     row(14, "GB82 WEST 1234 5698 7654 32 account; social security 123-45-6789; plain 123-45-6789", "en", "a"),
     row(15, "1 " * 5_000 + "1.1.1.1." * 3_000 + "a@" * 3_000 + "+1" + "-" * 9_000, "en", "a"),
+    row(16, "call 10.0.0.1 or a@b.cd " * 2_500, "en", "a"),
 ]
 
 
