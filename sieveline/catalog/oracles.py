@@ -154,6 +154,7 @@ select id, coalesce(f1, (select quantile_disc(f1, 0.5) from cleaned)) as f1,
 from orders""",
     "project_features": "select o_custkey, o_totalprice, o_orderstatus from orders",
     "hash_split": f"select o_orderkey as id, {two_way('o_orderkey')} as split from orders",
+    "random_split_union": "select o_orderkey as id from orders",
     "three_way_split": f"select o_orderkey as id, {three_way('o_orderkey')} as split from orders",
     "kfold_assign": f"select o_orderkey as id, {bucket('o_orderkey', 2023, 5)}::integer as fold from orders",
     "label_index": """select o_orderpriority as label,
@@ -292,6 +293,11 @@ select 'numTrees' as param, t::varchar as value from v
 union all select 'maxDepth', d::varchar from v union all select 'maxBins', b::varchar from v""",
     "forest_probabilities": f"select id, 1.0::double as total, true as likely from ({TEST_DOCUMENTS})",
     "importance_of_constant": "select 7::bigint as features, 1.0::double as total, 0.0::double as constant from labels limit 1",
+    "shadow_rejects": """select 'constant' as feature, 0 as hits, 8 as trials, 'rejected' as decision, 0.0::double as importance
+from labels limit 1""",
+    "grid_search": """select '{"maxDepth": ' || d || ', "numTrees": ' || t || '}' as params, 3 as folds, true as in_range
+from (values (2), (5)) as a(d), (values (3), (9)) as b(t)""",
+    "random_search": "select i::integer as trial, 9 as parameters, true as in_range from range(4) as t(i)",
     "training_totals": f"""with d as (
   select doc_id, quality from documents join labels using (doc_id)), idx as (
   select quality, (row_number() over (order by count(*) desc, quality) - 1)::double as label from d group by quality)

@@ -150,6 +150,13 @@ def random_split(spark, sf_dir):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+@query
+def random_split_union(spark, sf_dir):
+    """The parts of a random split hold every row once."""
+    train, test = split.random_split(_order_ids(spark, sf_dir), [0.8, 0.2], SEED)
+    return train.unionByName(test)
+
+
 @query
 def three_way_split(spark, sf_dir):
     return split.three_way_split(_order_ids(spark, sf_dir), "id")
@@ -540,23 +547,42 @@ def shadow_selection(spark, sf_dir):
     return selection.shadow_selection(_indexed_documents(spark, sf_dir), names, "id", SEED, trials=8, estimator=forest)
 
 
+@query
+def shadow_rejects(spark, sf_dir):
+    """A constant feature never beats the shadows and is rejected."""
+    names = DOC_FEATURES + PLAIN_FEATURES
+    forest = models.random_forest(SEED, numTrees=5)
+    found = selection.shadow_selection(
+        _indexed_documents(spark, sf_dir), names, "id", SEED, trials=8, estimator=forest, importance="impurity"
+    )
+    return found.where(F.col("feature") == "constant").select("feature", "hits", "trials", "decision", "importance")
+
+
+def _in_range(score: str) -> Column:
+    return F.col(score).between(-1, 1).alias("in_range")
+
+
 @query
 def grid_search(spark, sf_dir):
+    """The parameter maps tried, the folds of each and whether its score is one."""
     train, _, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
     forest = models.random_forest(SEED)
     maps = search.parameter_maps(
         forest, {"numTrees": {"start": 3, "stop": 9, "num": 2}, "maxDepth": {"start": 2, "stop": 5, "num": 2}}
     )
     folds = split.assign_folds(train, "id", 3, SEED)
-    return search.grid_search(forest, maps, folds, folds=3).trials.drop("fold_scores")
+    trials = search.grid_search(forest, maps, folds, folds=3).trials
+    return trials.select("params", F.size("fold_scores").alias("folds"), _in_range("score"))
 
 
 @query
 def random_search(spark, sf_dir):
+    """The trials made, how many parameters each has and whether its score is one."""
     train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
     space = BOOSTED_SPACE | {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6), "min_data_in_leaf": ("int", 4, 20)}
     settings = search.draw_settings(space, 4, SEED)
-    return search.random_search(train, test, settings, SEED, "penalized").trials
+    trials = search.random_search(train, test, settings, SEED, "penalized").trials
+    return trials.select("trial", F.size(F.json_object_keys("params")).alias("parameters"), _in_range("score"))
 
 
 def _explained(spark, sf_dir) -> DataFrame:
