@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sieveline.operators.features import FEATURES
 from sieveline.sources.artifacts import store_model
-from sieveline.sources.scratch import scratch_path
+from sieveline.sources.scratch import remove, scratch_path
 
 OTHERS = "others"
 
@@ -89,6 +89,7 @@ def fit_explainers(spark: SparkSession, model, classes: list[int]) -> list[Expla
     trees: dict[int, dict] = {}
     for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").collect():
         trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
+    remove(spark, path)
     boosted = isinstance(model, GBTClassificationModel)
     leaves: list[list[Leaf]] = [[] for _ in classes]
     bases = [0.0] * len(classes)

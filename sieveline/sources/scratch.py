@@ -34,4 +34,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path through the file system that it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by :func:`written` that no later plan reads any more."""
+    for table in tables:
+        if path := getattr(table, "scratch_path", None):
+            remove(table.sparkSession, path)
