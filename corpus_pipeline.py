@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm.stages import by_benchmark, by_language, by_mixture, by_similarity, to_shards
-from sieveline.sources.scratch import written
+from sieveline.sources.scratch import discard, written
 
 STAGES = [
     ("language_id", by_language),
@@ -20,10 +20,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``. Each stage's rows are written as Parquet and read again by the next."""
+    """Apply the stages to ``documents``. Each stage's rows are written as Parquet, read again by the next, and then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
