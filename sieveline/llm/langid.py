@@ -140,7 +140,8 @@ def sample_of(docs: DataFrame, id: str, text: str, lang: str, sample: int) -> Da
     open_rows = docs.where(F.col(lang).isNotNull() & ~held_out(id) & F.col(text).isNotNull())
     sizes = open_rows.groupBy(lang).agg(F.count(F.lit(1)).alias("_rows")).withColumnRenamed(lang, "_lang")  # one row per language
     draw = F.pmod(F.xxhash64(F.col(id), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = open_rows.join(sizes, F.col(lang) == F.col("_lang")).where(draw * F.col("_rows") < sample)
+    # one row per language, of which the model on the driver has a whole column: else all texts of a language would meet in one task
+    chosen = open_rows.join(F.broadcast(sizes), F.col(lang) == F.col("_lang")).where(draw * F.col("_rows") < sample)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
