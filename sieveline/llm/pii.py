@@ -39,6 +39,34 @@ def mod_97(value: Column) -> Column:
     return rest == 1
 
 
+#: Lengths of account numbers by country, after the ISO 13616 registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def account_number(head: Column, tail: Column) -> Column:
+    """The account number that ``head`` and a first part of ``tail`` make, or null.
+
+    It can end at any blank, or where the tail does, if the check holds. The end that gives the length usual in its country
+    goes before others, a later one before an earlier one.
+    """
+    size = lambda v: F.length(F.translate(v, " ", ""))
+    usual = F.coalesce(*[F.when(head.rlike(f"^({names.replace(' ', '|')})"), F.lit(n)) for n, names in IBAN_LENGTHS.items()])
+
+    def ends(words: Column) -> Column:
+        first_parts = F.transform(words, lambda _, i: F.array_join(F.slice(words, F.lit(1), F.size(words) - i), " "))
+        return F.filter(first_parts, lambda v: size(v).between(15, 34) & v.rlike("^[A-Z0-9 ]+$") & mod_97(v))
+
+    def best(found: Column) -> Column:
+        return F.coalesce(F.get(F.filter(found, lambda v: size(v) == usual), F.lit(0)), F.get(found, F.lit(0)))
+
+    return bind(bind(F.split(F.concat(head, tail), " "), ends), best)
+
+
 def small_parts(value: Column) -> Column:
     """Every dot-separated number is at most 255; leading zeros do not matter."""
     numbers = F.transform(F.split(value, "\\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", ""))
@@ -55,7 +83,8 @@ class Kind:
 
     ``needle`` is a character class that every match contains: a text without it is not searched. Repetition is
     possessive and matches start at run starts, so the search takes time in proportion to the text and no
-    stack; on the base patterns neither changes what matches.
+    stack; on the base patterns neither changes what matches. Where a match ends can be left to ``whole``: the pattern then
+    matches its head, with what may follow as a group in a lookahead, and ``whole`` makes the match of both, or null.
     """
 
     name: str
@@ -66,6 +95,7 @@ class Kind:
     needle: str
     #: A match below this score is not reported; base kinds are reported whatever the context.
     least: float = 0.0
+    whole: Callable[[Column, Column], Column] | None = None
 
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -92,11 +122,13 @@ BASE_KINDS = (
 MORE_KINDS = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        # one more letter or digit after the longest run shows that no number ends there
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))",
         mod_97,
         0.8,
         ("iban", "account", "bank", "konto", "compte", "cuenta"),
         "[A-Z]{2}[0-9]{2}",
+        whole=account_number,
     ),
     Kind(
         "ssn",
@@ -143,10 +175,25 @@ def spans_of(text: Column, kind: Kind, number: int) -> Column:
         one = lambda at, s: F.struct((at + s["gap"]).alias("start"), s["hit"].alias("hit"))
         return F.flatten(F.transform(based, lambda b: running(b["block"], b["at"], whole, one, "struct<start: long, hit: string>")))
 
+    def apart(found: Column) -> Column:
+        """Without those that begin before the end of one kept."""
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), lambda b: F.slice(found, b * BLOCK + 1, F.lit(BLOCK)))
+        state = lambda end, kept, kind: F.struct(end.alias("end"), kept.cast(kind).alias("kept"))
+        one, many = "array<struct<start: long, hit: string>>", "array<array<struct<start: long, hit: string>>>"
+
+        def add(a: Column, s: Column) -> Column:
+            taken = state(s["start"] + F.length(s["hit"]), F.concat(a["kept"], F.array(s)), one)
+            return F.when(s["start"] >= a["end"], taken).otherwise(a)
+
+        def add_block(a: Column, b: Column) -> Column:
+            return bind(F.aggregate(b, state(a["end"], F.array(), one), add), lambda r: state(r["end"], F.concat(a["kept"], F.array(r["kept"])), many))
+
+        return F.flatten(F.aggregate(blocks, state(F.lit(0).cast("long"), F.array(), many), add_block, lambda a: a["kept"]))
+
     def placed(pair: Column) -> Column:
         gaps, hits = pair["gaps"], pair["hits"]
         steps = F.transform(
-            hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(h).cast("long").alias("size"), h.alias("hit"))
+            hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(h).cast("long").alias("size"), (kind.whole(h, F.get(pair["tails"], i)) if kind.whole else h).alias("hit"))
         )
         return F.when(F.size(hits) > 0, bind(steps, starts)).otherwise(F.array().cast("array<struct<start: long, hit: string>>"))
 
@@ -158,10 +205,12 @@ def spans_of(text: Column, kind: Kind, number: int) -> Column:
             F.lit(number).alias("kind"), s["start"].alias("start"), (s["start"] + F.length(s["hit"])).alias("end"), score.alias("score")
         )
 
-    pieces = F.struct(
-        F.split(text, kind.pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hits")
-    )
-    valid = F.filter(bind(pieces, placed), lambda s: kind.valid(s["hit"]))
+    parts = [F.split(text, kind.pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hits")]
+    if kind.whole:
+        parts.append(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)).alias("tails"))
+    valid = F.filter(bind(F.struct(*parts), placed), lambda s: kind.valid(s["hit"]))
+    if kind.whole:
+        valid = bind(valid, lambda v: F.when(F.size(v) > 1, bind(v, apart)).otherwise(v))
     spans = F.transform(valid, scored)
     if kind.least > 0:
         spans = F.filter(spans, lambda s: s["score"] >= kind.least)

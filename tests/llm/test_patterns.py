@@ -104,6 +104,27 @@ def test_validators_and_context(spark):
     assert found("\U0001f600é a@b.co") == [("email", "a@b.co", 0.8)]
 
 
+def test_account_numbers_end_before_what_follows(spark):
+    dense, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    other, third = "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"
+    cases = [
+        (f"{number} {after}", [number])
+        for number in (dense, spaced, other, third)
+        for after in ("BIC COBADEFFXXX", "Bitte zahlen", "A note", "1234 56", "77", "X", "x", "\u00e9")
+    ]
+    cases += [
+        (f"{dense} {other} {spaced} {third}", [dense, other, spaced, third]),
+        (f"\U0001f600 {dense}, {third} and {dense}x", [dense, third]),
+        ("DE88370400440532013000 BIC", []),
+        (f"x{dense} {dense}A {dense}0123456789012", []),
+        (" ".join([dense, spaced] * 400), [dense, spaced] * 400),
+    ]
+    rows = pii.find_personal_data(spark.createDataFrame([(t,) for t, _ in cases], "text string")).collect()
+    iban = [k.name for k in (*pii.BASE_KINDS, *pii.MORE_KINDS)].index("iban")
+    found = {r["text"]: [r["text"][s["start"] : s["end"]] for s in r["found"] if s["kind"] == iban] for r in rows}
+    assert found == dict(cases)
+
+
 def test_personal_data_is_one_projection(documents, plan_of):
     plan = plan_of(pii.find_personal_data(documents))
     assert not any(word in plan for word in ("Exchange", "Python", "Arrow", "Generate"))
