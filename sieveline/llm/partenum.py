@@ -9,7 +9,7 @@ element, stands in with its elements and with each of them left out.
 
 Sets that share a signature meet in the group of its smallest member, where they are compared in full: one row per set
 and group, instead of one per pair. Signatures are compared as 64-bit hashes, which can only add
-candidates; shingles are compared as 64-bit hashes of four words, equal sets by 128 bits.
+candidates; shingles are compared as 64-bit hashes of their words, equal sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ WORDS = 4
 PERCENT = 85
 #: Each band of sizes ends where the next begins: this times the size it begins with.
 BAND_RATIO = 1.384
-SMALLEST_BAND = 6
 #: Bytes of text turned into shingles at a time, and shingles of one group compared in one task.
 SLICE_BYTES, GROUP_SHINGLES = 6 << 20, 1_500_000
 #: Candidate rows (of ids and hashes) up to which they are broadcast instead of shuffling the texts they point to.
@@ -57,6 +56,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def multiplier(place: int) -> np.uint64:
+    """The odd factor of the word at a place of a shingle, another one for each place."""
+    return _P[place] if place < len(_P) else mixed(np.array([place], U))[0] | U(1)
+
+
 class WordHashes(dict):
     """64-bit hash per word, computed when first asked for; forgets all beyond a bound."""
 
@@ -90,7 +94,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     with np.errstate(over="ignore"):
         if len(hashes) >= words:
             n = len(hashes) - words + 1
-            windows = sum((hashes[d : d + n] * _P[d % 4] + U(d) for d in range(words)), np.zeros(n, U))
+            windows = sum((hashes[d : d + n] * multiplier(d) + U(d) for d in range(words)), np.zeros(n, U))
             windows = mixed(windows)
         for k in np.nonzero(counts)[0]:
             a, c = starts[k], counts[k]
@@ -98,7 +102,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
                 own = np.unique(windows[a : a + c - words + 1])
             else:
                 part = hashes[a : a + c]
-                own = mixed(np.array([sum((part[d : d + 1] * _P[d % 4] + U(d + 101 * c) for d in range(c)), np.zeros(1, U))[0]], U))
+                own = mixed(np.array([sum((part[d : d + 1] * multiplier(d) + U(d + 101 * c) for d in range(c)), np.zeros(1, U))[0]], U))
             sizes[k] = len(own)
             out.append(own)
     return np.concatenate(out) if out else np.empty(0, U), sizes
@@ -129,10 +133,15 @@ def most_different(total: int, percent: int = PERCENT) -> int:
     return (100 - percent) * total // (100 + percent)
 
 
+def smallest_band(percent: int = PERCENT) -> int:
+    """Least n with ``100 * n >= percent * (n + 1)``: smaller sets link only when equal."""
+    return -(-percent // max(1, 100 - percent))
+
+
 @cache
 def bands(percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(first size, number of partitions) of each band. Smaller sets link only when equal."""
-    first = [SMALLEST_BAND]
+    """(first size, number of partitions) of each band."""
+    first = [smallest_band(percent)]
     while first[-1] < 1 << 40:
         first.append(max(first[-1] + 1, int(np.ceil(first[-1] * BAND_RATIO))))
     parts = [most_different(2 * (nxt - 1), percent) // 2 + 1 for nxt in first[1:]]
@@ -144,7 +153,7 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int = PERCENT)
     first, parts = bands(percent)
     own = np.searchsorted(first, sizes, side="right") - 1
     reach = np.searchsorted(first, sizes * 100 // percent, side="right") - 1
-    chosen = np.nonzero(sizes >= SMALLEST_BAND)[0]
+    chosen = np.nonzero(sizes >= first[0])[0]
     # the bands of a set: its own, and any further one in which a linked set of larger size can be
     visits = [np.column_stack([chosen, own[chosen]])]
     step = 1

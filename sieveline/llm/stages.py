@@ -10,6 +10,8 @@ from sieveline.llm import decontamination, langid, mixing, partenum, sharding
 
 #: A text is rejected if no language reaches this posterior probability.
 LEAST_SCORE = 0.5
+#: Near duplicates of the corpus share so many percent of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +22,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return partenum.without_similar(docs)
+    return partenum.without_similar(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import partenum
 from sieveline.llm.components import connected
 from sieveline.llm.queries import op7_jaccard
+from sieveline.llm.stages import by_similarity
 from tests.llm import brute
 from tests.llm.conftest import AWKWARD
 
@@ -64,6 +65,53 @@ def test_linked_sets_share_a_signature():
             assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist()), (size, other)
 
 
+def pairs_linked(spark, pairs, **how):
+    """Whether the two texts of each pair are in one component."""
+    docs = [(2 * k + side, text) for k, pair in enumerate(pairs) for side, text in enumerate(pair)]
+    rows = partenum.similarity_classes(spark.createDataFrame(docs, "doc_id long, text string"), **how).collect()
+    component = {r["doc_id"]: r["component_id"] for r in rows}
+    return [component[2 * k] == component[2 * k + 1] for k in range(len(pairs))]
+
+
+def test_small_sets_at_the_threshold(spark):
+    text = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    pairs = [(text(name, n), text(name, n + 1)) for name, n in (("a", 7), ("b", 8), ("c", 9), ("d", 10))]  # 3/4, 4/5, 5/6, 6/7 shingles
+    assert pairs_linked(spark, pairs, words=5, percent=80) == [False, True, True, True]
+    assert [partenum.smallest_band(p) for p in (50, 80, 85, 90, 100)] == [1, 4, 6, 9, 100]
+
+
+def test_words_of_a_shingle_have_an_order():
+    texts = pa.array(["a b c d e", "e b c d a", "a e c d b"])
+    elements, _ = partenum.shingle_sets(texts, 5)
+    assert len(set(elements.tolist())) == 3
+
+
+def test_near_copies_by_five_words(spark):
+    docs = near_copies(seed=12)
+    cut = [t.split() for _, t in docs]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in cut]
+    root = list(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    rows = partenum.similarity_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), words=5, percent=80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == dict(enumerate(root))
+
+
+def test_stage_drops_copies_with_scattered_edits(spark):
+    docs = []
+    for k, (n, edits) in enumerate([(1000, 22), (500, 11), (1000, 23)]):
+        words = [f"t{k}w{i}" for i in range(n)]
+        changed = list(words)
+        for e in range(edits):
+            changed[(2 * e + 1) * n // (2 * edits)] = f"x{k}e{e}"
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+    kept = by_similarity(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 5]
+
+
 def test_distant_sets_share_none():
     rng = np.random.default_rng(4)
     sizes = np.full(60, 500)
