@@ -199,6 +199,48 @@ SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM split s LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_AUDIT = rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body, {_WORDS} AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS e
+  FROM documents
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         {{'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+          'C': 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 3 * length(body),
+          'D': regexp_matches(body, '[#$%&*|]'), 'E': e}} AS f
+  FROM texts LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM failed GROUP BY part, f
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, k AS step, filter_order[k] AS own, filter_order[1:k - 1] AS earlier FROM orders, range(1, 6) r(k)
+), seen AS (
+  SELECT *, [x FOR x IN ['A', 'B', 'C', 'D', 'E'] IF list_extract([f.A, f.B, f.C, f.D, f.E], ascii(x) - 64)] AS fails
+  FROM cells
+), audited AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT list_contains(fails, own) AND len(list_filter(fails, lambda x: contains(earlier, x))) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (list_contains(fails, own) AND len(list_filter(fails, lambda x: contains(earlier, x))) = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (list_contains(fails, own) AND len(list_filter(fails, lambda x: contains(earlier, x))) > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails = [own]), 0) AS unique_fails,
+         coalesce(sum(n_good) FILTER (list_contains(fails, own) AND len(list_filter(fails, lambda x: contains(earlier, x))) = 0), 0) AS good_lost,
+         coalesce(sum(n_toxic) FILTER (list_contains(fails, own) AND len(list_filter(fails, lambda x: contains(earlier, x))) = 0), 0) AS toxic_lost
+  FROM seen, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM audited
+"""
+
 ORACLES: dict[str, str] = {
     "op1_pareto_mix": _MIX,
     "op2_warc": _WARC,
@@ -206,4 +248,5 @@ ORACLES: dict[str, str] = {
     "op7_jaccard": _SETS,
     "op9_quality_rules": _quality(),
     "op10_decontamination": _BENCHMARK,
+    "op13_filter_audit": _AUDIT,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, langid, mixing, partenum, pii, quality_rules, rule_ensemble, secrets, sharding, warc
+from sieveline.llm import decontamination, filter_audit, langid, mixing, partenum, pii, quality_rules, rule_ensemble, secrets, sharding, warc
 from sieveline.llm.texts import spans_digest
 from sieveline.sources.scratch import scratch_path
 
@@ -73,6 +73,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_warc": op2_warc,
@@ -84,4 +88,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
