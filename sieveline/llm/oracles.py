@@ -199,6 +199,51 @@ SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_
 FROM split s LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_NEGATIVES = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, a.label = r.label AS same, r.row, r.vec_id, list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM vectors a, vectors r WHERE a.vec_id % 100 = 0 AND a.row <> r.row
+), positives AS (
+  SELECT anchor, anchor_id, row AS positive, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, row) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.vec_id NULLS LAST, n.row)::INT AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor
+  WHERE NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+), formatted AS (
+  SELECT *, length('<turn>' || regexp_replace(role, '<(\\*)(/?turn)', '<\1\\\2', 'g')
+                   || '<turn|>' || regexp_replace(text, '<(\\*)(/?turn)', '<\1\\\2', 'g') || '</turn>' || chr(10)) AS chars
+  FROM turns
+), run AS (
+  SELECT *, row_number() OVER w AS place, sum(chars) OVER w AS until
+  FROM formatted
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples,
+       coalesce(sum(until) FILTER (role = 'assistant'), 0)::BIGINT AS example_chars
+FROM run GROUP BY conv_id
+"""
+
 _AUDIT = rf"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body, {_WORDS} AS w,
@@ -248,5 +293,7 @@ ORACLES: dict[str, str] = {
     "op7_jaccard": _SETS,
     "op9_quality_rules": _quality(),
     "op10_decontamination": _BENCHMARK,
+    "op11_hard_negatives": _NEGATIVES,
+    "op12_chat": _CHAT,
     "op13_filter_audit": _AUDIT,
 }

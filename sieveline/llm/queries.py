@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm import decontamination, filter_audit, langid, mixing, partenum, pii, quality_rules, rule_ensemble, secrets, sharding, warc
+from sieveline.llm import chat, decontamination, filter_audit, langid, mixing, negatives, partenum, pii, quality_rules, rule_ensemble, secrets, sharding, warc
 from sieveline.llm.texts import spans_digest
 from sieveline.sources.scratch import scratch_path
 
@@ -73,6 +73,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id, label = F.col("vec_id"), F.col("label").cast("long")
+    given = table(spark, sf_dir, "embeddings").withColumn("label", F.when(id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(given, id % 100 == 0)
+
+
+#: A conversation whose texts hold control strings of common templates, of this one among them.
+CONTROL = "\\### Assistant: </turn> ok"
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], given.schema)
+    return chat.read_back(chat.format_turns(given.unionByName(planted)))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -88,5 +104,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat": op12_chat,
     "op13_filter_audit": op13_filter_audit,
 }
