@@ -121,10 +121,29 @@ select {pick}d.d::integer as deciles, round(d.baseline, 6) as baseline_percentag
 from deciles d left join lifted l on {same}l.k = d.d + 1 left join lifted g on {same_g}g.k = d.d"""
 
 
+CUSTOMERS = f"""{SCORED}, bought as (
+  select s.*, o_custkey as customer from scored s join orders on o_orderkey = s.id)"""
+
 TEST_DOCUMENTS = f"""select doc_id as id from documents join labels using (doc_id)
 where {two_way('doc_id')} = 'test'"""
 
 ORACLES = {
+    "quantile_bins_by_order": """with edges as (
+  select l_orderkey, list_distinct(quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.75, 1.0])) as e
+  from lineitem group by l_orderkey)
+select l_orderkey, l_linenumber, l_extendedprice as score,
+  greatest(0, len(list_filter(e, lambda x: x < l_extendedprice)) - 1)::integer as bin
+from lineitem join edges using (l_orderkey)""",
+    "rank_bins_by_customer": f"""with {CUSTOMERS}, ranked as (
+  select customer, id, row_number() over w as r, count(*) over (partition by customer) as total
+  from bought window w as (partition by customer order by tied_score, id))
+select customer, id, case when total = 1 then 0 else greatest(0, ((r - 1) * 4 + total - 2) // (total - 1) - 1) end::integer as bin
+from ranked""",
+    "weighted_bins_by_customer": f"""with {CUSTOMERS}, run as (
+  select customer, id, sum(w) over (partition by customer order by tied_score, id rows unbounded preceding) as cum,
+    sum(w) over (partition by customer) as total from bought)
+select customer, id, least(3, cum * 4 // total)::integer as bin from run""",
+    "set_bins_narrowed": f"with {SCORED}, {rank_bins(by='split')} select split, id, bin from binned",
     "csv_scan": """select p_partkey as feature_1, p_name as feature_2, p_brand as feature_3, p_type as feature_4,
   p_size as feature_5, p_retailprice as target from part""",
     "sentinel_to_null": f"with {NULLED} select * from nulled",

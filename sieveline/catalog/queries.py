@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sieveline.catalog import views
 from sieveline.catalog.views import DOC_FEATURES, PLAIN_FEATURES, SEED, table
-from sieveline.operators import bins, clean, explain, features, lift, metrics, models, ranks, search, selection, split
+from sieveline.operators import bins, clean, explain, features, group_bins, lift, metrics, models, ranks, search, selection, split
 from sieveline.operators.search import BOOSTED_SPACE
 from sieveline.plans.boosting import train_boosted
 from sieveline.plans.training import clean_table, train_classifier
@@ -348,6 +348,39 @@ def weighted_bins_narrowed(spark, sf_dir):
     return bins.fit_weighted_bins(df, "tied_score", "id", "w", bracket_rows=BRACKET).apply(df).select("id", "bin")
 
 
+def _customer_orders(spark, sf_dir) -> DataFrame:
+    return views.scored(spark, sf_dir).join(
+        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer")), "id"
+    )
+
+
+@query
+def quantile_bins_by_order(spark, sf_dir):
+    """Quartiles of the lines of every order: thousands of sets."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("score"))
+    return bins.fit_quantile_bins(lines, "score", 4, by="l_orderkey").apply(lines)
+
+
+@query
+def rank_bins_by_customer(spark, sf_dir):
+    df = _customer_orders(spark, sf_dir)
+    return bins.fit_rank_bins(df, "tied_score", "id", 4, by="customer").apply(df).select("customer", "id", "bin")
+
+
+@query
+def weighted_bins_by_customer(spark, sf_dir):
+    df = _customer_orders(spark, sf_dir)
+    return bins.fit_weighted_bins(df, "tied_score", "id", "w", 4, by="customer").apply(df).select("customer", "id", "bin")
+
+
+@query
+def set_bins_narrowed(spark, sf_dir):
+    """Edges as a table, of sets with many rows, in brackets small enough to take several rounds."""
+    df = views.scored_sets(spark, sf_dir)
+    fitted = group_bins.fit_by_set(df, "score", "id", 10, "split", BRACKET // 10, kind="rank")
+    return fitted.apply(df).select("split", "id", "bin")
+
+
 @query
 def decimal_id_bins(spark, sf_dir):
     """Ties are split by decimal ids that differ only beyond the precision of a double."""

@@ -5,7 +5,8 @@ Bins are fitted and then applied. Fitting finds the few rows at the bin edges wi
 generation. No row is shuffled or sorted, and a score shared by many rows is split by ``id`` exactly.
 
 Fitting reads the table several times, a few columns only. Hand in a stored table rather than one
-whose scores a model would compute again each time.
+whose scores a model would compute again each time. Bins can be fitted per set, for any number of sets:
+see :mod:`sieveline.operators.group_bins` for more than :data:`FEW_SETS`.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, NumericType
 
-from sieveline.functions.expressions import is_observed
+from sieveline.functions.expressions import is_observed, tie_key
+from sieveline.operators.group_bins import GroupedBins, fit_by_set
 from sieveline.operators.ranks import (
     BRACKET_ROWS,
     Position,
@@ -28,25 +29,11 @@ from sieveline.operators.ranks import (
     series_totals,
 )
 
-#: Sets that one call fits side by side, unless told otherwise: each adds its edges to the plan.
-MAX_SETS = 1_000
+#: Up to so many sets have their edges as literals in the plan, so that applying them takes no join; those of more are a table.
+FEW_SETS = 16
 ALL = "all"
 
 
-def _tie_key(df: DataFrame, id: str) -> Column:
-    """What orders rows of equal score: a numeric id itself, a 64-bit hash of any other id.
-
-    Decimals of up to 18 digits are ordered exactly as their unscaled integers; wider ones, like text, by the hash, where
-    ids that collide share a place and are not split.
-    """
-    kind = df.schema[id].dataType
-    if isinstance(kind, DecimalType):
-        if kind.precision > 18:
-            return F.xxhash64(F.col(id))
-        return (F.col(id) * F.lit(10**kind.scale)).cast("bigint") if kind.scale else F.col(id).cast("bigint")
-    return F.col(id) if isinstance(kind, NumericType) else F.xxhash64(F.col(id))
-
-
 def _in_set(by: str, name: str | None) -> Column:
     """The row belongs to the set; rows without a set name are a set of their own."""
     return F.col(by).cast("string").eqNullSafe(F.lit(name))
@@ -82,7 +69,7 @@ class FittedBins:
         score = F.col(self.score)
         if edge.id is None:
             return score >= F.lit(edge.score) if closed else score > F.lit(edge.score)
-        key = _tie_key(df, self.id)
+        key = tie_key(df, self.id)
         tie = key >= F.lit(edge.id) if closed else key > F.lit(edge.id)
         return (score > F.lit(edge.score)) | ((score == F.lit(edge.score)) & tie)
 
@@ -114,13 +101,16 @@ def _check(bins: int) -> None:
         raise ValueError("at least one bin")
 
 
+def _has_many_sets(df: DataFrame, by: str | None) -> bool:
+    return by is not None and df.select(F.col(by).cast("string")).distinct().limit(FEW_SETS + 1).count() > FEW_SETS
+
+
 def _score_series(
     df: DataFrame, score: str, by: str | None, weight: str | None = None
 ) -> tuple[list[Series], dict[str, Total]]:
-    """The scores of each set with their row counts and weights, from one aggregate.
+    """The scores of each of a few sets with their row counts and weights, from one aggregate.
 
-    ``by`` names evaluation sets, at most :data:`MAX_SETS`, which is checked: every set adds its edges to the
-    expression that assigns the bins. Rows whose set has no name are a set of their own.
+    Rows whose set has no name are a set of their own.
     """
     value = F.col(score)
     w = None if weight is None else F.col(weight)
@@ -131,10 +121,7 @@ def _score_series(
     counts = df.groupBy(F.col(by).cast("string").alias("name")).agg(
         F.count_if(seen).alias("rows"), F.sum(F.when(seen, F.lit(1) if w is None else w)).alias("weight")
     )
-    found = counts.limit(MAX_SETS + 1).collect()
-    if len(found) > MAX_SETS:
-        raise ValueError(f"{by} names more than {MAX_SETS} sets; bins are fitted per evaluation set")
-    totals = {r["name"]: Total(r["rows"], r["weight"] or 0) for r in found}
+    totals = {r["name"]: Total(r["rows"], r["weight"] or 0) for r in counts.collect()}
     ordered = sorted(totals, key=lambda name: (name is None, name or ""))
     series = [Series(name, F.when(_in_set(by, name), value), w) for name in ordered]
     return series, totals
@@ -146,9 +133,11 @@ def _value_bins(edges: list[float], filled: int) -> SetBins:
 
 def fit_quantile_bins(
     df: DataFrame, score: str, bins: int = 10, by: str | None = None, bracket_rows: int = BRACKET_ROWS
-) -> FittedBins:
+) -> FittedBins | GroupedBins:
     """Bins between interpolated quantiles of the values, right-closed; equal edges collapse."""
     _check(bins)
+    if _has_many_sets(df, by):
+        return fit_by_set(df, score, None, bins, by, bracket_rows, kind="quantile")
     series, totals = _score_series(df, score, by)
     found = _quantile_positions(df, series, totals, bins, bracket_rows)
     return FittedBins(score, None, by, bins, _quantile_sets(found, totals, bins))
@@ -205,7 +194,7 @@ def _tie_edges(
         here = F.col(score) == F.lit(value)
         if by is not None:
             here = here & _in_set(by, name)
-        series.append(Series(str(i), F.when(here, _tie_key(df, id)), None if weight is None else F.col(weight)))
+        series.append(Series(str(i), F.when(here, tie_key(df, id)), None if weight is None else F.col(weight)))
         thresholds[str(i)] = [rest for _, rest in targets]
         at = found[name][targets[0][0]]
         totals[str(i)] = Total(at.rows, at.at)
@@ -230,9 +219,11 @@ def _rank_sets(df, found, totals, score, id, bins, by, bracket_rows) -> dict[str
 
 def fit_rank_bins(
     df: DataFrame, score: str, id: str, bins: int = 10, by: str | None = None, bracket_rows: int = BRACKET_ROWS
-) -> FittedBins:
+) -> FittedBins | GroupedBins:
     """Bins between quantiles of the rank by (score, id): ties are broken, so all bins fill up."""
     _check(bins)
+    if _has_many_sets(df, by):
+        return fit_by_set(df, score, id, bins, by, bracket_rows, kind="rank")
     series, totals = _score_series(df, score, by)
     wanted = {s.name: _edge_ranks(totals[s.name].rows, bins) for s in series if totals[s.name].rows}
     found = locate(df, series, wanted, totals, bracket_rows)
@@ -249,10 +240,12 @@ def fit_weighted_bins(
     bins: int = 10,
     by: str | None = None,
     bracket_rows: int = BRACKET_ROWS,
-) -> FittedBins:
+) -> FittedBins | GroupedBins:
     """Bins of equal weight along (score, id): a row's bin is its running weight in units of
     total / bins, rounded down, and at most ``bins - 1``. Weights must not be negative."""
     _check(bins)
+    if _has_many_sets(df, by):
+        return fit_by_set(df, score, id, bins, by, bracket_rows, weight, kind="weight")
     series, totals = _score_series(df, score, by, weight)
     totals = {name: t for name, t in totals.items() if t.weight > 0}
     series = [s for s in series if s.name in totals]
@@ -273,12 +266,14 @@ def fit_score_bins(
     weight: str | None = None,
     by: str | None = None,
     bracket_rows: int = BRACKET_ROWS,
-) -> FittedBins:
+) -> FittedBins | GroupedBins:
     """Weighted bins if a weight column is given. Otherwise quantile bins, or rank bins for a set
     whose ties leave fewer than ``bins`` quantile bins filled."""
     if weight is not None:
         return fit_weighted_bins(df, score, id, weight, bins, by, bracket_rows)
     _check(bins)
+    if _has_many_sets(df, by):
+        return fit_by_set(df, score, id, bins, by, bracket_rows)
     series, totals = _score_series(df, score, by)
     found = _quantile_positions(df, series, totals, bins, bracket_rows)
     sets = _quantile_sets(found, totals, bins)

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sieveline.operators import bins, ranks
+from sieveline.operators import bins, group_ranks, ranks
 from sieveline.operators.bins import (
     fit_quantile_bins,
     fit_rank_bins,
@@ -17,6 +17,7 @@ from sieveline.operators.bins import (
 @pytest.fixture
 def few_points(monkeypatch):
     monkeypatch.setattr(ranks, "SAMPLED_POINTS", 6)
+    monkeypatch.setattr(group_ranks, "SAMPLED_POINTS", 16)
 
 
 def frame(spark, pdf):
@@ -172,13 +173,107 @@ def test_large_ids_split_ties(spark, kind):
     assert sorted((r["bin"], r["count"]) for r in counts) == [(b, 25) for b in range(4)]
 
 
-def test_bad_arguments(spark, monkeypatch):
-    monkeypatch.setattr(bins, "MAX_SETS", 64)
+def test_bad_arguments(spark):
     df = spark.range(200).selectExpr("id", "double(id) as score", "id as split")
-    with pytest.raises(ValueError):
-        fit_quantile_bins(df, "score", 0)
-    with pytest.raises(ValueError):
-        fit_quantile_bins(df, "score", 5, by="split")
+    for by in (None, "split"):
+        with pytest.raises(ValueError):
+            fit_quantile_bins(df, "score", 0, by=by)
+
+
+def many_sets(seed=4, sets=1_500):
+    """Sets of 1 to 9 rows, one of them without name and one with a third of all rows."""
+    rng = random.Random(seed)
+    names = [None if s == 0 else f"s{s}" for s in range(sets) for _ in range(1 + s % 9)]
+    names += ["hot"] * (len(names) // 2)
+    rng.shuffle(names)
+    n = len(names)
+    score = [rng.choice([0.25, 0.5, rng.random()]) for _ in range(n)]
+    return pd.DataFrame({"id": range(n), "split": names, "score": score, "w": [rng.randrange(4) for _ in range(n)]})
+
+
+@pytest.fixture(scope="module")
+def sets_table(spark, tmp_path_factory):
+    pdf = many_sets()
+    path = str(tmp_path_factory.mktemp("sets") / "t")
+    spark.createDataFrame(pdf).repartition(5).write.parquet(path)
+    return pdf, spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("bracket_rows", [4, 10**6])
+def test_bins_of_many_sets(sets_table, few_points, bracket_rows):
+    """More sets than fit a plan, against the bins of each set by pandas."""
+    pdf, df = sets_table
+    assert pdf["split"].nunique(dropna=False) > 1_000
+    fits = {
+        "quantile": fit_quantile_bins(df, "score", 4, by="split", bracket_rows=bracket_rows),
+        "rank": fit_rank_bins(df, "score", "id", 4, by="split", bracket_rows=bracket_rows),
+        "weight": fit_weighted_bins(df, "score", "id", "w", 4, by="split", bracket_rows=bracket_rows),
+    }
+    found = {kind: fitted.apply(df).toPandas().sort_values("id").set_index("id") for kind, fitted in fits.items()}
+    assert all(len(f) == len(pdf) for f in found.values())
+    for name, part in pdf.groupby("split", dropna=False):
+        part = part.set_index("id")
+        n = len(part)
+        expected = {
+            "quantile": pd.qcut(part["score"], 4, labels=False, duplicates="drop").fillna(0).astype(int).tolist(),
+            "rank": [0] if n == 1 else rank_bin(part["score"].rank(method="first").astype(int), n, 4),
+            "weight": weighted_bin(part.reset_index(), 4) if part["w"].sum() else [None] * n,
+        }
+        for kind, want in expected.items():
+            got = found[kind].loc[part.index, "bin"]
+            assert [None if pd.isna(b) else int(b) for b in got] == want, (name, kind)
+
+
+def test_score_bins_of_many_sets_fall_back(sets_table, few_points):
+    pdf, df = sets_table
+    fitted = fit_score_bins(df, "score", "id", 2, by="split", bracket_rows=50)
+    found = fitted.apply(df).toPandas().set_index("id")
+    for _, part in pdf.groupby("split", dropna=False):
+        part = part.set_index("id")
+        plain = pd.qcut(part["score"], 2, labels=False, duplicates="drop")
+        want = plain if plain.nunique() == 2 else pd.Series(rank_bin(part["score"].rank(method="first"), len(part), 2) if len(part) > 1 else [0], part.index)
+        assert found.loc[part.index, "bin"].tolist() == want.tolist()
+
+
+def test_set_bins_of_rows_without_score_or_weight(spark, monkeypatch):
+    monkeypatch.setattr(bins, "FEW_SETS", 0)
+    rows = [(1, "a", None, 1), (2, "a", float("nan"), 1), (3, "b", 0.5, 0), (4, "b", 0.7, 0), (5, "c", -0.0, 1), (6, "c", 0.0, 1), (7, "c", float("inf"), 2)]
+    df = spark.createDataFrame(rows, "id int, split string, score double, w int")
+    bins_by = lambda fitted: {r["id"]: r["bin"] for r in fitted.apply(df).collect()}
+    assert bins_by(fit_quantile_bins(df, "score", 2, by="split")) == {1: None, 2: None, 3: 0, 4: 1, 5: 0, 6: 0, 7: 0}
+    assert bins_by(fit_weighted_bins(df, "score", "id", "w", 2, by="split")) == {1: None, 2: None, 3: None, 4: None, 5: 0, 6: 1, 7: 1}
+    empty = df.where("id > 10")
+    for fit in (lambda d: fit_quantile_bins(d, "score", 3, by="split"), lambda d: fit_rank_bins(d, "score", "id", 3, by="split")):
+        assert fit(empty).apply(empty).count() == 0
+        assert {r["bin"] for r in fit(empty).apply(df).collect()} == {None}
+
+
+def test_columns_are_kept_when_bins_are_applied_by_set(spark, monkeypatch):
+    monkeypatch.setattr(bins, "FEW_SETS", 0)
+    df = spark.range(20).selectExpr("id", "double(id) as score", "string(id % 3) as split", "'x' as _set", "'y' as _edges", "7 as bin")
+    out = fit_rank_bins(df, "score", "id", 2, by="split").apply(df)
+    assert out.columns == ["id", "score", "split", "_set", "_edges", "bin"]
+    assert {(r["_set"], r["_edges"]) for r in out.collect()} == {("x", "y")}
+
+
+def test_few_sets_have_the_same_bins_in_both_forms(spark, few_points, monkeypatch):
+    df = frame(spark, sample(300, 6, True).assign(split=[None if k % 5 == 0 else k % 3 for k in range(300)]))
+    fits = [
+        lambda: fit_quantile_bins(df, "score", 7, by="split", bracket_rows=20),
+        lambda: fit_score_bins(df, "score", "id", 7, by="split", bracket_rows=20),
+        lambda: fit_weighted_bins(df, "score", "id", "w", 7, by="split", bracket_rows=20),
+    ]
+    few = [bins_of(fit(), df) for fit in fits]
+    monkeypatch.setattr(bins, "FEW_SETS", 1)
+    assert [bins_of(fit(), df) for fit in fits] == few
+
+
+def test_plan_does_not_grow_with_the_sets(spark, plan_of):
+    sizes = []
+    for n in (20, 300):
+        df = spark.range(900).selectExpr("id", "double(id) as score", f"id % {n} as split")
+        sizes.append(len(plan_of(fit_rank_bins(df, "score", "id", 4, by="split").apply(df))))
+    assert sizes[1] < 1.5 * sizes[0]
 
 
 def test_applying_bins_needs_no_shuffle(spark, plan_of):
