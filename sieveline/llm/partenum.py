@@ -7,9 +7,13 @@ sets share one. Sets near the end of a band also take the signatures of the next
 shared by sets that have nothing in common; there the other half, which differs in at most one
 element, stands in with its elements and with each of them left out.
 
-Sets that share a signature meet in the group of its smallest member, where they are compared in full: one row per set
-and group, instead of one per pair. Signatures are compared as 64-bit hashes, which can only add
-candidates; shingles are compared as 64-bit hashes of their words, equal sets by 128 bits.
+Sets that share a signature meet in the group of its smallest member: one row per set and group, instead of one per pair. A row has a
+sketch of its set, counts of its elements by buckets: two sets differ at least as much as their sketches do, so pairs whose
+sketches differ too much are ruled out without their texts, and none that links is. What is left connects sets into candidate
+components. Then a text moves once, to its component, where sets are compared in full.
+
+Signatures are compared as 64-bit hashes, which can only add candidates; shingles are compared as 64-bit hashes of
+their words, equal sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -25,16 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.components import connected
-from sieveline.sources.scratch import written
+from sieveline.sources.scratch import discard, written
 
 WORDS = 4
 PERCENT = 85
 #: Each band of sizes ends where the next begins: this times the size it begins with.
 BAND_RATIO = 1.384
-#: Bytes of text turned into shingles at a time, and shingles of one group compared in one task.
-SLICE_BYTES, GROUP_SHINGLES = 6 << 20, 1_500_000
-#: Candidate rows (of ids and hashes) up to which they are broadcast instead of shuffling the texts they point to.
-SMALL_ROWS = 1_000_000
+#: Bytes of text turned into shingles at a time; shingles compared, and sketches compared, in one task.
+SLICE_BYTES, GROUP_SHINGLES, GROUP_SETS = 6 << 20, 1_500_000, 8_000
+#: Least and most buckets of a sketch; in between there is at least one for two elements.
+BUCKETS = (16, 1024)
+#: Bytes up to which a table of ids and hashes is broadcast instead of shuffling the texts it points to.
+BROADCAST_BYTES = 64 << 20
 
 #: Words whose hashes a Python worker keeps.
 MEMORY = 500_000
@@ -203,8 +209,69 @@ def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+def bucket_numbers(sizes: np.ndarray) -> np.ndarray:
+    """Buckets of the sketch of a set of each size: a power of two, at least half the size within the bounds."""
+    least, most = BUCKETS
+    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64), least, most)
+
+
+def sketches(elements: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Per set the number of its elements in each bucket, 255 for more; one byte each."""
+    wide = bucket_numbers(sizes)
+    base = np.cumsum(wide) - wide
+    bucket = (mixed(elements ^ _P[3]) >> U(32)).astype(np.int64) & np.repeat(wide - 1, sizes)
+    counts = np.bincount(np.repeat(base, sizes) + bucket, minlength=int(wide.sum()))
+    raw = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    offsets = np.append(base, len(raw)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+
+
+def folded(sketch: np.ndarray, buckets: int) -> np.ndarray:
+    """The sketch that the same set has with fewer buckets."""
+    return np.minimum(sketch.reshape(-1, buckets).sum(axis=0), 255)
+
+
+def similar_sketches(keys: list[bytes], sizes: list[int], found: list[bytes], percent: int = PERCENT) -> list[tuple[bytes, bytes]]:
+    """A spanning forest over all pairs of sets that may link: their sketches differ by no more than linked sets do."""
+    order = sorted(range(len(keys)), key=lambda k: (sizes[k], keys[k]))
+    n = np.array([sizes[k] for k in order])
+    wide = bucket_numbers(n)
+    reach = np.searchsorted(n, n * 100 // percent, side="right")
+    forest = Forest(len(order))
+    for buckets in np.unique(wide).tolist():
+        first, last = np.searchsorted(wide, [buckets, buckets + 1])
+        rows = [folded(np.frombuffer(found[order[k]], np.uint8).astype(np.int16), buckets) for k in range(first, reach[last - 1])]
+        table = np.array(rows, np.int16)
+        for k in range(first, last):
+            own = table[k - first]
+            differ = np.abs(table[k - first + 1 : reach[k] - first] - own).sum(axis=1, dtype=np.int64)
+            for j in (np.nonzero(differ <= (100 - percent) * (n[k] + n[k + 1 : reach[k]]) // (100 + percent))[0] + k + 1).tolist():
+                forest.link(k, j)
+    return [(keys[order[a]], keys[order[b]]) for a, b in forest.links]
+
+
+class Forest:
+    """Which of some numbered sets are connected, and links enough to connect them."""
+
+    def __init__(self, size: int):
+        self.root = list(range(size))
+        self.links: list[tuple[int, int]] = []
+
+    def top(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = self.root[self.root[k]]
+            k = self.root[k]
+        return k
+
+    def link(self, a: int, b: int) -> None:
+        x, y = self.top(a), self.top(b)
+        if x != y:
+            self.root[y] = x
+            self.links.append((a, b))
+
+
 def set_table(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """(doc_id, body, n, short_key, key) per document: hash of the text, size of the set and its keys of 64 and 128 bits."""
+    """(doc_id, body, n, short_key, key, sketch) per document: hash of the text, size of the set, its keys of 64 and 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,13 +279,13 @@ def set_table(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
                 elements, sizes = shingle_sets(part.column(2), words)
                 one, two = set_keys(elements, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sizes), pa.array(one.view(np.int64)), binary_keys(one, two)],
-                    names=["doc_id", "body", "n", "short_key", "key"],
+                    [part.column(0), part.column(1), pa.array(sizes), pa.array(one.view(np.int64)), binary_keys(one, two), sketches(elements, sizes)],
+                    names=["doc_id", "body", "n", "short_key", "key", "sketch"],
                 )
 
     rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text).alias("body"), F.col(text))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, body long, n long, short_key long, key binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, body long, n long, short_key long, key binary, sketch binary")
 
 
 def memberships(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -228,9 +295,9 @@ def memberships(docs: DataFrame, text: str, words: int, percent: int) -> DataFra
         for batch in batches:
             for part in slices(batch, 0):
                 elements, sizes = shingle_sets(part.column(0), words)
-                keys, _ = set_keys(elements, sizes)
+                keys, more = set_keys(elements, sizes)
                 # equal sets have equal signatures: one of each is enough
-                _, first = np.unique(keys, return_index=True)
+                _, first = np.unique(np.column_stack([keys, more]), axis=0, return_index=True)
                 kept = np.zeros(len(sizes), bool)
                 kept[first] = True
                 found, owner = signatures(elements[np.repeat(kept, sizes)], sizes[kept], percent)
@@ -260,9 +327,10 @@ def memberships(docs: DataFrame, text: str, words: int, percent: int) -> DataFra
 
 
 def links_among(keys: list[bytes], sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[bytes, bytes]]:
-    """A spanning forest of the links among some sets: all pairs that can link are compared, by common elements.
+    """A spanning forest of the links among some sets; all pairs that can link and are not connected yet are compared.
 
-    Sets of which too few elements occur in another one are put aside first, as often as that leaves new ones.
+    Sets of which too few elements occur in another one are put aside first, as often as that leaves new ones. Then the set with
+    the most common elements is compared with all, and all that do not link with it are compared with all.
     """
     seen: dict[bytes, np.ndarray] = dict(zip(keys, sets, strict=True))
     names, left = list(seen), list(seen.values())
@@ -285,91 +353,176 @@ def links_among(keys: list[bytes], sets: list[np.ndarray], percent: int = PERCEN
     by_element = owner[np.argsort(number, kind="stable")]
     ends = np.cumsum(times)
     starts = np.cumsum(sizes) - sizes
-    root = list(range(len(alive)))
-
-    def top(k: int) -> int:
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
-        return k
+    forest = Forest(len(alive))
 
-    forest = []
-    for k in range(1, len(alive)):
+    def compare(k: int) -> None:
         own = number[starts[k] : starts[k] + sizes[k]]
-        common = np.bincount(np.concatenate([by_element[ends[e] - times[e] : ends[e]] for e in own]), minlength=len(alive))[:k]
-        for j in np.nonzero(100 * common >= percent * (sizes[k] + sizes[:k] - common))[0].tolist():
-            a, b = top(j), top(k)
-            if a != b:
-                root[b] = a
-                forest.append((names[alive[j]], names[alive[k]]))
-    return forest
-
-
-def links(docs: DataFrame, table: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
-    """(a, b): keys of different sets that link, enough of them to connect every component."""
-    found = written(memberships(docs, text, words, percent), "memberships")
+        common = np.bincount(np.concatenate([by_element[ends[e] - times[e] : ends[e]] for e in own]), minlength=len(alive))
+        for j in np.nonzero(100 * common >= percent * (sizes[k] + sizes - common))[0].tolist():
+            forest.link(k, j)
+
+    middle = int(np.argmax(np.add.reduceat(times[number], starts) / sizes))
+    compare(middle)
+    for k in range(len(alive)):
+        if forest.top(k) != forest.top(middle):
+            compare(k)
+    return [(names[alive[a]], names[alive[b]]) for a, b in forest.links]
+
+
+def grouped_rows(batches: Iterator[pa.RecordBatch], of: int, text: int | None = None) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
+    """Consecutive rows that agree in the first ``of`` columns, with those values; batches with a text come in slices."""
+    group, held = None, []
+    for batch in batches:
+        for part in slices(batch, text) if text is not None else [batch]:
+            places = list(zip(*(part.column(k).to_pylist() for k in range(of)), strict=True))
+            start = 0
+            for end in range(1, len(places) + 1):
+                if end == len(places) or places[end] != places[start]:
+                    if places[start] != group and held:
+                        yield group, held
+                        held = []
+                    group = places[start]
+                    held.append(part.slice(start, end - start))
+                    start = end
+    if held:
+        yield group, held
+
+
+def pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = zip(*pairs, strict=True) if pairs else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in columns], names=["a", "b"])
+
+
+def in_bytes(table: DataFrame, id: str = "doc_id") -> int:
+    """At most so many bytes that a table of ids and hashes takes up."""
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length(F.col(id).cast("string"))).alias("width")).first()
+    return row["n"] * ((row["width"] or 0) + 128)
+
+
+def met_with(docs: DataFrame, id: str, text: str, places: DataFrame) -> DataFrame:
+    """The texts of documents with their rows of ``places`` (doc_id, body, ...). A small table of places is broadcast."""
+    bodies = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_body"), F.col(text).alias("text"))
+    small = in_bytes(places) <= BROADCAST_BYTES
+    return bodies.join(F.broadcast(places) if small else places, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_body") == F.col("body")))
+
+
+def candidate_links(found: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """(a, b): enough pairs of sets with similar sketches to connect all that share a signature and may link."""
     members = found.unionByName(found.select("leader", F.col("leader").alias("short_key"))).distinct()
-    # the text to take a set from: of the smallest id
-    sources = table.where(F.col("n") > 0).groupBy("short_key").agg(F.min(F.struct("doc_id", "body", "n")).alias("of"))
-    placed = members.join(sources, "short_key").select("leader", "short_key", "of.*")
-    shares = placed.groupBy("leader").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("short_key"), F.col("blocks")).cast("int")
+    sets = table.where(F.col("n") > 0).groupBy("short_key", "key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # sets that share a key of 64 bits by chance are both members
+    placed = members.join(sets, "short_key")
+    shares = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).cast("int").alias("blocks")).where("blocks > 1")
+    parts = F.coalesce("blocks", F.lit(1))
+    block = F.pmod(F.xxhash64("key"), parts).cast("int")
     dealt = (
-        placed.join(shares, "leader")
+        placed.join(shares, "leader", "left")
         .withColumn("_own", block)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "leader",
-            F.least("_own", "_other").alias("low"),
-            F.greatest("_own", "_other").alias("high"),
-            F.col("doc_id").alias("_id"),
-            F.col("body").alias("_body"),
-        )
-    )
-    candidates = written(dealt, "candidates")
-    few = candidates.count() <= SMALL_ROWS
-    bodies = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("body"))
-    met = bodies.join(
-        F.broadcast(candidates) if few else candidates, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select("leader", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "key", "n", "sketch")
     )
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, sets = None, [], []
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: list[tuple[bytes, bytes]] = []
+        for _, parts in grouped_rows(batches, 3):
+            keys, sizes, found = ([x for p in parts for x in p.column(k).to_pylist()] for k in (3, 4, 5))
+            pairs += similar_sketches(keys, sizes, found, percent) if len(keys) > 1 else []
+            if len(pairs) > 10_000:
+                yield pair_batch(pairs)
+                pairs = []
+        yield pair_batch(pairs)
 
-        def result(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"]
-            )
+    place = ["leader", "low", "high"]
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(sifted, "a binary, b binary")
 
-        for batch in batches:
-            for part in slices(batch, 3):
+
+def compared(met: DataFrame, words: int, percent: int) -> DataFrame:
+    """(root, a, b) from rows (root, block, hub, text): the links of each block, and with b null what does not connect to its hub."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def result() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            out = pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in columns], names=["root", "a", "b"])
+            rows.clear()
+            return out
+
+        for (root, _), parts in grouped_rows(batches, 2, 3):
+            keys, sets, hub = [], [], None
+            for part in parts:
                 elements, sizes = shingle_sets(part.column(3), words)
-                own = binary_keys(*set_keys(elements, sizes)).to_pylist()
                 ends = np.cumsum(sizes)
-                found = []
-                for row, place in enumerate(zip(*(part.column(k).to_pylist() for k in range(3)), strict=True)):
-                    if place != group:
-                        found += links_among(keys, sets, percent) if len(keys) > 1 else []
-                        group, keys, sets = place, [], []
-                    keys.append(own[row])
-                    sets.append(elements[ends[row] - sizes[row] : ends[row]])
-                yield result(found)
-        if len(keys) > 1:
-            yield result(links_among(keys, sets, percent))
-
-    grouped = met.select("leader", "low", "high", "text").repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high")
-    return grouped.mapInArrow(compared, "a binary, b binary")
-
-
-def classified(docs: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
-    """(doc_id, body, n, root, component_id) per document with words; ``root`` is the key of its component."""
+                own = binary_keys(*set_keys(elements, sizes)).to_pylist()
+                sets += [elements[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+                hub = next((k for k, is_hub in zip(own, part.column(2).to_pylist(), strict=True) if is_hub), hub)
+                keys += own
+            pairs = links_among(keys, sets, percent) if len(keys) > 1 else []
+            rows += [(root, a, b) for a, b in pairs]
+            if hub is not None:
+                place = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+                forest = Forest(len(place))
+                for a, b in pairs:
+                    forest.link(place[a], place[b])
+                rows += [(root, k, None) for k, i in place.items() if forest.top(i) != forest.top(place[hub])]
+            if len(rows) > 10_000:
+                yield result()
+        yield result()
+
+    place = ["root", "block"]
+    ordered = met.select(*place, "hub", "text").repartition(*place).sortWithinPartitions(*place)
+    return ordered.mapInArrow(run, "root binary, a binary, b binary")
+
+
+def links(docs: DataFrame, table: DataFrame, id: str, text: str, words: int, percent: int) -> DataFrame:
+    """(a, b): keys of different sets that link, enough of them to connect every component.
+
+    A component of more than :data:`GROUP_SHINGLES` shingles is dealt into blocks. Each block has the hub of the component beside its
+    own sets, so sets that connect to the hub are connected in one go; only those that do not are sent to the other blocks.
+    """
+    found = written(memberships(docs, text, words, percent), "memberships")
+    edges = written(candidate_links(found, table, percent), "candidates")
+    roots = connected(edges)
+    # the text to take a set from: of the smallest id
+    sources = table.where(F.col("n") > 0).groupBy("key").agg(F.min(F.struct("doc_id", "body", "n")).alias("of"))
+    placed = roots.join(sources, F.col("node") == F.col("key")).select("root", "key", "of.*")
+    shares = placed.groupBy("root").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("blocks"))
+    dealt = written(placed.join(shares, "root").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "dealt")
+    discard(found, roots)
+    ends = edges.select("a").unionByName(edges.select(F.col("b").alias("a"))).groupBy("a").agg(F.count(F.lit(1)).alias("links"))
+    wide = dealt.where("blocks > 1")
+    hubs = wide.join(ends, F.col("key") == F.col("a")).groupBy("root").agg(F.max_by("key", F.struct("links", "key")).alias("hub_key"))
+    copies = wide.join(hubs, "root").where(F.col("key") == F.col("hub_key")).select(
+        "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("hub"), "doc_id", "body"
+    )
+    own = dealt.select("root", "block", F.lit(False).alias("hub"), "doc_id", "body")
+    places = written(own.unionByName(copies), "places")
+    first = written(compared(met_with(docs, id, text, places), words, percent), "compared")
+    direct = first.where(F.col("b").isNotNull()).select("a", "b")
+    apart = first.where(F.col("b").isNull()).select("root", F.col("a").alias("key"))
+    if apart.isEmpty():
+        discard(edges, dealt, places)
+        return direct
+    visiting = apart.join(dealt, ["root", "key"]).select(
+        "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("hub"), "doc_id", "body"
+    )
+    again = own.join(apart.select("root").distinct(), "root", "left_semi").unionByName(visiting).distinct()
+    second = written(compared(met_with(docs, id, text, again), words, percent), "compared")
+    discard(edges, dealt, places)
+    return direct.unionByName(second.select("a", "b"))
+
+
+def classified(docs: DataFrame, id: str, text: str, words: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc_id, body, n, root, component_id) per document, and the stored tables it reads; ``root`` is the key of its component."""
     table = written(set_table(docs, id, text, words), "sets")
-    roots = connected(links(docs, table, id, text, words, percent))
+    linked = written(links(docs, table, id, text, words, percent), "linked")
+    roots = connected(linked)
+    discard(linked)
     sets = table.where(F.col("n") > 0).groupBy("key").agg(F.min("doc_id").alias("smallest"))
     rooted = sets.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     components = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     of_set = rooted.select("key", "root").join(components, "root").select("key", "root", "component_id")
-    return table.join(of_set, "key", "left").select("doc_id", "body", "n", "root", "component_id")
+    return table.join(of_set, "key", "left").select("doc_id", "body", "n", "root", "component_id"), [table, roots]
 
 
 def similarity_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -381,7 +534,7 @@ def similarity_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     ids are passed over where there is another, so a component of null ids alone has a null id. Other columns are not read.
     """
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    rows = classified(docs, id, text, words, percent)
+    rows, _ = classified(docs, id, text, words, percent)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
@@ -391,7 +544,7 @@ def without_similar(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     Of rows repeated in id and text one stays. Documents without words stay all. Columns keep their names and values.
     Only ids and hashes of what goes, or is repeated, are joined to the texts.
     """
-    rows = classified(docs, id, text, words, percent)
+    rows, made = classified(docs, id, text, words, percent)
     place = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col("body").alias("body"))
     full = written(rows.where(F.col("n") > 0).select("root", place.alias("place")), "placed")
     first = full.groupBy("root").agg(F.min("place").alias("first"))
@@ -403,10 +556,11 @@ def without_similar(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
         .select(F.col("place.id").alias("_id"), F.col("place.body").alias("_body"), "stays")
     )
     stored = written(marks, "marks")
-    few = stored.count() <= SMALL_ROWS
+    discard(full, *made)
+    small = in_bytes(stored, "_id") <= BROADCAST_BYTES
     row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id).alias("_own"), F.xxhash64(text).alias("_hash"))
     marked = row.join(
-        F.broadcast(stored) if few else stored, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_body")), "left"
+        F.broadcast(stored) if small else stored, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_body")), "left"
     )
     once = marked.where(F.col("stays").isNull()).select("_row.*")
     repeated = marked.where(F.col("stays")).dropDuplicates(["_own", "_hash"]).select("_row.*")

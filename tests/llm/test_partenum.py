@@ -40,7 +40,8 @@ def near_copies(seed=11, families=12, copies=14):
 @pytest.mark.parametrize("block", [partenum.GROUP_SHINGLES, 300])
 def test_near_copies(spark, monkeypatch, block):
     monkeypatch.setattr(partenum, "GROUP_SHINGLES", block)
-    monkeypatch.setattr(partenum, "SMALL_ROWS", 10**6 if block > 300 else 0)
+    monkeypatch.setattr(partenum, "GROUP_SETS", partenum.GROUP_SETS if block > 300 else 3)
+    monkeypatch.setattr(partenum, "BROADCAST_BYTES", partenum.BROADCAST_BYTES if block > 300 else 0)
     docs = near_copies()
     expected = brute.components(docs)
     assert 20 < len({c for _, c in expected.values()}) < len(docs) - 20
@@ -155,3 +156,65 @@ def test_components_of_chains_and_stars(spark):
     found = {r["node"]: r["root"] for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     expected = {k: 0 for k in range(61)} | {k: 100 for k in range(100, 151)} | {300: 300, 301: 300}
     assert found == expected
+
+
+def test_sketches_differ_at_most_as_much_as_sets():
+    rng = np.random.default_rng(5)
+    for size in (5, 30, 64, 65, 250, 3000, 60_000):
+        base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        near = np.concatenate([rng.permutation(base)[: size - size // 9], rng.integers(0, 1 << 63, size // 7).astype(np.uint64)])
+        sizes = np.array([size, len(near)])
+        one, two = (np.frombuffer(x, np.uint8).astype(np.int64) for x in partenum.sketches(np.concatenate([base, near]), sizes).to_pylist())
+        buckets = min(len(one), len(two))
+        differ = np.abs(partenum.folded(one, buckets) - partenum.folded(two, buckets)).sum()
+        assert differ <= len(np.setxor1d(base, near))
+        assert size < 30 or differ > 0
+    # a folded sketch is the sketch of fewer buckets, counts beyond a byte included
+    many = rng.integers(0, 1 << 63, 400_000).astype(np.uint64)
+    wide = np.frombuffer(partenum.sketches(many, np.array([len(many)]))[0].as_py(), np.uint8).astype(np.int64)
+    assert wide.max() == 255 and (partenum.folded(wide, 16) == 255).all()
+
+
+def test_similar_sketches_leave_out_no_link():
+    rng = random.Random(9)
+    docs = [t for _, t in near_copies(seed=13)]
+    elements, sizes = partenum.shingle_sets(pa.array(docs), 4)
+    keys = partenum.binary_keys(*partenum.set_keys(elements, sizes)).to_pylist()
+    found = partenum.sketches(elements, sizes).to_pylist()
+    order = [k for k in range(len(docs)) if sizes[k]]
+    rng.shuffle(order)
+    pairs = partenum.similar_sketches([keys[k] for k in order], [int(sizes[k]) for k in order], [found[k] for k in order], 85)
+    root = {k: k for k in keys}
+
+    def top(k):
+        return k if root[k] == k else top(root[k])
+
+    for a, b in pairs:
+        root[top(a)] = top(b)
+    starts = np.cumsum(sizes) - sizes
+    sets = [set(elements[s : s + n].tolist()) for s, n in zip(starts, sizes)]
+    links = 0
+    for a in range(len(docs)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                links += 1
+                assert top(keys[a]) == top(keys[b])
+    assert links > 100 and len({top(k) for k in keys}) > 20
+
+
+def test_links_among_a_cluster_and_others_equal_all_pairs():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: 100 - k % 12], rng.integers(0, 1 << 63, k % 5).astype(np.uint64)])) for k in range(60)]
+    keys = [bytes([k]) for k in range(60)]
+    root = list(range(60))
+    for a in range(60):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    forest = partenum.Forest(60)
+    for a, b in partenum.links_among(keys, sets, 85):
+        forest.link(a[0], b[0])
+    assert {(a, b) for a in range(60) for b in range(60) if forest.top(a) == forest.top(b)} == {(a, b) for a in range(60) for b in range(60) if root[a] == root[b]}
