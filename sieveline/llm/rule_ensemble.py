@@ -14,10 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.sources.scratch import written
+from sieveline.llm.partenum import mixed, slices
+from sieveline.sources.scratch import discard, written
 
 STATISTICS = (
     "log_words",
@@ -43,6 +45,8 @@ STATISTICS = (
 #: Expected number of labelled rows the ensemble is fitted on.
 SAMPLE = 20_000
 TREES, DEPTH, PENALTY = 20, 4, 0.002
+#: Rules that hold for fewer rows of the sample, or fail for fewer, get no weight. Tasks that fit on the bounded sample.
+LEAST_ROWS, FIT_TASKS = 5, 6
 THRESHOLD = 0.3
 
 _SYMBOLS = np.frombuffer(b"#*$%&<>@^~=+_\\", np.uint8)
@@ -89,9 +93,10 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([statistics_of(t) for t in batch.column(0).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
-            new = [pa.array(rows[:, k]) for k in range(len(STATISTICS))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], names=[*kept, *STATISTICS])
+            for part in slices(batch, 0):
+                rows = np.array([statistics_of(t) for t in part.column(0).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
+                new = [pa.array(rows[:, k]) for k in range(len(STATISTICS))]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *new], names=[*kept, *STATISTICS])
 
     rows = docs.select(text, *kept)
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept), *(f"{s} double" for s in STATISTICS)]
@@ -160,23 +165,85 @@ class Ensemble:
         return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, terms, F.lit(self.intercept))))
 
 
+def flags_of(batch: pa.RecordBatch, rules: list[Rule]) -> np.ndarray:
+    """Which rule holds for which row: (rows, rules). Each condition is evaluated once."""
+    columns = {name: batch.column(k).to_numpy(zero_copy_only=False) for k, name in enumerate(batch.schema.names)}
+    met: dict[Condition, np.ndarray] = {}
+    for c in {c for r in rules for c in r}:
+        met[c] = columns[c.statistic] > c.threshold if c.above else columns[c.statistic] <= c.threshold
+    out = np.ones((batch.num_rows, len(rules)), bool)
+    for k, rule in enumerate(rules):
+        for c in rule:
+            out[:, k] &= met[c]
+    return out
+
+
+def telling_rules(rows: DataFrame, rules: list[Rule], total: int, least: int = LEAST_ROWS) -> list[Rule]:
+    """The rules that hold, and fail, for at least ``least`` rows; of rules that hold for the same rows the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, len(rules)), np.int64)
+        for batch in batches:
+            flags = flags_of(batch, rules).astype(np.int64)
+            row = np.zeros(batch.num_rows, np.uint64)
+            for column in batch.columns:
+                row = mixed(row ^ column.to_numpy(zero_copy_only=False).view(np.uint64))
+            low, high = (row & np.uint64(0xFFFFFFFF)).astype(np.int64), (row >> np.uint64(32)).astype(np.int64)
+            sums += np.stack([flags.sum(axis=0), low @ flags, high @ flags])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rules))), *[pa.array(x) for x in sums]], names=["rule", "n", "low", "high"])
+
+    parts = rows.select(*STATISTICS).mapInArrow(run, "rule long, n long, low long, high long").groupBy("rule")
+    kept, seen = [], set()
+    for r in sorted(parts.agg(F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high")).collect()):  # one row per rule
+        if least <= r["n"] <= total - least and tuple(r[1:]) not in seen:
+            seen.add(tuple(r[1:]))
+            kept.append(rules[r["rule"]])
+    return kept
+
+
+def flag_table(rows: DataFrame, label: str, rules: list[Rule]) -> DataFrame:
+    """(_y, _n, _x): each distinct vector of flags with its label and how many rows have it."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.packbits(flags_of(batch.select(list(STATISTICS)), rules), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in bits], pa.binary())], names=["_y", "_bits"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            values = np.unpackbits(raw, axis=1, count=len(rules)).astype(np.float64)
+            lists = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * len(rules), values.reshape(-1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["_y", "_n", "_flags"])
+
+    given = rows.select(F.col(label).cast("double").alias("_y"), *STATISTICS)
+    counted = given.mapInArrow(packed, "_y double, _bits binary").groupBy("_y", "_bits").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    table = counted.select("_y", "_n", "_bits").mapInArrow(spread, "_y double, _n double, _flags array<double>")
+    return table.select("_y", "_n", array_to_vector("_flags").alias("_x"))
+
+
 def fit_ensemble(rows: DataFrame, label: str, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY, seed: int = 2023) -> Ensemble:
-    """Fit on rows with the statistics and a 0/1 label without nulls. One class, or no row, gives an ensemble without rules."""
+    """Fit on rows with the statistics and a 0/1 label without nulls. One class, or no row, gives an ensemble without rules.
+
+    Meant for a bounded sample. The weights are fitted on the distinct vectors of flags, each with its number of rows, in few tasks.
+    """
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("ones")).first()
     n, ones = totals["n"], totals["ones"] or 0
+    constant = Ensemble(float(np.log((ones + 0.5) / (n - ones + 0.5))), ())
     if ones in (0, n):
-        return Ensemble(float(np.log((ones + 0.5) / (n - ones + 0.5))), ())
+        return constant
     vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="_x").transform(rows.withColumn("_y", F.col(label).cast("double")))
     forest = RandomForestClassifier(
         labelCol="_y", featuresCol="_x", numTrees=trees, maxDepth=depth, subsamplingRate=0.7, featureSubsetStrategy="onethird", seed=seed
     ).fit(vectors)
-    rules = rules_of(forest)
-    flags = [f"_r{k}" for k in range(len(rules))]
-    marked = rows.select(F.col(label).cast("double").alias("_y"), *[holds(r).cast("double").alias(f) for r, f in zip(rules, flags, strict=True)])
-    table = VectorAssembler(inputCols=flags, outputCol="_x").transform(marked).select("_y", "_x")
+    rules = telling_rules(rows, rules_of(forest), n)
+    if not rules:
+        return constant
+    table = written(flag_table(rows, label, rules).coalesce(FIT_TASKS), "flags")
     lasso = LogisticRegression(
-        labelCol="_y", featuresCol="_x", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100
+        labelCol="_y", featuresCol="_x", weightCol="_n", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100
     ).fit(table)
+    discard(table)
     weights = zip(rules, lasso.coefficients.toArray().tolist(), strict=True)
     return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in weights if w != 0.0))
 
@@ -203,8 +270,10 @@ def score_quality(
     total = open_known.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
     chosen = open_known.where(draw * max(total, 1) < sample)
-    rows = written(stats.join(chosen, "doc_id"), "labelled")
+    # as many rows as the sample: a broadcast and a shuffle of bounded size
+    rows = written(stats.join(F.broadcast(chosen), "doc_id").repartition(FIT_TASKS), "labelled")
     ensemble = fit_ensemble(rows, "_label")
+    discard(rows)
     return stats.select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
