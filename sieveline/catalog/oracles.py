@@ -124,9 +124,24 @@ from deciles d left join lifted l on {same}l.k = d.d + 1 left join lifted g on {
 CUSTOMERS = f"""{SCORED}, bought as (
   select s.*, o_custkey as customer from scored s join orders on o_orderkey = s.id)"""
 
+def corners(score: str = "score", by: str | None = None) -> str:
+    key = f"{by}, " if by else ""
+    part = f"partition by {by} " if by else ""
+    return f"""with {roc(score, by)}, followed as (
+  select *, lead(pos) over w as np, lead(neg) over w as nn, row_number() over w as k
+  from cum window w as ({part}order by threshold desc))
+select {key}threshold, round(cn / tn, 6) as fpr, round(cp / tp, 6) as tpr from followed
+where k = 1 or np is null or np <> pos or nn <> neg
+union all select {key}null, 0.0, 0.0 from followed where k = 1"""
+
+
 TEST_DOCUMENTS = f"""select doc_id as id from documents join labels using (doc_id)
 where {two_way('doc_id')} = 'test'"""
 
+LABELLED = f"""labelled as (
+  select doc_id, {two_way('doc_id')} as side, (dense_rank() over (order by seen desc, quality) - 1)::double as label
+  from (select doc_id, quality, count(*) over (partition by quality) as seen from documents join labels using (doc_id)))"""
+
 ORACLES = {
     "quantile_bins_by_order": """with edges as (
   select l_orderkey, list_distinct(quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.75, 1.0])) as e
@@ -314,9 +329,43 @@ union all select 'maxDepth', d::varchar from v union all select 'maxBins', b::va
     "importance_of_constant": "select 7::bigint as features, 1.0::double as total, 0.0::double as constant from labels limit 1",
     "shadow_rejects": """select 'constant' as feature, 0 as hits, 8 as trials, 'rejected' as decision, 0.0::double as importance
 from labels limit 1""",
-    "grid_search": """select '{"maxDepth": ' || d || ', "numTrees": ' || t || '}' as params, 3 as folds, true as in_range
+    "grid_search_shape": """select '{"maxDepth": ' || d || ', "numTrees": ' || t || '}' as params, 3 as folds, true as in_range
 from (values (2), (5)) as a(d), (values (3), (9)) as b(t)""",
-    "random_search": "select i::integer as trial, 9 as parameters, true as in_range from range(4) as t(i)",
+    "random_search_sets": f"""with {LABELLED}
+select i::integer as trial, case side when 'test' then 'validation' else side end as set, label, count(*) as n
+from labelled, range(4) as t(i) group by i, side, label""",
+    "grid_search_folds": f"""with {LABELLED}
+select '{{"maxDepth": ' || d || ', "numTrees": ' || t || '}}' as params, {bucket('doc_id', 2023, 3)}::integer as fold, label, count(*) as n
+from labelled, (values (2), (5)) as a(d), (values (3), (9)) as b(t) where side = 'train' group by all""",
+    "grid_search_majority": f"""with {LABELLED}, folded as (
+  select label, {bucket('doc_id', 2023, 3)}::integer as fold from labelled where side = 'train'), sizes as (
+  select f as fold, label, count(*) filter (where fold <> f) as others, count(*) filter (where fold = f)::double as own
+  from folded, range(3) as r(f) group by f, label), scores as (
+  select fold::integer as fold, arg_max(own, others) as hit, sum(own) as n from sizes group by fold), each as (
+  select fold, hit / n * 2 * hit / (hit + n) as fold_score from scores)
+select i::integer as trial, fold, round(fold_score, 6) as fold_score, round(avg(fold_score) over (partition by i), 6) as score
+from each, range(2) as t(i)""",
+    "class_attributions": """select doc_id as id, c::integer as class, true as adds_up
+from documents join labels using (doc_id), range((select count(distinct lang) from documents join labels using (doc_id))) as t(c)""",
+    "roc_corners": corners("tied_score"),
+    "roc_corners_pieces": corners(by="split"),
+    "inferred_csv": """select o_orderkey::integer as feature_1, case when o_orderkey % 7 <> 0 then o_custkey::integer end as feature_2,
+  case when o_orderkey % 11 <> 0 then o_orderkey * 10000000000 end as feature_3,
+  case when o_orderkey % 5 <> 0 then o_totalprice::decimal(18, 2)::double end as feature_4,
+  case when o_orderkey % 3 <> 0 then o_orderpriority end as feature_5, null::varchar as feature_6,
+  (o_orderstatus = 'F')::integer as target, 'int,int,bigint,double,string,string,int' as kinds from orders""",
+    "best_parameters": "select unnest(['maxDepth', 'numTrees']) as param, true as of_best, true as refitted",
+    "staged_totals": f"""with {LABELLED}
+select stage::integer as n_estimators, label, count(*) as n
+from labelled, (values (1), (2), (4), (8), (12)) as s(stage) where side = 'test' group by stage, label""",
+    "boosted_probabilities": f"select id, 1.0::double as total, true as likely from ({TEST_DOCUMENTS})",
+    "elimination_of_constant": "select 0::bigint as constant, true as enough",
+    "training_stages": """with s as (
+  select unnest(['cleaned', 'selected_features', 'hyperparameters', 'final_model']) as stage)
+select 0 as run, stage, 'built' as state from s
+union all select 1, stage, 'reused' from s
+union all select 2, stage, case stage when 'cleaned' then 'reused' else 'rebuilt' end from s""",
+    "random_search_shape": "select i::integer as trial, 9 as parameters, true as in_range from range(4) as t(i)",
     "training_totals": f"""with d as (
   select doc_id, quality from documents join labels using (doc_id)), idx as (
   select quality, (row_number() over (order by count(*) desc, quality) - 1)::double as label from d group by quality)

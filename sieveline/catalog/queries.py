@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -11,17 +12,19 @@ from pyspark.sql import functions as F
 
 from sieveline.catalog import views
 from sieveline.catalog.views import DOC_FEATURES, PLAIN_FEATURES, SEED, table
-from sieveline.operators import bins, clean, explain, features, group_bins, lift, metrics, models, ranks, search, selection, split
+from sieveline.operators import bins, clean, explain, features, group_bins, lift, metrics, models, ranks, search, selection, split, staged
 from sieveline.operators.search import BOOSTED_SPACE
 from sieveline.plans.boosting import train_boosted
 from sieveline.plans.training import clean_table, train_classifier
 from sieveline.sources import artifacts
 from sieveline.sources.scratch import scratch_path
-from sieveline.sources.tables import read_headerless_csv
+from sieveline.sources.tables import read_headerless_csv, read_inferred_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 DIRTY_COLUMNS = ["f1", "f2", "f3"]
+# Sizes for queries that run curves and bins in many pieces and rounds, as on large tables.
+PIECE, BRACKET = 1_000, 500
 
 
 def query(build: Query) -> Query:
@@ -45,6 +48,26 @@ def csv_scan(spark, sf_dir):
     return read_headerless_csv(spark, path, schema)
 
 
+@query
+def inferred_csv(spark, sf_dir):
+    """Orders as a headerless CSV with sentinels in all columns but the id; types and nulls as they are told from the text."""
+    path = scratch_path(spark, "csv")
+    id, missing = F.col("o_orderkey"), F.lit("?")
+    text = lambda c, k: F.when(id % k == 0, missing).otherwise(c.cast("string"))
+    table(spark, sf_dir, "orders").select(
+        id,
+        text(F.col("o_custkey"), 7),
+        text(F.col("o_orderkey") * 10_000_000_000, 11),
+        text(F.col("o_totalprice").cast("decimal(18,2)"), 5),
+        text(F.col("o_orderpriority"), 3),
+        missing,
+        (F.col("o_orderstatus") == "F").cast("int"),
+    ).write.option("header", False).csv(path)
+    found = read_inferred_csv(spark, path)
+    kinds = F.array(*[F.lit(t) for _, t in found.dtypes])
+    return found.withColumn("kinds", F.array_join(kinds, ","))
+
+
 @query
 def sentinel_to_null(spark, sf_dir):
     return clean.sentinel_to_null(views.dirty(spark, sf_dir))
@@ -296,6 +319,17 @@ def roc_curve(spark, sf_dir):
     return rounded(metrics.roc_curve(views.scored(spark, sf_dir)), "fpr", "tpr")
 
 
+@query
+def roc_corners(spark, sf_dir):
+    return rounded(metrics.roc_corners(views.scored(spark, sf_dir), score="tied_score"), "fpr", "tpr")
+
+
+@query
+def roc_corners_pieces(spark, sf_dir):
+    """Corners of the curves of several sets, in pieces that hold few rows each."""
+    return rounded(metrics.roc_corners(views.scored_sets(spark, sf_dir), by="split", piece_rows=PIECE), "fpr", "tpr")
+
+
 @query
 def roc_by_split(spark, sf_dir):
     return rounded(metrics.roc_curve(views.scored_sets(spark, sf_dir), by="split"), "fpr", "tpr")
@@ -316,9 +350,6 @@ def hard_auc_by_split(spark, sf_dir):
     return rounded(metrics.roc_auc(views.scored_sets(spark, sf_dir), score="pred", by="split"), "auc")
 
 
-# The same curves and bins in many pieces and rounds, as on large tables: pieces and brackets hold few rows.
-PIECE, BRACKET = 1_000, 500
-
 
 @query
 def roc_pieces(spark, sf_dir):
@@ -595,29 +626,121 @@ def _in_range(score: str) -> Column:
     return F.col(score).between(-1, 1).alias("in_range")
 
 
+def _grid(spark, sf_dir) -> search.SearchResult:
+    train, _, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
+    forest = models.random_forest(SEED)
+    maps = search.parameter_maps(
+        forest, {"numTrees": {"start": 3, "stop": 9, "num": 2}, "maxDepth": {"start": 2, "stop": 5, "num": 2}}
+    )
+    return search.grid_search(forest, maps, split.assign_folds(train, "id", 3, SEED), folds=3)
+
+
 @query
 def grid_search(spark, sf_dir):
+    """The score of every parameter map in every fold, and their mean."""
+    return _grid(spark, sf_dir).trials.select("params", "score", F.posexplode("fold_scores").alias("fold", "fold_score"))
+
+
+@query
+def grid_search_shape(spark, sf_dir):
     """The parameter maps tried, the folds of each and whether its score is one."""
+    return _grid(spark, sf_dir).trials.select("params", F.size("fold_scores").alias("folds"), _in_range("score"))
+
+
+@query
+def grid_search_folds(spark, sf_dir):
+    """How many rows of each class every candidate scored in every fold."""
+    found = _grid(spark, sf_dir)
+    counts = found.outcomes.groupBy("trial", "fold", "label").agg(F.sum("n").alias("n"))
+    return counts.join(found.trials.select("trial", "params"), "trial").select("params", "fold", "label", "n")
+
+
+@query
+def grid_search_majority(spark, sf_dir):
+    """Trees without a split predict the class that most training rows have, so their scores can be told without a model."""
     train, _, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
     forest = models.random_forest(SEED)
-    maps = search.parameter_maps(
-        forest, {"numTrees": {"start": 3, "stop": 9, "num": 2}, "maxDepth": {"start": 2, "stop": 5, "num": 2}}
+    maps = [{forest.maxDepth: 0, forest.numTrees: n} for n in (20, 40)]
+    trials = search.grid_search(forest, maps, split.assign_folds(train, "id", 3, SEED), folds=3).trials
+    return trials.select("trial", F.round("score", 6).alias("score"), F.posexplode("fold_scores").alias("fold", "fold_score")).select(
+        "trial", "score", "fold", F.round("fold_score", 6).alias("fold_score")
     )
-    folds = split.assign_folds(train, "id", 3, SEED)
-    trials = search.grid_search(forest, maps, folds, folds=3).trials
-    return trials.select("params", F.size("fold_scores").alias("folds"), _in_range("score"))
 
 
 @query
-def random_search(spark, sf_dir):
-    """The trials made, how many parameters each has and whether its score is one."""
+def best_parameters(spark, sf_dir):
+    """Parameters of the best model, and whether they are those of the best trial: highest score, then the earlier one."""
+    found = _grid(spark, sf_dir)
+    best = json.loads(found.trials.orderBy(F.desc("score"), "trial").first()["params"])
+    tuned = search.tuned_parameters(found.best_model, ["maxDepth", "numTrees"])
+    again = search.refit(models.random_forest(SEED), tuned, views.document_vectors(spark, sf_dir, DOC_FEATURES)[0])
+    rows = [(name, value == best[name], value == again.getOrDefault(name)) for name, value in tuned.items()]
+    return spark.createDataFrame(rows, "param string, of_best boolean, refitted boolean")
+
+
+def _random(spark, sf_dir) -> search.SearchResult:
     train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
     space = BOOSTED_SPACE | {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6), "min_data_in_leaf": ("int", 4, 20)}
-    settings = search.draw_settings(space, 4, SEED)
-    trials = search.random_search(train, test, settings, SEED, "penalized").trials
+    return search.random_search(train, test, search.draw_settings(space, 4, SEED), SEED, "penalized")
+
+
+@query
+def random_search(spark, sf_dir):
+    """The score of every trial."""
+    return _random(spark, sf_dir).trials
+
+
+@query
+def random_search_shape(spark, sf_dir):
+    """The trials made, how many parameters each has and whether its score is one."""
+    trials = _random(spark, sf_dir).trials
     return trials.select("trial", F.size(F.json_object_keys("params")).alias("parameters"), _in_range("score"))
 
 
+@query
+def random_search_sets(spark, sf_dir):
+    """How many rows of each class every trial scored in both sets."""
+    return _random(spark, sf_dir).outcomes.groupBy("trial", "set", "label").agg(F.sum("n").alias("n"))
+
+
+def _staged(spark, sf_dir) -> DataFrame:
+    train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
+    model = models.boosted_trees({"n_estimators": 12, "max_depth": 4, "max_bin": 63}, SEED).fit(train)
+    return staged.staged_outcomes(test, model, [1, 2, 4, 8, 12], [])
+
+
+@query
+def staged_boosting(spark, sf_dir):
+    """Quality of the shorter models inside one fit of boosted trees."""
+    return metrics.multiclass_metrics_of(_staged(spark, sf_dir), "n_estimators")
+
+
+@query
+def staged_totals(spark, sf_dir):
+    """Every length scores every test row: rows of each class by number of trees."""
+    return _staged(spark, sf_dir).groupBy("n_estimators", "label").agg(F.sum("n").alias("n"))
+
+
+@query
+def boosted_probabilities(spark, sf_dir):
+    """Per test document, the sum of the class probabilities and whether the most likely class is predicted."""
+    train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
+    scored = models.score(models.boosted_trees({"n_estimators": 5, "max_depth": 3}, SEED).fit(train), test)
+    p = scored.withColumn("p", vector_to_array("probability"))
+    likely = F.col("p")[F.col("prediction").cast("int")] == F.array_max("p")
+    return p.select("id", F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), likely.alias("likely"))
+
+
+@query
+def elimination_of_constant(spark, sf_dir):
+    """Recursive elimination never keeps a constant feature above the minimum, and keeps a feature at least."""
+    names = DOC_FEATURES + PLAIN_FEATURES
+    kept = selection.recursive_elimination(_indexed_documents(spark, sf_dir), names, 3, SEED)
+    return artifacts.feature_table(spark, kept).agg(
+        F.count_if(F.col("selected_features") == "constant").alias("constant"), (F.count("position") >= 3).alias("enough")
+    )
+
+
 def _explained(spark, sf_dir) -> DataFrame:
     train, test, _ = views.document_vectors(spark, sf_dir, DOC_FEATURES)
     model = models.random_forest(SEED).fit(train)
@@ -637,6 +760,19 @@ def attribution_adds_up(spark, sf_dir):
     return _explained(spark, sf_dir).select("id", (F.abs(total - F.col("score")) < 1e-6).alias("adds_up"))
 
 
+@query
+def class_attributions(spark, sf_dir):
+    """Per document and language, whether base value and attributions sum to the predicted probability; all languages in one pass."""
+    docs = views.docfeat(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang"), "id")
+    ready = features.assemble(features.encode_label(docs, features.fit_label_index(docs, "lang")), DOC_FEATURES).select("id", "label", "features")
+    model = models.random_forest(SEED, numTrees=10, maxDepth=4).fit(ready)
+    explained = explain.attribute_classes(models.score(model, ready), explain.fit_class_explainer(spark, model))
+    total = lambda c, base: F.aggregate(c, base, lambda a, x: a + x)
+    each = F.zip_with("contributions", "base_values", total)
+    close = F.transform(F.arrays_zip(each.alias("sum"), vector_to_array("probability").alias("p")), lambda e: F.abs(e["sum"] - e["p"]) < 1e-6)
+    return explained.select("id", F.posexplode(close).alias("class", "adds_up"))
+
+
 @query
 def training_job(spark, sf_dir):
     result = train_classifier(
@@ -668,6 +804,18 @@ def training_totals(spark, sf_dir):
     return result.confusion.select("label", sum(predicted, F.lit(0)).alias("n"))
 
 
+@query
+def training_stages(spark, sf_dir):
+    """What runs of a training job in one folder do about their stages: the first, the same again, and one with another minimum."""
+    table_, folder = views.raw_docfeat(spark, sf_dir), scratch_path(spark, "training")
+    runs = []
+    for run, least in enumerate((3, 3, 4)):
+        ranges = {"numTrees": {"start": 5, "stop": 5, "num": 1}}
+        result = train_classifier(table_, folder, key="id", ignore=("id",), min_features=least, ranges=ranges, unseen="keep", median="exact")
+        runs.append(result.stages.select(F.lit(run).alias("run"), "stage", "state"))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 @query
 def boosted_job(spark, sf_dir):
     """AUC of train, validation and test after search, shadow selection and refit on documents."""

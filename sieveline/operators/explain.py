@@ -25,6 +25,8 @@ from sieveline.sources.artifacts import store_model
 from sieveline.sources.scratch import remove, scratch_path
 
 OTHERS = "others"
+#: Bytes of leaves in one broadcast: a large ensemble is sent in several.
+BLOCK_BYTES = 32 << 20
 
 
 class Leaf(NamedTuple):
@@ -45,6 +47,14 @@ class Explainer(NamedTuple):
     width: int
 
 
+class ClassExplainer(NamedTuple):
+    """The leaves of an ensemble with a value per class, and per class the output before any feature is known."""
+
+    leaves: list[Leaf]
+    bases: list[float]
+    width: int
+
+
 def _leaf_value(model, node, class_index: int) -> float:
     if isinstance(model, GBTClassificationModel):
         return node["prediction"]
@@ -77,22 +87,32 @@ def fit_explainer(spark: SparkSession, model, class_index: int = 1) -> Explainer
 
 
 def fit_explainers(spark: SparkSession, model, classes: list[int]) -> list[Explainer]:
-    """Read the node table of a saved ensemble, once for any number of classes.
+    """An explainer per class, from one reading of the model; see :func:`fit_class_explainer` for all classes in one pass."""
+    whole = fit_class_explainer(spark, model, classes)
+    return [
+        Explainer([leaf._replace(value=leaf.value[k]) for leaf in whole.leaves], whole.bases[k], whole.width) for k in range(len(classes))
+    ]
+
+
+def fit_class_explainer(spark: SparkSession, model, classes: list[int] | None = None) -> ClassExplainer:
+    """Read the node table of a saved ensemble, once for any number of classes, by default all.
 
     A forest is explained on the probability of each class, boosted trees on the margin of the
     positive class. Only the model, never the data, comes to the driver.
     """
     if not isinstance(model, (GBTClassificationModel, RandomForestClassificationModel)):
         raise TypeError(f"cannot explain a {type(model).__name__}")
+    boosted = isinstance(model, GBTClassificationModel)
+    if classes is None:
+        classes = [1] if boosted else list(range(model.numClasses))
     path = scratch_path(spark, "model")
     store_model(model, path)
     trees: dict[int, dict] = {}
     for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").collect():
         trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]
     remove(spark, path)
-    boosted = isinstance(model, GBTClassificationModel)
-    leaves: list[list[Leaf]] = [[] for _ in classes]
-    bases = [0.0] * len(classes)
+    leaves: list[Leaf] = []
+    bases = np.zeros(len(classes))
     for tree, nodes in sorted(trees.items()):
         scale = model.treeWeights[tree] if boosted else 1.0 / len(trees)
         for leaf, path_taken in _paths(nodes):
@@ -106,12 +126,11 @@ def fit_explainers(spark: SparkSession, model, classes: list[int]) -> list[Expla
                     test[0] = max(test[0], threshold)
                 test[2] *= _cover(model, child) / _cover(model, parent)
             columns = np.array(list(tests.values()), dtype=np.float64).reshape(-1, 3)
-            for k, class_index in enumerate(classes):
-                value = scale * _leaf_value(model, leaf, class_index)
-                bases[k] += value * columns[:, 2].prod()
-                if tests:
-                    leaves[k].append(Leaf(value, np.array(list(tests)), columns[:, 0], columns[:, 1], columns[:, 2]))
-    return [Explainer(own, float(base), model.numFeatures) for own, base in zip(leaves, bases, strict=True)]
+            values = np.array([scale * _leaf_value(model, leaf, c) for c in classes])
+            bases += values * columns[:, 2].prod()
+            if tests:
+                leaves.append(Leaf(values, np.array(list(tests)), columns[:, 0], columns[:, 1], columns[:, 2]))
+    return ClassExplainer(leaves, [float(b) for b in bases], model.numFeatures)
 
 
 def _grouped(leaves: list[Leaf]) -> list[tuple]:
@@ -125,6 +144,75 @@ def _grouped(leaves: list[Leaf]) -> list[tuple]:
     ]
 
 
+def _blocks(groups: list[tuple], block_bytes: int) -> list[list[tuple]]:
+    """Groups of leaves cut into parts of bounded size."""
+    blocks: list[list[tuple]] = [[]]
+    held = 0
+    for group in groups:
+        per_leaf = max(1, sum(a[0].nbytes if a.ndim > 1 else a.itemsize for a in group))
+        step = max(1, block_bytes // per_leaf)
+        for k in range(0, len(group[0]), step):
+            part = tuple(a[k : k + step] for a in group)
+            size = per_leaf * len(part[0])
+            if held and held + size > block_bytes:
+                blocks.append([])
+                held = 0
+            blocks[-1].append(part)
+            held += size
+    return blocks
+
+
+def class_attribution_function(shared, classes: int, width: int):
+    """Like :func:`attribution_function`, for several classes: the rows pass the leaves once, whatever the number of classes.
+
+    ``shared`` are the blocks of leaves. A cell of the result holds the features of one class after those of another.
+    """
+    cells = 1 << 20
+
+    def contributions(column: pa.Array) -> pa.Array:
+        rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+        out = np.zeros((classes, *rows.shape))
+        for block in shared:
+            for values, features, low, high, share in block.value:
+                depth = features.shape[1]
+                nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
+                step = max(1, cells // max(1, depth * len(rows)))
+                for k in range(0, len(values), step):
+                    part = slice(k, k + step)
+                    x = rows[:, features[part]]
+                    passed = ((x > low[part]) & (x <= high[part])).astype(np.float64)
+                    integral = np.zeros_like(passed)
+                    for at, weight in zip((nodes + 1) / 2, weights / 2):
+                        terms = share[part] * (1 - at) + passed * at
+                        integral += weight * terms.prod(axis=2, keepdims=True) / terms
+                    gained = ((passed - share[part]) * integral).reshape(len(rows), -1)
+                    names, place = np.unique(features[part], return_inverse=True)
+                    for c in range(classes):
+                        indicator = np.zeros((place.size, len(names)))
+                        indicator[np.arange(place.size), place.ravel()] = np.repeat(values[part, c], depth)
+                        out[c][:, names] += gained @ indicator
+        inner = pa.array(np.ascontiguousarray(out.transpose(1, 0, 2)).ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(column) * classes + 1, dtype=np.int32) * width), inner)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1, dtype=np.int32) * classes), lists)
+
+    return contributions
+
+
+def attribute_classes(
+    df: DataFrame, explainer: ClassExplainer, features: str = FEATURES, output: str = "contributions", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Add ``contributions`` (an array of features per class) and ``base_values``; per class they sum to its output.
+
+    All classes in one Arrow pass. The leaves are sent in blocks of at most ``block_bytes``.
+    """
+    context = df.sparkSession.sparkContext
+    shared = [context.broadcast(block) for block in _blocks(_grouped(explainer.leaves), block_bytes)]
+    run = class_attribution_function(shared, len(explainer.bases), explainer.width)
+    contributions = F.arrow_udf(run, "array<array<double>>")
+    bases = F.array(*[F.lit(b) for b in explainer.bases])
+    return df.withColumns({output: contributions(vector_to_array(features)), "base_values": bases})
+
+
 def attribution_function(shared):
     """The function that runs in the tasks, from one Arrow column of feature rows to another.
 

@@ -6,9 +6,13 @@ all later steps run on those counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.functions.buckets import with_buckets
 from sieveline.functions.expressions import any_of, ratio
 from sieveline.operators.prefix import PIECE_ROWS, running_totals, split_points
 
@@ -27,6 +31,11 @@ def class_counts(
     df: DataFrame, label: str = "label", prediction: str = "prediction", by: str | list[str] | None = None
 ) -> DataFrame:
     """(class, tp, fp, fn, support) for every class seen as label or as prediction."""
+    return class_counts_of(outcome_counts(df, label, prediction, by), by)
+
+
+def class_counts_of(outcomes: DataFrame, by: str | list[str] | None = None) -> DataFrame:
+    """:func:`class_counts` from rows (by, label, prediction, n)."""
     keys = _names(by)
     # null is a class like any other: a missing prediction is a miss of its label
     hit = F.col("label").eqNullSafe(F.col("prediction"))
@@ -47,7 +56,7 @@ def class_counts(
             zero.alias("support"),
         ),
     )
-    rows = outcome_counts(df, label, prediction, by).select(*keys, F.inline(sides))
+    rows = outcomes.select(*keys, F.inline(sides))
     return rows.groupBy(*keys, "class").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "support")])
 
 
@@ -58,9 +67,14 @@ def multiclass_metrics(
 
     A class that is never predicted, or never right, counts with 0.
     """
+    return multiclass_metrics_of(outcome_counts(df, label, prediction, by), by)
+
+
+def multiclass_metrics_of(outcomes: DataFrame, by: str | list[str] | None = None) -> DataFrame:
+    """:func:`multiclass_metrics` from rows (by, label, prediction, n)."""
     zero = F.lit(0.0)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    scored = class_counts(df, label, prediction, by).select(
+    scored = class_counts_of(outcomes, by).select(
         *_names(by),
         "tp",
         "support",
@@ -116,7 +130,9 @@ def confusion_matrix(
     A missing class is a class too, named ``null`` and put last. If ``classes`` names the columns, predictions of any
     other class are counted in ``predicted_other``, so that the counts always add up to the rows.
     """
-    pairs = confusion_pairs(df, label, prediction)
+    counts = outcome_counts(df, label, prediction)
+    # every class is a row, also one that is only predicted
+    pairs = counts.unionByName(counts.select(F.col("prediction").alias("label"), "prediction", F.lit(0).cast("long").alias("n")))
     named = classes is not None
     if not named:
         found = [r[0] for r in pairs.select("label").distinct().collect()]
@@ -211,6 +227,57 @@ def roc_curve(
     return cumulative.select(*keys, F.inline(F.when(first, F.array(origin, point)).otherwise(F.array(point))))
 
 
+def _next_counts(counts: DataFrame, keys: list[str], points: list[float]) -> DataFrame:
+    """Add ``next_pos, next_neg``: the counts at the next lower threshold of the group, null at its lowest.
+
+    Each piece of the score axis runs its own window; the highest row of a piece is handed to the last row of the piece before it.
+    """
+    axis = F.col("threshold").cast("double") + F.lit(0.0)
+    pieces = with_buckets(counts.withColumn("_axis", axis), {"_piece": ("_axis", points)}).drop("_axis")
+    inside = Window.partitionBy(*keys, "_piece").orderBy(F.desc("threshold"))
+    row = F.struct("pos", "neg")
+    local = pieces.withColumns({"_next": F.lead(row).over(inside), "_last": F.lead("threshold").over(inside).isNull()})
+    heads = pieces.groupBy(*keys, "_piece").agg(F.max_by(row, "threshold").alias("_head"))
+    # one row per piece and group
+    below = heads.withColumn("_below", F.lead("_head").over(Window.partitionBy(*keys).orderBy(F.desc("_piece")))).select(
+        *[F.col(k).alias(f"_at_{k}") for k in [*keys, "_piece"]], "_below"
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in [*keys, "_piece"]]
+    joined = local.join(below, reduce(and_, same)).withColumn("_next", F.when(F.col("_last"), F.col("_below")).otherwise(F.col("_next")))
+    return joined.select(*counts.columns, F.col("_next.pos").alias("next_pos"), F.col("_next.neg").alias("next_neg"))
+
+
+def roc_corners(
+    df: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    by: str | list[str] | None = None,
+    positive=1,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
+    """:func:`roc_curve` without the points in the middle of a straight run: those at which the counts of either class go on as they came.
+
+    The highest and the lowest score, and the origin, always stay. The area under the curve is that of all points.
+    """
+    keys = _names(by)
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    points = split_points(rows, score, piece_rows)
+    hit = F.col(label) == F.lit(positive)
+    counts = rows.groupBy(*keys, F.col(score).alias("threshold")).agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    followed = _next_counts(counts, keys, points)
+    cumulative = running_totals(followed, "threshold", ["pos", "neg"], keys, points, descending=True)
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    straight = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
+    corner = first | F.col("next_pos").isNull() | ~straight
+    rate = lambda side: ratio(F.col(f"cum_{side}"), F.col(f"total_{side}"))
+    none = lambda side: ratio(F.lit(0), F.col(f"total_{side}"))
+    point = F.struct(F.col("threshold"), rate("neg").alias("fpr"), rate("pos").alias("tpr"))
+    origin = F.struct(
+        F.lit(None).cast(cumulative.schema["threshold"].dataType).alias("threshold"), none("neg").alias("fpr"), none("pos").alias("tpr")
+    )
+    return cumulative.where(corner).select(*keys, F.inline(F.when(first, F.array(origin, point)).otherwise(F.array(point))))
+
+
 def roc_auc(
     df: DataFrame,
     label: str = "label",

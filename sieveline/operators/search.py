@@ -1,7 +1,8 @@
 """Parameter spaces, cross-validated grid search and random search.
 
-The driver only picks parameters and compares one number per fit. Every fit and every evaluation is a
-Spark job over a persisted table; a bounded pool keeps several of them in flight.
+The driver only picks parameters and compares one number per fit. Every fit is a Spark job over a persisted table; a
+bounded pool keeps several of them in flight. Fitted candidates are scored together: one scan applies them all to a row,
+and one aggregate counts the outcomes per candidate.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.operators.features import LABEL
-from sieveline.operators.metrics import multiclass_metrics, recall_of
+from sieveline.operators.features import FEATURES, LABEL
+from sieveline.operators.metrics import multiclass_metrics, multiclass_metrics_of, recall_of
 from sieveline.operators.models import CLASS_WEIGHT, boosted_trees, with_class_weight
 from sieveline.sources.artifacts import with_hyperparameters
 
@@ -39,14 +40,22 @@ BOOSTED_SPACE = {
 }
 
 
+#: Candidates that one scan scores: their models are held, and their predictions laid out beside a row, at the same time.
+SCORED_TOGETHER = 20
+
+
+OBJECTIVES = ("recall", "penalized")
+
+
 @dataclass(frozen=True)
 class SearchResult:
-    """``trials`` has one row per fit: (trial, params as JSON, ..., score)."""
+    """``trials`` has one row per candidate: (trial, params as JSON, ..., score); ``outcomes`` the counts that the scores come from."""
 
     best_params: dict
     best_score: float
     best_model: Model
     trials: DataFrame
+    outcomes: DataFrame | None = None
 
 
 def even_steps(start: Column, stop: Column, num: Column) -> Column:
@@ -103,34 +112,77 @@ def weighted_f1(scored: DataFrame, label: str = LABEL) -> float:
     return multiclass_metrics(scored, label, "prediction").first()["weighted_f1"]
 
 
+def candidate_outcomes(models: dict[int, Model], rows: DataFrame, keys: list[str], label: str = LABEL) -> DataFrame:
+    """(trial, keys, label, prediction, n): how often each model predicts what, from one scan of ``rows`` and one aggregate.
+
+    A null label or prediction is a value of its own.
+    """
+    features = next(iter(models.values())).getFeaturesCol()
+    given = scored = rows.select(*keys, F.col(label).alias("label"), features)
+    for trial, model in models.items():
+        names = {"predictionCol": f"_p{trial}", "probabilityCol": "", "rawPredictionCol": ""}
+        scored = model.copy({model.getParam(p): v for p, v in names.items() if model.hasParam(p)}).transform(scored)
+    each = F.array(*[F.struct(F.lit(t).alias("trial"), F.col(f"_p{t}").alias("prediction")) for t in models])
+    out = scored.select(*[c for c in given.columns if c != features], F.inline(each))
+    return out.groupBy("trial", *keys, "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _score_together(fit: Callable[[int], Model], trials: list[int], count: Callable[[dict[int, Model]], DataFrame], parallelism: int) -> list:
+    """Outcome rows of all trials; no more than :data:`SCORED_TOGETHER` models are held at a time."""
+    rows: list = []
+    for k in range(0, len(trials), SCORED_TOGETHER):
+        part = trials[k : k + SCORED_TOGETHER]
+        with ThreadPool(min(parallelism, len(part))) as pool:
+            models = dict(zip(part, pool.map(fit, part, chunksize=1), strict=True))
+        rows += count(models).collect()  # a row per trial, class and prediction
+    return rows
+
+
 def grid_search(
     estimator: Estimator,
     param_maps: list[dict],
     train: DataFrame,
     fold: str = "fold",
     folds: int = 5,
-    metric: Callable[[DataFrame], float] = weighted_f1,
+    metric: Callable[[DataFrame], float] | None = None,
     parallelism: int = 4,
+    label: str = LABEL,
 ) -> SearchResult:
-    """Mean metric over the folds per parameter map, then a refit of the best on all of ``train``.
+    """Mean weighted F1 over the folds per parameter map, then a refit of the best on all of ``train``.
 
     The folds are a column, so the sets are the same in every run, and they are cut by a plain
-    predicate. Of equal means the earlier parameter map wins.
+    predicate. The models of a fold score its rows in one scan; ``outcomes`` has their counts (trial, fold, label, prediction, n).
+    A ``metric`` of your own takes a scan per model. Of equal means the earlier parameter map wins.
     """
+    if not param_maps:
+        raise ValueError("param_maps must name at least one parameter map")
     spark = train.sparkSession
     train = train.persist()
+    trials = list(range(len(param_maps)))
+    values: dict[tuple[int, int], float] = {}
+    outcomes = None
     try:
-        jobs = [(i, k) for k in range(folds) for i in range(len(param_maps))]
-
-        def run(job: tuple[int, int]) -> float:
-            i, k = job
-            model = estimator.fit(train.where(F.col(fold) != k), param_maps[i])
-            return metric(model.transform(train.where(F.col(fold) == k)))
 
-        with ThreadPool(min(parallelism, len(jobs))) as pool:
-            values = dict(zip(jobs, pool.map(run, jobs, chunksize=1)))
-        means = [sum(values[i, k] for k in range(folds)) / folds for i in range(len(param_maps))]
-        best = max(range(len(param_maps)), key=lambda i: (means[i], -i))
+        def fit(i: int, k: int) -> Model:
+            return estimator.fit(train.where(F.col(fold) != k), param_maps[i])
+
+        if metric is None:
+            counted = []
+            for k in range(folds):
+                rows = train.where(F.col(fold) == k).select("*", F.lit(k).alias("_fold_number"))
+                count = lambda models, rows=rows: candidate_outcomes(models, rows, ["_fold_number"], label)
+                counted += _score_together(lambda i, k=k: fit(i, k), trials, count, parallelism)
+            kind = train.schema[label].dataType.simpleString()
+            outcomes = spark.createDataFrame([tuple(r) for r in counted], f"trial int, fold int, label {kind}, prediction double, n long")
+            found = multiclass_metrics_of(outcomes, ["trial", "fold"]).collect()
+            values = {(i, k): 0.0 for i in trials for k in range(folds)} | {(r["trial"], r["fold"]): r["weighted_f1"] for r in found}
+        else:
+            jobs = [(i, k) for k in range(folds) for i in trials]
+            with ThreadPool(min(parallelism, len(jobs))) as pool:
+                scores = pool.map(lambda job: metric(fit(*job).transform(train.where(F.col(fold) == job[1]))), jobs, chunksize=1)
+            values = dict(zip(jobs, scores, strict=True))
+        means = [sum(values[i, k] for k in range(folds)) / folds for i in trials]
+        best = max(trials, key=lambda i: (means[i], -i))
         model = estimator.fit(train, param_maps[best])
     finally:
         train.unpersist()
@@ -138,8 +190,8 @@ def grid_search(
         (i, json.dumps(_named(p), sort_keys=True), [float(values[i, k]) for k in range(folds)], float(means[i]))
         for i, p in enumerate(param_maps)
     ]
-    trials = spark.createDataFrame(rows, "trial int, params string, fold_scores array<double>, score double")
-    return SearchResult(_named(param_maps[best]), means[best], model, trials)
+    table = spark.createDataFrame(rows, "trial int, params string, fold_scores array<double>, score double")
+    return SearchResult(_named(param_maps[best]), means[best], model, table, outcomes)
 
 
 def tuned_parameters(model: Model, names: list[str]) -> dict:
@@ -175,6 +227,23 @@ def objective_score(train: DataFrame | None, validation: DataFrame, label: str =
     return value - abs((train.agg(recall).first()["r"] or 0.0) - value)
 
 
+def recalls(outcomes: list, positive=1) -> dict[tuple, float]:
+    """Recall per trial and set from rows (trial, set, label, prediction, n); 0 without positive rows."""
+    hits: dict[tuple, list[int]] = {}
+    for trial, part, label, prediction, n in outcomes:
+        own = hits.setdefault((trial, part), [0, 0])
+        if label == positive:
+            own[0] += n if prediction == positive else 0
+            own[1] += n
+    return {k: hit / all if all else 0.0 for k, (hit, all) in hits.items()}
+
+
+def _objective(scores: dict[tuple, float], trial: int, penalized: bool) -> float:
+    """Recall on validation, less its distance to the training recall if penalised."""
+    value = scores.get((trial, "validation"), 0.0)
+    return value - abs(scores.get((trial, "train"), 0.0) - value) if penalized else value
+
+
 def random_search(
     train: DataFrame,
     validation: DataFrame,
@@ -188,12 +257,12 @@ def random_search(
     """Fit each setting on ``train``, keep the best on ``validation`` and refit it.
 
     ``objective`` is ``recall`` or ``penalized``, which also looks at the training recall. Of equal
-    scores the earlier trial wins.
+    scores the earlier trial wins. Several fitted settings score the rows in one scan.
     """
     if not settings:
         raise ValueError("settings must name at least one setting")
-    if objective not in ("recall", "penalized"):
-        raise ValueError("objective must be recall or penalized")
+    if objective not in OBJECTIVES:
+        raise ValueError(f"objective must be {' or '.join(OBJECTIVES)}")
     spark = train.sparkSession
     if any(s.get(CLASS_WEIGHT) for s in settings):
         train, _ = with_class_weight(train, "balanced", label)
@@ -204,21 +273,26 @@ def random_search(
             weight = CLASS_WEIGHT if setting.get(CLASS_WEIGHT) else None
             return make(setting, seed, label=label, weight=weight).fit(train)
 
-        def run(setting: dict) -> float:
-            model = fit(setting)
-            seen = model.transform(train) if objective == "penalized" else None
-            return float(objective_score(seen, model.transform(validation), label))
-
-        with ThreadPool(min(parallelism, len(settings))) as pool:
-            scores = pool.map(run, settings, chunksize=1)
-        best = max(range(len(settings)), key=lambda i: (scores[i], -i))
+        penalized = objective == "penalized"
+        sets = validation.select(F.lit("validation").alias("_set"), label, FEATURES)
+        if penalized:
+            sets = sets.unionByName(train.select(F.lit("train").alias("_set"), label, FEATURES))
+        trials = list(range(len(settings)))
+        counted = _score_together(
+            lambda i: fit(settings[i]), trials, lambda models: candidate_outcomes(models, sets, ["_set"], label), parallelism
+        )
+        found = recalls([tuple(r) for r in counted])
+        scores = [_objective(found, i, penalized) for i in trials]
+        best = max(trials, key=lambda i: (scores[i], -i))
         model = fit(settings[best])
     finally:
         train.unpersist()
         validation.unpersist()
     rows = [(i, json.dumps(s, sort_keys=True), v) for i, (s, v) in enumerate(zip(settings, scores))]
-    trials = spark.createDataFrame(rows, "trial int, params string, score double")
-    return SearchResult(settings[best], scores[best], model, trials)
+    table = spark.createDataFrame(rows, "trial int, params string, score double")
+    kind = train.schema[label].dataType.simpleString()
+    outcomes = spark.createDataFrame([tuple(r) for r in counted], f"trial int, set string, label {kind}, prediction double, n long")
+    return SearchResult(settings[best], scores[best], model, table, outcomes)
 
 
 def refit(estimator: Estimator, params: dict, train: DataFrame) -> Model:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.expressions import HASH_SPACE, hash_bucket
-from sieveline.operators.explain import attribute, fit_explainers, mean_abs_contribution
+from sieveline.operators.explain import attribute_classes, fit_class_explainer, mean_abs_contribution
 from sieveline.operators.features import FEATURES, LABEL, assemble
 from sieveline.operators.models import random_forest
 
@@ -115,10 +115,11 @@ def _trial_importance(
         total = [0.0] * (2 * len(active))
         # with two classes the attributions of one are those of the other with the sign turned
         classes = list(range(model.numClasses)) if model.numClasses > 2 else [model.numClasses - 1]
-        for explainer in fit_explainers(vectors.sparkSession, model, classes):
-            explained = attribute(test, explainer, estimator.getFeaturesCol())
-            for row in mean_abs_contribution(explained, k=None).collect():
-                total[int(row["feature"])] += row["mean_abs"]
+        explainer = fit_class_explainer(vectors.sparkSession, model, classes)
+        explained = attribute_classes(test, explainer, estimator.getFeaturesCol())
+        per_class = explained.select(F.explode("contributions").alias("contributions"))
+        for row in mean_abs_contribution(per_class, k=None).collect():
+            total[int(row["feature"])] = row["mean_abs"] * len(classes)
         return total
     finally:
         both.unpersist()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Model
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +24,13 @@ from sieveline.sources.artifacts import (
     artifact_path,
     load_features,
     load_hyperparameters,
+    load_model,
     store_features,
     store_hyperparameters,
     store_model,
     stored,
 )
+from sieveline.sources.manifests import Stages, data_fingerprint
 
 # The default search ranges, minimum number of features and seed of a training run.
 SEARCH_RANGES = {
@@ -51,6 +54,7 @@ class TrainingResult:
     scored: DataFrame
     metrics: DataFrame
     confusion: DataFrame
+    stages: DataFrame
 
 
 def clean_table(
@@ -96,48 +100,91 @@ def train_classifier(
     median_error: float = 0.01,
     nan_as_null: bool = False,
     unseen: str = "error",
+    stale: str = "rebuild",
 ) -> TrainingResult:
     """Clean, split, select features, tune a forest by cross-validation, evaluate and store it.
 
-    Selected features and hyperparameters already stored below ``work_dir`` are used instead of being
-    searched again, so a job that was stopped, or a new run on more data, goes on from there.
+    The cleaned table, the selected features, the hyperparameters and the model are stages below ``work_dir``, each with a manifest of
+    what it was made from: input rows, arguments, the stages before. A job that was stopped goes on from the last finished stage, and
+    stages that are still right are not written again. What other inputs or arguments have made stale, ``stale`` decides:
+    ``rebuild`` it, ``refuse`` with an error, or ``keep`` features and hyperparameters that were searched on other data. Features and
+    hyperparameters stored by hand in place of those of a finished stage are taken. ``stages`` of the result tells what was done.
     ``select=False`` trains on all features. ``unseen`` says what becomes of test rows whose class the label
     index has not met, which takes ``fit_on="train"``: ``error``, ``skip`` or ``keep`` as a class of its own. Columns in ``ignore``, such as a row id, are no features.
     """
     if not work_dir.strip() or not target.strip():
         raise ValueError("work_dir and target must not be empty")
     spark = table.sparkSession
-    cleaned_path = artifact_path(work_dir, CLEANED)
-    cleaned_rows = clean_table(table, target, key, null_threshold, seed, fit_on, median, median_error, nan_as_null)
-    cleaned_rows.write.mode("overwrite").parquet(cleaned_path)
-    cleaned = spark.read.parquet(cleaned_path)
+    stages = Stages(spark, work_dir, stale)
+    path = {kind: artifact_path(work_dir, kind) for kind in (CLEANED, FEATURES, HYPERPARAMETERS, MODEL)}
+
+    def write_cleaned() -> None:
+        rows = clean_table(table, target, key, null_threshold, seed, fit_on, median, median_error, nan_as_null)
+        rows.write.mode("overwrite").parquet(path[CLEANED])
+
+    cleaned = stages.run(
+        CLEANED,
+        write_cleaned,
+        lambda: spark.read.parquet(path[CLEANED]),
+        lambda: stored(spark, path[CLEANED]),
+        data=data_fingerprint(table),
+        target=target,
+        key=key,
+        null_threshold=null_threshold,
+        seed=seed,
+        fit_on=fit_on,
+        median=(median, median_error, nan_as_null),
+    )
     train, test = (cleaned.where(F.col(SPLIT) == s) for s in ("train", "test"))
     features = [c for c in cleaned.columns if c not in (target, SPLIT, FOLD, *ignore)]
     index = fit_label_index(train if fit_on == "train" else cleaned, target, handle_invalid=unseen)
+    before = {"cleaned": stages.states[-1][2]}
 
     if select:
-        features_path = artifact_path(work_dir, FEATURES)
-        if stored(spark, features_path):
-            features = load_features(spark, features_path)
-        else:
-            features = recursive_elimination(encode_label(train, index), features, min_features, seed)
-            store_features(spark, features, features_path)
+        features = stages.run(
+            FEATURES,
+            lambda: store_features(spark, recursive_elimination(encode_label(train, index), features, min_features, seed), path[FEATURES]),
+            lambda: load_features(spark, path[FEATURES]),
+            lambda: stored(spark, path[FEATURES]),
+            found=True,
+            candidates=features,
+            min_features=min_features,
+            **before,
+        )
+        before = {"selected": stages.states[-1][2]}
 
     prepared, held_out = prepare_data(train, test, features, target, index, keep=[FOLD])
     forest = random_forest(seed)
-    parameters_path = artifact_path(work_dir, HYPERPARAMETERS)
-    if stored(spark, parameters_path, "json"):
-        hyperparameters = load_hyperparameters(spark, parameters_path)
-        model = refit(forest, hyperparameters, prepared)
-    else:
-        ranges = SEARCH_RANGES if ranges is None else ranges
+    ranges = SEARCH_RANGES if ranges is None else ranges
+    tuned = {}
+
+    def search() -> None:
         found = grid_search(forest, parameter_maps(forest, ranges), prepared, FOLD, FOLDS, parallelism=parallelism)
-        model = found.best_model
-        hyperparameters = tuned_parameters(model, list(ranges))
-        store_hyperparameters(spark, hyperparameters, parameters_path)
+        tuned["model"] = found.best_model
+        store_hyperparameters(spark, tuned_parameters(found.best_model, list(ranges)), path[HYPERPARAMETERS])
+
+    hyperparameters = stages.run(
+        HYPERPARAMETERS,
+        search,
+        lambda: load_hyperparameters(spark, path[HYPERPARAMETERS]),
+        lambda: stored(spark, path[HYPERPARAMETERS], "json"),
+        found=True,
+        ranges=ranges,
+        unseen=unseen,
+        **before,
+    )
+    # the model follows what the stored features and hyperparameters are, also where they were put there by hand
+    model = stages.run(
+        MODEL,
+        lambda: store_model(tuned.get("model") or refit(forest, hyperparameters, prepared), path[MODEL]),
+        lambda: load_model(RandomForestClassificationModel, path[MODEL]),
+        lambda: stored(spark, f"{path[MODEL]}/data"),
+        features=features,
+        hyperparameters=hyperparameters,
+        **before,
+    )
 
     scored = score(model, held_out)
-    store_model(model, artifact_path(work_dir, MODEL))
     return TrainingResult(
-        model, features, hyperparameters, scored, multiclass_metrics(scored), confusion_matrix(scored)
+        model, features, hyperparameters, scored, multiclass_metrics(scored), confusion_matrix(scored), stages.table()
     )

@@ -6,9 +6,24 @@ import re
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The scratch paths that are given out inside the block, so that a job can delete what its steps leave behind."""
+    made: list[str] = []
+    _RECORDS.append(made)
+    try:
+        yield made
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not made]
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one stage output below the shared folder in ``spark.checkpoint.dir``.
@@ -23,7 +38,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         shared = tempfile.mkdtemp(prefix="sieveline-")
     elif shared.startswith("file:") and spark.sparkContext.master.startswith(("yarn", "k8s", "spark:", "mesos")):
         warnings.warn(f"spark.checkpoint.dir is {shared}: every machine must mount that folder", stacklevel=2)
-    return f"{shared.rstrip('/')}/sieveline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/sieveline/{name}-{uuid.uuid4().hex}"
+    for made in _RECORDS:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveline.operators import clean
+from sieveline.sources import tables
 from sieveline.sources.tables import positional_names, read_headerless_csv, rename_by_position
 
 
@@ -124,3 +125,25 @@ def test_sentinel_and_casts_stay_in_one_generated_stage(spark, sf_dir, plan_of):
     text = plan_of(clean.cast_to_int(clean.sentinel_to_null(df), ["a"]))
     assert all(line.lstrip(" +-:").startswith("*(1)") for line in text.splitlines() if "Project" in line)
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_types_are_told_from_the_values(spark):
+    rows = [
+        ("1", "1", "-.1", "x", "?", None, " 7 ", "9999999999", "99999999999999999999", "1e3", "?"),
+        ("-2", "9999999999", ".0", "1", "?", "", "8", "?", "1", "2.", "3"),
+        ("+3", "?", "12", "?", "?", None, "?", "1", "?", "NaN", "4"),
+    ]
+    columns = [f"c{k}" for k in range(11)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    expected = ["int", "bigint", "double", "string", "string", "string", "int", "bigint", "double", "string", "int"]
+    assert list(tables.inferred_types(df, columns).values()) == expected
+    assert tables.inferred_types(df, ["c0", "c10"], sentinel=None) == {"c0": "int", "c10": "string"}
+    assert tables.inferred_types(df, []) == {} and tables.inferred_types(df.limit(0), ["c0"]) == {"c0": "string"}
+
+
+def test_inferred_csv_takes_sentinels_for_nulls_at_once(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("1,?,-.1,a\n2,5,.0,?\n?,6,?,b\n")
+    df = tables.read_inferred_csv(spark, str(path))
+    assert df.dtypes == [("feature_1", "int"), ("feature_2", "int"), ("feature_3", "double"), ("target", "string")]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(1, None, -0.1, "a"), (2, 5, 0.0, None), (None, 6, None, "b")], key=str)

@@ -14,9 +14,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sieveline.operators.explain import (
+    _blocks,
     _grouped,
     attribute,
+    attribute_classes,
     attribution_function,
+    fit_class_explainer,
     fit_explainer,
     fit_explainers,
     mean_abs_contribution,
@@ -182,3 +185,50 @@ def test_mean_abs_contribution(spark):
     rows = mean_abs_contribution(df, k=2, names=list("abc")).collect()
     assert [tuple(r) for r in rows] == [("b", 1.0), ("a", 0.5)]
     assert mean_abs_contribution(df, k=None).count() == 3
+
+
+@pytest.fixture(scope="module")
+def three_classes(spark, data):
+    model = RandomForestClassifier(numTrees=7, maxDepth=4, seed=5).fit(data.withColumn("label", F.pmod(F.col("a") + F.col("c"), F.lit(3.0))))
+    assert model.numClasses == 3
+    return model
+
+
+@pytest.mark.parametrize("block_bytes", [32 << 20, 300])
+def test_attributions_of_all_classes_add_up_and_equal_those_of_each(spark, data, three_classes, plan_of, block_bytes):
+    whole = fit_class_explainer(spark, three_classes)
+    assert len(_blocks(_grouped(whole.leaves), block_bytes)) > (1 if block_bytes < 1000 else 0)
+    df = attribute_classes(three_classes.transform(data), whole, block_bytes=block_bytes)
+    assert plan_of(df.select("contributions")).count("ArrowEvalPython") <= 1
+    rows = {r["id"]: r for r in df.select("id", "contributions", "base_values", vector_to_array("probability").alias("p")).collect()}
+    assert sum(whole.bases) == pytest.approx(1.0)
+    for r in rows.values():
+        found = np.array(r["contributions"])
+        assert found.shape == (3, 4)
+        assert found.sum(axis=1) + np.array(r["base_values"]) == pytest.approx(np.array(r["p"]))
+        assert found.sum(axis=0) == pytest.approx(np.zeros(4), abs=1e-9)
+    for c, explainer in enumerate(fit_explainers(spark, three_classes, [0, 1, 2])):
+        for r in attribute(data, explainer).select("id", "contributions", "base_value").collect():
+            assert rows[r["id"]]["contributions"][c] == pytest.approx(r["contributions"], abs=1e-12)
+            assert rows[r["id"]]["base_values"][c] == pytest.approx(r["base_value"])
+
+
+def test_blocks_hold_every_leaf_within_their_bytes(spark, three_classes):
+    groups = _grouped(fit_class_explainer(spark, three_classes).leaves)
+    for size in (1, 300, 5_000, 1 << 20):
+        blocks = _blocks(groups, size)
+        assert sum(len(part[0]) for block in blocks for part in block) == sum(len(g[0]) for g in groups)
+        for block in blocks:
+            held = sum(a.nbytes for part in block for a in part)
+            assert held <= size or (len(block) == 1 and len(block[0][0]) == 1)
+
+
+def test_all_classes_of_no_rows(spark, data, three_classes):
+    assert attribute_classes(data.limit(0), fit_class_explainer(spark, three_classes)).count() == 0
+
+
+def test_boosted_trees_have_one_class(spark, data):
+    model = GBTClassifier(maxIter=3, maxDepth=3, seed=2).fit(data)
+    one = {r["id"]: r["contributions"] for r in attribute(data, fit_explainer(spark, model)).select("id", "contributions").collect()}
+    for r in attribute_classes(data, fit_class_explainer(spark, model)).select("id", "contributions").collect():
+        assert len(r["contributions"]) == 1 and r["contributions"][0] == pytest.approx(one[r["id"]], abs=1e-12)

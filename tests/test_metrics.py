@@ -137,3 +137,37 @@ def test_nothing_is_dropped_from_the_confusion_matrix(spark):
 def test_one_origin_where_the_highest_score_has_no_label(spark):
     df = spark.createDataFrame([(None, 0.9), (1, 0.8), (0, 0.1)], "label int, score double")
     assert sum(r["threshold"] is None for r in metrics.roc_curve(df).collect()) == 1
+
+
+@pytest.mark.parametrize("piece_rows", [3, 40, 10**6])
+def test_corners_are_the_points_where_the_counts_change(spark, piece_rows):
+    rng = random.Random(3)
+    rows = []
+    for s in ("a", "b", None):
+        for score in range(60):
+            # runs of equal counts, some of them across pieces
+            pos, neg = [(1, 0), (1, 2), (0, 1)][(score // 7) % 3] if s != "b" else (rng.randrange(2), 1)
+            rows += [(s, float(score), 1)] * pos + [(s, float(score), 0)] * neg
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "s string, score double, label int").repartition(4)
+    whole = metrics.roc_curve(df, by="s", piece_rows=piece_rows).collect()
+    found = metrics.roc_corners(df, by="s", piece_rows=piece_rows).collect()
+    assert len(found) < len(whole) and {tuple(r) for r in found} <= {tuple(r) for r in whole}
+    for s in ("a", "b", None):
+        counts = {}
+        for x, score, label in rows:
+            if x == s:
+                counts.setdefault(score, [0, 0])[label] += 1
+        order = sorted(counts, reverse=True)
+        kept = [k for k, t in enumerate(order) if k in (0, len(order) - 1) or counts[t] != counts[order[k + 1]]]
+        assert sorted(r["threshold"] for r in found if r["s"] == s and r["threshold"] is not None) == sorted(order[k] for k in kept)
+        assert sum(r["threshold"] is None for r in found if r["s"] == s) == 1
+        curve = sorted((r["fpr"], r["tpr"]) for r in found if r["s"] == s)
+        area = sum((x1 - x0) * (y0 + y1) / 2 for (x0, y0), (x1, y1) in zip(curve, curve[1:]))
+        assert area == pytest.approx(metrics.roc_auc(df.where(F.col("s").eqNullSafe(F.lit(s)))).first()["auc"])
+
+
+def test_corners_of_few_points(spark):
+    one = spark.createDataFrame([(0.5, 1), (0.5, 0)], "score double, label int")
+    assert {tuple(r) for r in metrics.roc_corners(one).collect()} == {(None, 0.0, 0.0), (0.5, 1.0, 1.0)}
+    assert metrics.roc_corners(one.limit(0)).count() == 0

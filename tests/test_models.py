@@ -6,13 +6,13 @@ import pytest
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
-from sieveline.operators import features, models, search, selection
+from sieveline.operators import features, models, search, selection, staged
 from sieveline.operators.split import assign_folds, hash_split
 from sieveline.plans import training
 from sieveline.plans.boosting import train_boosted
 from sieveline.plans.evaluation import evaluate_sets
-from sieveline.sources import artifacts
-from sieveline.sources.scratch import scratch_path
+from sieveline.sources import artifacts, manifests
+from sieveline.sources.scratch import remove, scratch_path, written
 
 SIGNAL = ["a", "b"]
 ALL = ["constant", "a", "noise", "b"]
@@ -230,6 +230,73 @@ def test_grid_search(data):
     assert search.tuned_parameters(found.best_model, ["maxDepth", "numTrees"]) == found.best_params
 
 
+def test_candidates_scored_together_equal_a_scan_each(data, monkeypatch):
+    monkeypatch.setattr(search, "SCORED_TOGETHER", 2)
+    ready = assign_folds(features.assemble(data, SIGNAL), "id", 2, seed=1)
+    forest = models.random_forest(1)
+    maps = search.parameter_maps(forest, {"maxDepth": {"start": 0, "stop": 4, "num": 3}, "numTrees": {"start": 3, "num": 1}})
+    together = search.grid_search(forest, maps, ready, folds=2)
+    apart = search.grid_search(forest, maps, ready, folds=2, metric=search.weighted_f1)
+    scores = [{r["trial"]: r["fold_scores"] for r in found.trials.collect()} for found in (together, apart)]
+    assert scores[0].keys() == scores[1].keys()
+    for trial in scores[0]:
+        assert scores[0][trial] == pytest.approx(scores[1][trial])
+    assert together.best_params == apart.best_params and apart.outcomes is None
+    sizes = {r["fold"]: r["count"] for r in ready.groupBy("fold").count().collect()}
+    counted = together.outcomes.groupBy("trial", "fold").agg(F.sum("n").alias("n")).collect()
+    assert len(counted) == 6 and all(r["n"] == sizes[r["fold"]] for r in counted)
+    with pytest.raises(ValueError):
+        search.grid_search(forest, [], ready, folds=2)
+
+
+def test_models_of_a_fold_take_one_scan(data, plan_of):
+    ready = written(features.assemble(data, SIGNAL).select("label", "features"), "ready")
+    fitted = {t: models.random_forest(t, numTrees=2).fit(ready) for t in range(4)}
+    plan = plan_of(search.candidate_outcomes(fitted, ready, []))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_staged_margins_are_those_of_shorter_models(data):
+    ready = hash_split(features.assemble(data, SIGNAL), "id")
+    train, test = (ready.where(F.col("split") == s) for s in ("train", "test"))
+    settings = {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.2}
+    model = models.boosted_trees(settings, 1).fit(train)
+    found = {r["id"]: r["margins"] for r in staged.staged_margins(test, model, [0, 1, 3, 6, 9]).collect()}
+    for place, n in ((1, 1), (2, 3), (3, 6)):
+        shorter = models.boosted_trees(settings | {"n_estimators": n}, 1).fit(train).transform(test)
+        for r in shorter.collect():
+            assert found[r["id"]][place] == pytest.approx(r["rawPrediction"][1], abs=1e-9)
+    assert all(m[0] == 0.0 and m[4] == m[3] for m in found.values())
+    counts = staged.staged_outcomes(test, model, [3, 6], ["split"]).collect()
+    want = {}
+    for n in (3, 6):
+        shorter = models.boosted_trees(settings | {"n_estimators": n}, 1).fit(train).transform(test)
+        for r in shorter.collect():
+            k = (n, "test", r["label"], r["prediction"])
+            want[k] = want.get(k, 0) + 1
+    assert {tuple(r)[:4]: r["n"] for r in counts} == want
+    assert staged.staged_margins(test.limit(0), model, [1]).collect() == []
+    with pytest.raises(ValueError):
+        staged.staged_margins(test, model, [-1])
+
+
+@pytest.mark.parametrize("objective", ["recall", "penalized"])
+def test_staged_search_equals_a_fit_per_length(data, objective):
+    ready = hash_split(features.assemble(data, SIGNAL), "id")
+    train, validation = (ready.where(F.col("split") == s) for s in ("train", "test"))
+    settings = [{"max_depth": 1, "class_weight": "balanced", "n_estimators": 4}, {"max_depth": 3}]
+    found = staged.staged_search(train, validation, settings, 1, [1, 2, 4, 5], objective)
+    each = [s | {"n_estimators": n} for s, stages in zip(settings, ([1, 2, 4], [1, 2, 4, 5])) for n in stages]
+    fits = search.random_search(train, validation, each, 1, objective)
+    scores = [[r["score"] for r in f.trials.orderBy("trial").collect()] for f in (found, fits)]
+    assert scores[0] == pytest.approx(scores[1])
+    assert found.best_params == fits.best_params and found.best_score == pytest.approx(fits.best_score)
+    with pytest.raises(ValueError):
+        staged.staged_search(train, validation, [], 1, [1])
+    with pytest.raises(ValueError):
+        staged.staged_search(train, validation, settings, 1, [1], "luck")
+
+
 def test_draws_are_seeded_and_in_range():
     drawn = search.draw_settings(search.BOOSTED_SPACE, 50, 3)
     assert drawn == search.draw_settings(search.BOOSTED_SPACE, 50, 3) != search.draw_settings(search.BOOSTED_SPACE, 50, 4)
@@ -306,6 +373,52 @@ def test_training_job_resumes(spark, data):
     assert again.model.getOrDefault("maxDepth") == 3
 
 
+def states(result):
+    return {r["stage"]: r["state"] for r in result.stages.collect()}
+
+
+def test_training_job_rebuilds_what_is_stale(spark, data):
+    work = scratch_path(spark, "job")
+    arguments = {"ignore": ("id",), "min_features": 3, "ranges": {"numTrees": {"start": 3, "num": 1}}}
+    every = ["cleaned", "selected_features", "hyperparameters", "final_model"]
+    first = training.train_classifier(raw(data), work, **arguments)
+    assert states(first) == dict.fromkeys(every, "built")
+    # the same rows in another order and other partitions are the same input
+    files = lambda kind: sorted(r[0] for r in spark.read.format("binaryFile").load(f"{work}/{kind}").select("modificationTime").collect())
+    written = files("cleaned")
+    again = training.train_classifier(raw(data).repartition(3), work, **arguments)
+    assert states(again) == dict.fromkeys(every, "reused") and files("cleaned") == written
+    assert again.scored.select("prediction").collect() == first.scored.select("prediction").collect()
+    # other arguments of one stage leave those before it
+    fewer = training.train_classifier(raw(data), work, **(arguments | {"ranges": {"numTrees": {"start": 4, "num": 1}}}))
+    assert states(fewer) == {"cleaned": "reused", "selected_features": "reused", "hyperparameters": "rebuilt", "final_model": "rebuilt"}
+    assert fewer.hyperparameters == {"numTrees": 4}
+    # other rows make all stages stale
+    less = raw(data).where("id % 10 != 0")
+    with pytest.raises(ValueError, match="cleaned.*other data"):
+        training.train_classifier(less, work, **arguments, stale="refuse")
+    kept = training.train_classifier(less, work, **(arguments | {"ranges": {"numTrees": {"start": 9, "num": 1}}}), stale="keep")
+    assert states(kept) == {"cleaned": "rebuilt", "selected_features": "kept", "hyperparameters": "kept", "final_model": "rebuilt"}
+    assert kept.hyperparameters == {"numTrees": 4} and kept.features == fewer.features
+    # a manifest is missing where a run was stopped before the end of its stage
+    remove(spark, f"{work}/{manifests.MANIFESTS}/selected_features")
+    stopped = training.train_classifier(less, work, **arguments)
+    assert states(stopped) == {"cleaned": "reused", "selected_features": "built", "hyperparameters": "rebuilt", "final_model": "rebuilt"}
+    with pytest.raises(ValueError):
+        training.train_classifier(less, work, **arguments, stale="perhaps")
+
+
+def test_fingerprint_of_rows(spark):
+    print_of = manifests.data_fingerprint
+    rows = [(1, "a", None), (2, None, 0.5), (2, None, 0.5)]
+    df = spark.createDataFrame(rows, "x int, y string, z double")
+    assert print_of(df) == print_of(spark.createDataFrame(rows[::-1], df.schema).repartition(4))
+    others = [rows[:2], [*rows, rows[0]], [(1, None, None), *rows[1:]], [(1, "a", 0.5), (2, None, None), (2, None, 0.5)]]
+    assert len({print_of(df), *(print_of(spark.createDataFrame(o, df.schema)) for o in others)}) == 5
+    assert print_of(df) != print_of(df.withColumnRenamed("x", "w")) != print_of(df.withColumn("x", F.col("x").cast("long")))
+    assert print_of(df.limit(0)) != print_of(df)
+
+
 def test_training_on_all_features_with_train_medians(spark, data):
     result = training.train_classifier(
         raw(data),
