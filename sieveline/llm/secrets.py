@@ -46,10 +46,12 @@ WINDOW = 20
 
 #: Suppressed as a whole: unique ids, letters joined by separators, digits joined by separators.
 ALLOWED_SHAPES = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z_/+=-]+|[0-9_/+=-]+")
-#: Suppressed where they occur anywhere in a candidate: runs of an alphabet, of digits or of keys, and placeholders.
+#: Suppressed is a run of letters and digits that holds one of them, and every window that overlaps it: pieces of an alphabet, of digits
+#: or of keys, and placeholders.
 ALLOWED_PARTS = re.compile(
     r"abcdefgh|01234567|12345678|98765432|qwertyui|example|sample|placeholder|changeme|xxxxxx|dummy", re.IGNORECASE
 )
+RUN = re.compile(r"[A-Za-z0-9]+")
 
 
 def entropy_peaks(candidate: str, width: int = WINDOW) -> Iterator[tuple[int, float]]:
@@ -74,21 +76,28 @@ def entropy_peaks(candidate: str, width: int = WINDOW) -> Iterator[tuple[int, fl
 
 
 def entropy_spans(text: str, width: int = WINDOW) -> list[tuple[int, int]]:
-    """Merged windows at or above the threshold of their candidate's class, unless the candidate is allowed."""
+    """Merged windows at or above the threshold of their candidate's class, unless the candidate, or a part of the window, is allowed."""
     found = []
     for match in CANDIDATE.finditer(text):
         body = match.group()
-        if ALLOWED_SHAPES.fullmatch(body) or ALLOWED_PARTS.search(body):
+        if ALLOWED_SHAPES.fullmatch(body):
             continue
+        parts = []
+        if ALLOWED_PARTS.search(body):
+            parts = [(m.start(), m.end()) for m in RUN.finditer(body) if ALLOWED_PARTS.search(body, m.start(), m.end())]
+        span = min(width, len(body))
         limit = next(c.least for c in CLASSES if c.shape.fullmatch(body))
         start = end = -1
+        passed = 0
         for at, bits in entropy_peaks(body, width):
-            if bits >= limit:
+            while passed < len(parts) and parts[passed][1] <= at:
+                passed += 1
+            if bits >= limit and not (passed < len(parts) and parts[passed][0] < at + span):
                 if at > end:
                     if end >= 0:
                         found.append((match.start() + start, match.start() + end))
                     start = at
-                end = at + min(width, len(body))
+                end = at + span
         if end >= 0:
             found.append((match.start() + start, match.start() + end))
     return found

@@ -65,6 +65,48 @@ def test_entropy_spans_and_allow_list():
         assert secrets.entropy_spans(quiet) == []
 
 
+def test_allowed_parts_suppress_the_windows_they_are_in():
+    value = "9fK2xQ7vLmZ4tR8wYb3N"
+    for before in ("my_cred=", "sample_cred=", "/srv/example/", "dummy-dummy/changeme="):
+        text = f"see {before}{value}, and more"
+        start = text.index(value)
+        ((first, last),) = secrets.entropy_spans(text)
+        assert last == start + len(value) and first <= start
+        assert not secrets.ALLOWED_PARTS.search(text[first:last])
+    assert secrets.entropy_spans(f"{value}/example/{value}") == [(0, 21), (28, 49)]
+    assert secrets.entropy_spans(("example/" * 20_000)[:-1]) == []
+
+
+def brute_entropy_spans(text, width=secrets.WINDOW):
+    """Windows that are random and overlap no allowed run, merged, by looking at each window anew."""
+    spans = []
+    for m in secrets.CANDIDATE.finditer(text):
+        body = m.group()
+        if secrets.ALLOWED_SHAPES.fullmatch(body):
+            continue
+        limit = next(c.least for c in secrets.CLASSES if c.shape.fullmatch(body))
+        quiet = {k for r in secrets.RUN.finditer(body) if secrets.ALLOWED_PARTS.search(r.group()) for k in range(r.start(), r.end())}
+        own = []
+        for at in range(len(body) - width + 1):
+            counts = Counter(body[at : at + width]).values()
+            bits = -sum(c / width * math.log2(c / width) for c in counts)
+            if bits >= limit - 1e-12 and not quiet & set(range(at, at + width)):
+                if own and at <= own[-1][1]:
+                    own[-1][1] = at + width
+                else:
+                    own.append([at, at + width])
+        spans += [(m.start() + a, m.start() + b) for a, b in own]
+    return spans
+
+
+def test_entropy_spans_by_brute_force(texts):
+    rng = random.Random(7)
+    pieces = ["example", "sample", "/", "_", "-", "=", "12345678", "9fK2xQ7vLmZ4", "tR8wYb3NpQ", "deadbeef01", "aaaa", " ", "Zx9"]
+    made = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(400)]
+    for text in [*made, *[t for t in texts.values() if t]]:
+        assert secrets.entropy_spans(text) == brute_entropy_spans(text)
+
+
 def same_personal(row, text):
     counts, digest, base = brute.personal(text)
     assert [row["n_email"], row["n_ip"], row["n_card"], row["n_phone"]] == counts
