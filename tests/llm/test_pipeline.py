@@ -1,12 +1,13 @@
 """The pipeline against its stages done by brute force, on the whole small table."""
 
+import os
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
 from __spark_entry__ import queries
-from sieveline.sources.scratch import written
+from sieveline.sources.scratch import recorded, written
 from tests.llm import brute
 from tests.llm.test_sharding import check
 
@@ -71,3 +72,10 @@ def test_run_is_the_registered_query(spark, sf_dir, outputs):
     assert queries()["pipeline"] is corpus_pipeline.run
     run = corpus_pipeline.run(spark, sf_dir)
     assert Counter(map(tuple, run.collect())) == Counter(map(tuple, outputs[-1].collect()))
+
+
+def test_run_leaves_nothing_of_its_first_stages(spark, sf_dir):
+    with recorded() as made:
+        corpus_pipeline.run(spark, sf_dir)
+    left = [p for p in made if os.path.exists(p)]
+    assert made and all(any(f"/{name}-" in p for name in ("source_mixture", "ranges")) for p in left), left
