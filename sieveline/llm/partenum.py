@@ -36,14 +36,14 @@ PERCENT = 85
 #: Each band of sizes ends where the next begins: this times the size it begins with.
 BAND_RATIO = 1.384
 #: Bytes of text turned into shingles at a time; shingles compared, and sketches compared, in one task.
-SLICE_BYTES, GROUP_SHINGLES, GROUP_SETS = 6 << 20, 1_500_000, 8_000
+SLICE_BYTES, GROUP_SHINGLES, GROUP_SETS = 2 << 20, 1_500_000, 8_000
 #: Least and most buckets of a sketch; in between there is at least one for two elements.
 BUCKETS = (16, 1024)
 #: Bytes up to which a table of ids and hashes is broadcast instead of shuffling the texts it points to.
 BROADCAST_BYTES = 64 << 20
 
 #: Words whose hashes a Python worker keeps.
-MEMORY = 500_000
+MEMORY = 100_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
