@@ -16,58 +16,84 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.sources.scratch import written
+from sieveline.llm.partenum import slices
+from sieveline.sources.scratch import discard, written
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Expected number of labelled documents per language that the model is fitted on.
 SAMPLE = 800
 ROUNDS = 3
-#: Longer runs of letters are scored in cuts of this length, every letter once.
-LONGEST = 48
-LONGEST_PIECE = 10
+#: Words of up to so many letters are scored together in plain probabilities, longer ones one by one and rescaled on the way. The
+#: model is fitted on the former.
+SHORT = 32
 START = "▁"
 #: Probability of a character that no piece covers, in every language.
 UNKNOWN = 1e-7
 SMOOTHING = 0.02
-#: Word scores a Python worker keeps.
-MEMORY = 400_000
+#: Words whose scores a Python worker keeps, and bytes of those scores.
+MEMORY, MEMORY_BYTES = 1_000_000, 64 << 20
 
-LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")
 
 
 def words_in(text: str | None) -> list[str]:
-    """Runs of letters in lower case, cut at :data:`LONGEST`; none for null."""
-    found = LETTERS.findall(text.lower()) if text else []
-    if any(len(w) > LONGEST for w in found):
-        found = [w[k : k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
+    """Runs of letters in lower case; none for null."""
+    found = _RUNS.findall(text.lower()) if text else []
+    if not all(map(str.isalpha, found)):  # numbers that are no digits, such as in m²
+        found = [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
     return found
 
 
-def load_pieces(path: str) -> dict[str, int]:
+class Pieces(dict):
+    """Number per piece, and an automaton that finds all of them in a line of words."""
+
+    def __init__(self, numbers: dict[str, int]):
+        import ahocorasick
+
+        super().__init__(numbers)
+        self.width = max(map(len, numbers), default=1)
+        self.automaton = ahocorasick.Automaton()
+        for piece, number in numbers.items():
+            self.automaton.add_word(piece, number * (self.width + 1) + len(piece))
+        if numbers:
+            self.automaton.make_automaton()
+
+    def matches(self, line: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end, length, number) of every occurrence."""
+        found = list(self.automaton.iter(line)) if self else []
+        ends, values = (np.fromiter(c, np.int64, len(found)) for c in (zip(*found, strict=True) if found else ((), ())))
+        return ends + 1, values % (self.width + 1), values // (self.width + 1)
+
+
+def load_pieces(path: str) -> Pieces:
     """Number per piece of a SentencePiece model; pieces of other than letters and the word start are left out."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-    usable = {p.lower() for p in pieces if 0 < len(p) <= LONGEST_PIECE and (p[p.startswith(START) :].isalpha() or p == START)}
-    return {p: i for i, p in enumerate(sorted(usable))}
-
-
-def lattice(words: list[str], pieces: dict[str, int]) -> np.ndarray:
-    """Piece numbers by (word, end, length - 1): -1 for no piece, -2 for a single character without one."""
-    width = max(map(len, words)) + 1
-    grid = np.full((len(words), width + 1, LONGEST_PIECE), -1, np.int32)
-    for row, word in enumerate(words):
-        marked = START + word
-        cells = grid[row]
-        for end in range(1, len(marked) + 1):
-            for size in range(1, min(end, LONGEST_PIECE) + 1):
-                number = pieces.get(marked[end - size : end])
-                if number is not None:
-                    cells[end, size - 1] = number
-            if cells[end, 0] < 0:
-                cells[end, 0] = -2
-    return grid
+    pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    usable = {p for p in pieces if p == START or p.removeprefix(START).isalpha()}
+    return Pieces({p: i for i, p in enumerate(sorted(usable))})
+
+
+def lattice(words: list[str], pieces: Pieces) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(end, length, words, piece numbers) in order of ends: the pieces of that length that end there; -2 for a character without one."""
+    marked = [START + w for w in words]
+    sizes = np.array([len(m) for m in marked])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    end, size, number = pieces.matches("\n".join(marked))
+    word = np.searchsorted(starts, end, side="left") - 1
+    end = end - starts[word]
+    # characters that are no piece themselves
+    bare = np.zeros((len(words), int(sizes.max()) + 1), bool)
+    bare[:, 1:] = np.arange(1, bare.shape[1]) <= sizes[:, None]
+    bare[word[size == 1], end[size == 1]] = False
+    at, place = np.nonzero(bare)
+    word, end = np.concatenate([word, at]), np.concatenate([end, place])
+    size, number = np.concatenate([size, np.ones(len(at), np.int64)]), np.concatenate([number, np.full(len(at), -2)])
+    key = end * (pieces.width + 2) + size
+    order = np.argsort(key, kind="stable")
+    cuts = np.nonzero(np.diff(key[order]))[0] + 1
+    return [(int(end[o[0]]), int(size[o[0]]), word[o], number[o]) for o in np.split(order, cuts) if len(o)]
 
 
 def padded(probabilities: np.ndarray) -> np.ndarray:
@@ -76,52 +102,69 @@ def padded(probabilities: np.ndarray) -> np.ndarray:
     return np.vstack([probabilities, np.full((1, languages), UNKNOWN), np.zeros((1, languages))])
 
 
-def forward(grid: np.ndarray, table: np.ndarray) -> np.ndarray:
+def forward(steps: list[tuple[int, int, np.ndarray, np.ndarray]], shape: tuple[int, int], table: np.ndarray) -> np.ndarray:
     """Probability of each prefix of each word, summed over its segmentations: (word, end, language)."""
-    alpha = np.zeros((grid.shape[0], grid.shape[1], table.shape[1]))
+    alpha = np.zeros((*shape, table.shape[1]))
     alpha[:, 0] = 1.0
-    for end in range(1, grid.shape[1]):
-        for size in range(1, min(end, LONGEST_PIECE) + 1):
-            ids = grid[:, end, size - 1]
-            rows = np.nonzero(ids != -1)[0]
-            if len(rows):
-                alpha[rows, end] += alpha[rows, end - size] * table[ids[rows]]
+    for end, size, rows, ids in steps:
+        alpha[rows, end] += alpha[rows, end - size] * table[ids]
     return alpha
 
 
-def word_logs(words: list[str], pieces: dict[str, int], table: np.ndarray) -> np.ndarray:
+def long_logs(word: str, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """Log probability of one word of any length in each language: only the prefixes that a piece can reach back to are held."""
+    marked = START + word
+    ends, sizes, numbers = pieces.matches(marked)
+    order = np.argsort(ends, kind="stable")
+    bounds = np.searchsorted(ends[order], np.arange(len(marked) + 2))
+    recent = [np.ones(table.shape[1])]  # prefixes that end here, one character earlier, and so on
+    log = np.zeros(table.shape[1])
+    for end in range(1, len(marked) + 1):
+        own = order[bounds[end] : bounds[end + 1]]
+        total = sum((recent[s - 1] * table[n] for s, n in zip(sizes[own].tolist(), numbers[own].tolist(), strict=True)), np.zeros(table.shape[1]))
+        if not (sizes[own] == 1).any():
+            total = total + recent[0] * table[-2]
+        recent = [total, *recent[: max(pieces.width, 1) - 1]]
+        if total.min(initial=1.0) < 1e-100:
+            scale = np.maximum(total, 1e-300)
+            recent = [r / scale for r in recent]
+            log += np.log(scale)
+    return log + np.log(np.maximum(recent[0], 1e-300))
+
+
+def word_logs(words: list[str], pieces: Pieces, table: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language, all segmentations summed."""
     out = np.empty((len(words), table.shape[1]))
-    by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for k in range(0, len(words), 2048):
-        chosen = by_size[k : k + 2048]
-        alpha = forward(lattice([words[i] for i in chosen], pieces), table)
-        ends = np.array([len(words[i]) + 1 for i in chosen])
+    short = sorted((i for i in range(len(words)) if len(words[i]) <= SHORT), key=lambda i: len(words[i]))
+    for k in range(0, len(short), 2048):
+        chosen = short[k : k + 2048]
+        part = [words[i] for i in chosen]
+        ends = np.array([len(w) + 1 for w in part])
+        alpha = forward(lattice(part, pieces), (len(part), int(ends.max()) + 1), table)
         out[chosen] = np.log(np.maximum(alpha[np.arange(len(chosen)), ends], 1e-300))
+    for i in range(len(words)):
+        if len(words[i]) > SHORT:
+            out[i] = long_logs(words[i], pieces, table)
     return out
 
 
-def expected_counts(words: list[str], counts: np.ndarray, pieces: dict[str, int], column: np.ndarray) -> np.ndarray:
+def expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, column: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words, given probabilities of one language."""
     table = padded(column[:, None])
     totals = np.zeros(len(table))
     for k in range(0, len(words), 2048):
         part = words[k : k + 2048]
-        grid = lattice(part, pieces)
-        alpha = forward(grid, table)[:, :, 0]
+        steps = lattice(part, pieces)
         ends = np.array([len(w) + 1 for w in part])
+        alpha = forward(steps, (len(part), int(ends.max()) + 1), table)[:, :, 0]
         beta = np.zeros_like(alpha)
         beta[np.arange(len(part)), ends] = 1.0
         whole = alpha[np.arange(len(part)), ends]
         scale = counts[k : k + 2048] / np.maximum(whole, 1e-300)
-        for end in range(grid.shape[1] - 1, 0, -1):
-            for size in range(1, min(end, LONGEST_PIECE) + 1):
-                ids = grid[:, end, size - 1]
-                rows = np.nonzero((ids != -1) & (beta[:, end] > 0))[0]
-                if len(rows):
-                    p = table[ids[rows], 0]
-                    np.add.at(totals, ids[rows], scale[rows] * alpha[rows, end - size] * p * beta[rows, end])
-                    beta[rows, end - size] += p * beta[rows, end]
+        for end, size, rows, ids in reversed(steps):
+            p = table[ids, 0]
+            np.add.at(totals, ids, scale[rows] * alpha[rows, end - size] * p * beta[rows, end])
+            beta[rows, end - size] += p * beta[rows, end]
     return totals[: len(column)]
 
 
@@ -148,7 +191,8 @@ def sample_of(docs: DataFrame, id: str, text: str, lang: str, sample: int) -> Da
             found: Counter = Counter()
             for language, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for word, n in Counter(words_in(body)).items():
-                    found[language, word] += n
+                    if len(word) <= SHORT:
+                        found[language, word] += n
             rows = list(found.items())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())],
@@ -208,46 +252,73 @@ def fit(
         for row in parts.groupBy("language", "piece").agg(F.sum("n").alias("n")).collect():
             counts[row["piece"], row["language"]] += row["n"]
         probabilities = counts / counts.sum(axis=0)
+    discard(words)
     return Model(vocabulary, languages, probabilities)
 
 
 class Scorer:
-    """Scores texts with a model, keeping the scores of words met before."""
+    """Scores texts with a model, keeping the scores of words met before, in bounded memory.
+
+    Words are kept as 64-bit hashes in order, beside their scores: a word takes no more room than these numbers.
+    """
 
     def __init__(self, model: Model):
         self.languages = model.languages
         self.pieces, self.table = load_pieces(model.path), padded(model.probabilities)
-        self.known: dict[str, int] = {}
-        self.logs = np.empty((0, len(model.languages)))
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Row of each word in ``logs``; new words are scored together."""
-        new = {w for w in words if w not in self.known}
-        if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known, self.logs, new = {}, self.logs[:0], set(words)
-            fresh = sorted(new)
-            self.known.update((w, len(self.logs) + k) for k, w in enumerate(fresh))
-            self.logs = np.vstack([self.logs, word_logs(fresh, self.pieces, self.table)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.most = max(1, min(MEMORY, MEMORY_BYTES // (8 * (len(model.languages) + 1))))
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.logs = np.empty(0, np.uint64), np.empty((0, len(self.languages)))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log probabilities of distinct words; those not met before are scored together."""
+        import xxhash
+
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in words), np.uint64, len(words))
+        place = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(words), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(place, len(self.keys) - 1)] == hashes
+        out = np.empty((len(words), len(self.languages)))
+        out[known] = self.logs[place[known]]
+        new = np.nonzero(~known)[0]
+        if len(new):
+            out[new] = word_logs([words[k] for k in new.tolist()], self.pieces, self.table)
+            if len(self.keys) + len(new) > self.most:
+                self.forget()
+            fresh, first = np.unique(hashes[new][: self.most], return_index=True)
+            at = np.searchsorted(self.keys, fresh)
+            self.keys = np.insert(self.keys, at, fresh)
+            self.logs = np.insert(self.logs, at, out[new[first]], axis=0)
+        return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         split = [words_in(t) for t in texts]
-        flat = self.numbers([w for words in split for w in words])
+        number: dict[str, int] = {}
+        flat = np.fromiter((number.setdefault(w, len(number)) for words in split for w in words), np.int64, sum(map(len, split)))
+        logs = self.scores(list(number)) if self.languages else np.empty((len(number), 0))
         out, at = [], 0
         for words in split:
             own = flat[at : at + len(words)]
             at += len(words)
-            if not self.languages or not any(w.isalpha() for w in words):
+            if not self.languages or not words:
                 out.append(("und", 0.0))
                 continue
-            total = self.logs[own].sum(axis=0)
+            total = logs[own].sum(axis=0)
             weights = np.exp(total - total.max())
             best = int(weights.argmax())
             out.append((self.languages[best], float(weights[best] / weights.sum())))
         return out
 
 
+def scorer_of(model: Model) -> Scorer:
+    """The scorer of a model in this worker: made once, and kept with what it has learned for later tasks."""
+    if not hasattr(model, "scorer"):
+        model.scorer = Scorer(model)
+    return model.scorer
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every column of ``docs`` and ``lang_pred, score``.
 
@@ -260,9 +331,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = scorer_of(sent.value)
         for batch in batches:
-            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
+            for part in slices(batch, place):
                 found = scorer.predict(part.column(place).to_pylist())
                 new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*kept, "lang_pred", "score"])

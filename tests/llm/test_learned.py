@@ -39,7 +39,7 @@ def every_segmentation(word, pieces, p):
         ends = [k + 1 for k, c in enumerate(cuts) if c] + [len(marked)]
         parts = [marked[a:b] for a, b in zip([0, *ends], ends)]
         numbers = [pieces.get(x, -2 if len(x) == 1 else None) for x in parts]
-        if None in numbers or any(len(x) > langid.LONGEST_PIECE for x in parts):
+        if None in numbers:
             continue
         chance = math.prod(langid.UNKNOWN if k == -2 else p[k] for k in numbers)
         total += chance
@@ -52,7 +52,7 @@ def every_segmentation(word, pieces, p):
 def test_forward_sums_all_segmentations():
     rng = random.Random(1)
     names = ["▁", "a", "b", "ab", "ba", "aba", "▁a", "▁ab", "bb", "c"]
-    pieces = {n: k for k, n in enumerate(sorted(names))}
+    pieces = langid.Pieces({n: k for k, n in enumerate(sorted(names))})
     p = np.array([rng.random() for _ in pieces])
     p /= p.sum()
     words = ["a", "abab", "babba", "cab", "dab", "abacabad"]
@@ -66,6 +66,50 @@ def test_forward_sums_all_segmentations():
     assert langid.expected_counts(words, counts, pieces, p) == pytest.approx(expected)
 
 
+def test_long_pieces_and_words_are_summed_in_full(monkeypatch):
+    rng = random.Random(4)
+    names = ["▁", "a", "b", "ab", "▁a", "abababababab", "abababababababab", "bbbbbbbbbbbbbbbbbbbb"]
+    pieces = langid.Pieces({n: k for k, n in enumerate(sorted(names))})
+    assert pieces.width == 20
+    p = np.array([[rng.random(), rng.random()] for _ in pieces])
+    p /= p.sum(axis=0)
+    table = langid.padded(p)
+    for word in ("ab" * 9, "b" * 20, "c" + "ab" * 8, "abababababababab"):
+        logs = langid.word_logs([word], pieces, table)[0]
+        for k in range(2):
+            assert logs[k] == pytest.approx(math.log(every_segmentation(word, pieces, p[:, k])[0]))
+    # one by one with rescaling, and together, long words have the same sums
+    words = ["ab" * 15, "bc" * 10, "b" * 32, "a"]
+    together = langid.word_logs(words, pieces, table)
+    monkeypatch.setattr(langid, "SHORT", 0)
+    assert langid.word_logs(words, pieces, table) == pytest.approx(together)
+    # a sum over a run of any length: of one letter that is a piece alone, its power
+    alone = langid.Pieces({"a": 0})
+    logs = langid.word_logs(["a" * 5_000], alone, langid.padded(np.array([[0.25]])))[0, 0]
+    assert logs == pytest.approx(math.log(langid.UNKNOWN) + 5_000 * math.log(0.25))
+
+
+def test_all_usable_pieces_of_the_vocabulary_are_taken():
+    pieces = langid.load_pieces(langid.VOCABULARY)
+    assert pieces.width > 10 and all(p == langid.START or p.removeprefix(langid.START).isalpha() for p in pieces)
+
+
+def test_letters_beside_numbers_are_words():
+    assert langid.words_in("m² x½ ½ 3 Ⅷ a_b it's É") == ["m", "x", "a", "b", "it", "s", "é"]
+    assert langid.words_in("² ½ ①") == [] == langid.words_in(None)
+
+
+def test_scores_are_kept_in_bounded_memory(monkeypatch):
+    model = langid.Model(langid.VOCABULARY, ["x", "y"], np.full((len(langid.load_pieces(langid.VOCABULARY)), 2), 1e-4))
+    model.probabilities[::2, 0] *= 2
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + j)}" for j in range(9)) for k in range(40)]
+    free = langid.Scorer(model).predict(texts)
+    monkeypatch.setattr(langid, "MEMORY", 30)
+    tight = langid.Scorer(model)
+    assert [tight.predict([t])[0] for t in texts * 2] == free * 2 and len(tight.keys) <= 30
+    assert langid.scorer_of(model) is langid.scorer_of(model)
+
+
 def test_awkward_rows(awkward, documents):
     model = langid.fit(documents, sample=30, rounds=2)
     rows = langid.identify(awkward.withColumn("score", F.lit("clash")), model).collect()
@@ -128,6 +172,30 @@ def test_rules_of_a_planted_signal(spark):
     assert sum(r["y"] == r["p"] for r in scored) >= 0.95 * len(scored)
 
 
+def test_telling_rules_and_flags(spark):
+    rng = random.Random(3)
+    rows = [[rng.choice([0.0, 0.25, 0.5, 1.0]) for _ in rule_ensemble.STATISTICS] for _ in range(400)]
+    rows += rows[:100]  # repeated rows
+    table = spark.createDataFrame([(*r, int(r[0] > 0.3)) for r in rows], [*rule_ensemble.STATISTICS, "y"]).repartition(3)
+    c = rule_ensemble.Condition
+    name = list(rule_ensemble.STATISTICS)
+    rules = [
+        frozenset([c(name[0], True, 0.3)]),
+        frozenset([c(name[0], True, 0.4)]),  # holds for the same rows
+        frozenset([c(name[0], True, 0.3), c(name[3], False, 0.5)]),
+        frozenset([c(name[1], True, 1.0)]),  # never holds
+        frozenset([c(name[1], False, 1.0)]),  # always holds
+    ]
+    kept = rule_ensemble.telling_rules(table, rules, len(rows))
+    assert kept == [rules[0], rules[2]]
+    flags = {(r["_y"], tuple(r["_x"].toArray())): r["_n"] for r in rule_ensemble.flag_table(table, "y", kept).collect()}
+    want = {}
+    for r in rows:
+        k = (float(r[0] > 0.3), (float(r[0] > 0.3), float(r[0] > 0.3 and r[3] <= 0.5)))
+        want[k] = want.get(k, 0) + 1
+    assert flags == want
+
+
 def test_awkward_quality_rows(spark, awkward, no_docs):
     labels = spark.createDataFrame([(1, 1), (4, 0), (7, None), (None, 1), (8, 0), (13, 0)], "doc_id long, quality int")
     rows = rule_ensemble.score_quality(awkward.withColumn("upper", F.lit("clash")), labels).collect()
