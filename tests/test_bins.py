@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sieveline.operators import bins, group_ranks, ranks
+from sieveline.operators import bins, group_bins, group_ranks, ranks
 from sieveline.operators.bins import (
     fit_quantile_bins,
     fit_rank_bins,
@@ -268,6 +268,34 @@ def test_few_sets_have_the_same_bins_in_both_forms(spark, few_points, monkeypatc
     assert [bins_of(fit(), df) for fit in fits] == few
 
 
+def test_quantiles_of_small_sets_come_from_one_aggregate(sets_table, monkeypatch):
+    """No ranks are exploded, located and joined back unless a set is large; both ways give the same edges."""
+    _, df = sets_table
+    original, located = group_bins.locate_in_groups, []
+
+    def locate(rows, targets, keys, sizes, *rest):
+        located.append(sizes.count())
+        return original(rows, targets, keys, sizes, *rest)
+
+    monkeypatch.setattr(group_bins, "locate_in_groups", locate)
+
+    def edges(most):
+        monkeypatch.setattr(group_bins, "ARRAY_ROWS", most)
+        return {r[0]: r[1:] for r in fit_quantile_bins(df, "score", 7, by="split").edges.collect()}
+
+    arrays = edges(10**6)
+    assert located == []
+    assert edges(9) == arrays
+    assert edges(0) == arrays
+    assert located == [1, len(arrays)]
+
+
+def test_few_names_are_counted_exactly(spark):
+    for sets in (bins.FEW_SETS, bins.FEW_SETS + 1, 20 * bins.FEW_SETS):
+        df = spark.range(2_000).selectExpr(f"if(id % {sets} = 0, null, id % {sets}) as split")
+        assert bins._has_many_sets(df, "split") == (sets > bins.FEW_SETS)
+
+
 def test_plan_does_not_grow_with_the_sets(spark, plan_of):
     sizes = []
     for n in (20, 300):
